@@ -12,8 +12,6 @@ from pyspark.sql import Column, functions as F
 
 Metric = Callable[[Column, Column], Column]
 
-_NULL = F.lit(None).cast("double")
-
 
 def mape(y: Column, yhat: Column) -> Column:
     """Mean of |error| over the *signed* actual; NULL when an actual is 0."""

@@ -9,21 +9,18 @@ With error ``e`` the update in error-correction form is
 
 where ``e1`` is ``e``, divided by the seasonal value when that multiplies.
 Holt-Winters' own trend weight is ``beta / alpha``.  Fitted values, forecasts
-and bands are JVM expressions; the search in ``search_smoothing`` runs
+and bands are JVM expressions; the search in ``fit_smoothing`` runs
 vectorised over many parameter sets per series inside Spark tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelcast.functions.calendar import season_periods_of
 from panelcast.functions.recursions import damped_sum, normal_quantile, scan
-from panelcast.operators.search import explode_grid
+from panelcast.operators.search import draw_grid, fit_candidates, sample_order
 
 STATE_COLUMNS = ["trend", "seasonal", "alpha", "beta", "gamma", "phi", "l0", "b0", "s0"]
 
@@ -134,17 +131,15 @@ def residual_variance(value: str = "z") -> Column:
 
 # --- candidates and search ---------------------------------------------------
 
-def ets_grid(arrays: DataFrame, freq: str) -> DataFrame:
-    return explode_grid(arrays, "ets", {
-        "error": ["add", "mul"], "trend": ["none", "add", "mul"], "seasonal": ["none", "add", "mul"],
-        "seasonal_periods": [str(s) for s in season_periods_of(freq)], "damped_trend": ["true", "false"]})
+def ets_grid(freq: str) -> dict[str, list[str]]:
+    return {"error": ["add", "mul"], "trend": ["none", "add", "mul"], "seasonal": ["none", "add", "mul"],
+            "seasonal_periods": [str(s) for s in season_periods_of(freq)], "damped_trend": ["true", "false"]}
 
 
-def hw_grid(arrays: DataFrame, freq: str) -> DataFrame:
-    return explode_grid(arrays, "hw", {
-        "trend": ["none", "add", "mul"], "damped_trend": ["true", "false"],
-        "seasonal": ["none", "add", "mul"], "seasonal_periods": [str(s) for s in season_periods_of(freq)],
-        "initialization_method": ["estimated", "heuristic", "legacy-heuristic"]})
+def hw_grid(freq: str) -> dict[str, list[str]]:
+    return {"trend": ["none", "add", "mul"], "damped_trend": ["true", "false"],
+            "seasonal": ["none", "add", "mul"], "seasonal_periods": [str(s) for s in season_periods_of(freq)],
+            "initialization_method": ["estimated", "heuristic", "legacy-heuristic"]}
 
 
 def _one_step(y, weights, start, season, trend, seasonal):
@@ -276,25 +271,6 @@ def fit_smoothing(y: np.ndarray, params: dict) -> tuple[np.ndarray, float, str]:
     return np.r_[weights, x0[:2], tail], float(np.sqrt(sse / len(y))), "ok"
 
 
-def score_candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One fitted row per (series, candidate) row; a failing one keeps its status."""
-    for batch in batches:
-        coefs, scores, notes = [], [], []
-        for z, params in zip(batch["z"], batch["params"]):
-            try:
-                with np.errstate(all="ignore"):
-                    coef, rmse, note = fit_smoothing(np.asarray(z, float), dict(params))
-            except np.linalg.LinAlgError as error:
-                coef, rmse, note = np.array([]), np.nan, f"failed: {error}"
-            coefs.append(coef)
-            scores.append(rmse if np.isfinite(rmse) else None)
-            notes.append(note)
-        yield pd.DataFrame({"series_id": batch["series_id"], "model": batch["model"],
-                            "candidate_id": batch["candidate_id"], "params": batch["params"],
-                            "coef": coefs, "n": batch["z"].map(len).astype("int64"),
-                            "score": pd.array(scores, dtype="Float64"), "status": notes})
-
-
 def unpack(fitted: DataFrame) -> DataFrame:
     """Model rows ``(params, coef)`` into the columns ``smooth`` needs."""
     coef = F.col("coef")
@@ -302,3 +278,39 @@ def unpack(fitted: DataFrame) -> DataFrame:
         "trend": F.col("params")["trend"], "seasonal": F.col("params")["seasonal"],
         "alpha": coef[0], "beta": coef[1], "gamma": coef[2], "phi": coef[3], "l0": coef[4], "b0": coef[5],
         "s0": F.slice(coef, 7, F.greatest(F.size(coef) - 6, F.lit(0)))})
+
+
+def search(arrays: DataFrame, model: str, grid: dict[str, list[str]], n_iter: int = 50,
+           seed: int = 0) -> DataFrame:
+    """``n_iter`` fitted candidates per series, from at most three times as many draws.
+
+    A draw that cannot apply to a series costs nothing and keeps its failure
+    status; only the first ``n_iter`` valid draws are fitted.
+    """
+    drawn = draw_grid(arrays.select("series_id", "z"), model, grid, 3 * n_iter, seed)
+    low, n = F.array_min("z"), F.size("z")
+    return fit_candidates(drawn.withColumn("_ok", applies(low, n))
+                          .withColumn("_rn", F.row_number().over(
+                              Window.partitionBy("series_id", "_ok").orderBy(sample_order(seed))))
+                          .where(~F.col("_ok") | (F.col("_rn") <= n_iter)), fit_smoothing)
+
+
+def applies(low: Column, n: Column) -> Column:
+    """Whether a candidate can be fitted, from the minimum and length of a series."""
+    p = F.col("params")
+    multiplies = (p["trend"] == "mul") | (p["seasonal"] == "mul") | F.coalesce(p["error"] == "mul", F.lit(False))
+    return ~((p["damped_trend"] == "true") & (p["trend"] == "none")) & ~(multiplies & (low <= 0)) & (
+        (p["seasonal"] == "none") | (n >= 2 * p["seasonal_periods"].cast("int")))
+
+
+def predict(best: DataFrame, arrays: DataFrame, steps: int, alpha: float = 0.05) -> DataFrame:
+    """Fits, forecasts and bands of fitted rows, as arrays on the scaled values."""
+    rows = smooth(unpack(best.join(arrays, "series_id"))).withColumn("ahead", forecast_array(steps))
+    relative = F.coalesce(F.col("params")["error"], F.lit("add")) == "mul"
+    flat = F.transform("ahead", lambda f: F.when(relative, f * f).otherwise(F.lit(1.0)))
+    errors = F.zip_with(F.col("z"), F.col("fitted"),
+                        lambda a, f: F.pow((a - f) / F.when(relative, f).otherwise(F.lit(1.0)), 2))
+    sigma2 = F.aggregate(errors, F.lit(0.0), lambda a, v: a + v) / F.size("z")
+    factors = F.zip_with(variance_factors(steps), flat, lambda v, f: v * f)
+    lower, upper = bands(F.col("ahead"), sigma2, factors, alpha)
+    return rows.withColumns({"lower": lower, "upper": upper})

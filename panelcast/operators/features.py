@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelcast.functions.calendar import calendar_columns, future_array, lags_of
-from panelcast.operators.grid import BY_DATE
+from panelcast.operators.grid import by_date
 
 CALENDAR_NAMES = ["month", "day_of_week", "day_of_month", "is_weekend"]
 
@@ -26,7 +26,7 @@ def lag_features(panel: DataFrame, freq: str = "W-MON", value: str = "z",
     """
     lags = lags or lags_of(freq)
     names = [f"lag_{k}" for k in lags]
-    out = panel.withColumns({f"lag_{k}": F.lag(value, k).over(BY_DATE) for k in lags})
+    out = panel.withColumns({f"lag_{k}": F.lag(value, k).over(by_date()) for k in lags})
     out = calendar_features(out)
     return out if keep_incomplete else out.dropna(subset=names)
 

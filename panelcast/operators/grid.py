@@ -13,9 +13,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 from panelcast.functions.calendar import future_array, grid_date, ordinal, ordinal_at_or_after
 from panelcast.schemas import HORIZON, MISSING_SENTINEL
 
-BY_DATE = Window.partitionBy("series_id").orderBy("ds")
-WHOLE = Window.partitionBy("series_id")
-UP_TO_NOW = BY_DATE.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def by_date():
+    return Window.partitionBy("series_id").orderBy("ds")
+
+
+def whole():
+    return Window.partitionBy("series_id")
+
+
+def up_to_now():
+    return by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
 def collapse_duplicates(panel: DataFrame, how: str = "sum") -> DataFrame:
@@ -32,7 +40,7 @@ def calendar_spine(panel: DataFrame, freq: str = "W-MON") -> DataFrame:
     this and everything after it.  Off-grid rows contribute dates but no value.
     """
     first = ordinal_at_or_after(F.col("ds"), freq)
-    following = F.lead("ds").over(BY_DATE)
+    following = F.lead("ds").over(by_date())
     stop = F.coalesce(ordinal_at_or_after(following, freq) - 1, ordinal(F.col("ds"), freq))
     rows = (panel.withColumn("_first", first).withColumn("_stop", stop)
             .where(F.col("_stop") >= F.col("_first"))
@@ -45,7 +53,7 @@ def calendar_spine(panel: DataFrame, freq: str = "W-MON") -> DataFrame:
 
 
 def forward_fill(panel: DataFrame, column: str = "y") -> DataFrame:
-    return panel.withColumn(column, F.last(column, ignorenulls=True).over(UP_TO_NOW))
+    return panel.withColumn(column, F.last(column, ignorenulls=True).over(up_to_now()))
 
 
 def drop_missing(panel: DataFrame, column: str = "y") -> DataFrame:
@@ -63,7 +71,7 @@ def filter_date_range(panel: DataFrame, start: str, end: str) -> DataFrame:
 
 def infer_step_days(panel: DataFrame) -> DataFrame:
     """The commonest distance in days between neighbouring rows per series."""
-    steps = panel.select("series_id", F.datediff("ds", F.lag("ds").over(BY_DATE)).alias("step_days"))
+    steps = panel.select("series_id", F.datediff("ds", F.lag("ds").over(by_date())).alias("step_days"))
     counted = steps.where("step_days is not null").groupBy("series_id", "step_days").count()
     return counted.groupBy("series_id").agg(
         F.max_by("step_days", F.struct(F.col("count"), -F.col("step_days"))).alias("step_days"))
@@ -71,14 +79,14 @@ def infer_step_days(panel: DataFrame) -> DataFrame:
 
 def time_index(panel: DataFrame, season: int) -> DataFrame:
     """Position ``t`` from 0 and season index ``t mod season``."""
-    t = F.row_number().over(BY_DATE) - 1
+    t = F.row_number().over(by_date()) - 1
     return panel.withColumn("t", t).withColumn("season_index", F.pmod("t", F.lit(season)))
 
 
 def holdout_split(panel: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """Mark the last ``horizon`` rows of each series as ``test``."""
-    position = F.row_number().over(BY_DATE)
-    total = F.count("*").over(WHOLE)
+    position = F.row_number().over(by_date())
+    total = F.count("*").over(whole())
     return panel.withColumn("split", F.when(position > total - horizon, "test").otherwise("train"))
 
 
@@ -105,8 +113,8 @@ def missing_mask(panel: DataFrame, column: str = "y", sentinel: float = MISSING_
     value = F.col(column)
     missing = value.isNull() | F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
     flagged = panel.withColumn("is_missing", missing)
-    clash = ((F.count_if(F.col("is_missing")).over(WHOLE) > 0)
-             & (F.count_if(value == sentinel).over(WHOLE) > 0))
+    clash = ((F.count_if(F.col("is_missing")).over(whole()) > 0)
+             & (F.count_if(value == sentinel).over(whole()) > 0))
     filled = F.when(F.col("is_missing"), F.lit(sentinel)).otherwise(value)
     return flagged.withColumn(column, F.when(
         clash, F.raise_error(F.concat(F.lit("sentinel occurs in series "), F.col("series_id"))).cast("double"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelcast.operators.grid import WHOLE
+from panelcast.operators.grid import whole
 
 
 def _stats(quartiles: Column) -> tuple[Column, Column]:
@@ -50,5 +50,5 @@ def robust_scale(panel: DataFrame) -> DataFrame:
     """
     center, scale = _stats(F.col("_q"))
     return robust_scale_transform(
-        panel.withColumn("_q", _quartiles().over(WHOLE))
+        panel.withColumn("_q", _quartiles().over(whole()))
         .withColumns({"center": center, "scale": scale}).drop("_q"))

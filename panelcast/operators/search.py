@@ -6,66 +6,184 @@ fan-out multiplies short rows and no long group is ever built.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelcast.operators.grid import BY_DATE, WHOLE
+from panelcast.functions.calendar import future_array
+from panelcast.operators.grid import by_date, whole
 
 SCORED = ("series_id string, model string, candidate_id int, params map<string,string>, "
           "coef array<double>, n bigint, score double, status string")
 
 
-def explode_grid(rows: DataFrame, model: str, grid: dict[str, list[str]]) -> DataFrame:
-    """Every combination of ``grid`` for every row.
+Grid = dict[str, list[str]]
 
-    ``candidate_id`` numbers the combinations in grid order, the last name
-    varying fastest.  The combinations are literals inside one ``explode``.
-    """
-    number, entries, out = F.lit(0), [], rows
+
+def grid_size(grid: Grid) -> int:
+    return math.prod(len(values) for values in grid.values())
+
+
+def grid_params(number: Column, grid: Grid) -> Column:
+    """Parameters of candidate ``number``; the last name varies fastest."""
+    entries, stride = [], grid_size(grid)
     for name, values in grid.items():
-        choice = F.posexplode(F.array(*[F.lit(v) for v in values])).alias(f"_i_{name}", f"_v_{name}")
-        out = out.select("*", choice)
-        number = number * len(values) + F.col(f"_i_{name}")
-        entries += [F.lit(name), F.col(f"_v_{name}")]
-    made = [c for name in grid for c in (f"_i_{name}", f"_v_{name}")]
-    return out.withColumns({"model": F.lit(model), "candidate_id": number.cast("int"),
-                            "params": F.create_map(*entries)}).drop(*made)
+        stride //= len(values)
+        digit = F.pmod(F.floor(number / stride), F.lit(len(values)))
+        entries += [F.lit(name), F.element_at(F.array(*[F.lit(v) for v in values]), (digit + 1).cast("int"))]
+    return F.create_map(*entries)
+
+
+def explode_grid(rows: DataFrame, model: str, grid: Grid) -> DataFrame:
+    """Every combination of ``grid`` for every row."""
+    every = F.explode(F.sequence(F.lit(0), F.lit(grid_size(grid) - 1))).alias("candidate_id")
+    return (rows.select("*", F.lit(model).alias("model"), every)
+            .withColumn("params", grid_params(F.col("candidate_id"), grid)))
+
+
+def draw_grid(rows: DataFrame, model: str, grid: Grid, n_iter: int, seed: int = 0) -> DataFrame:
+    """``n_iter`` draws with replacement per row, repeats merged.
+
+    The draws are hashes of series, draw number and seed, so a large grid is
+    never expanded and a rerun draws the same candidates.
+    """
+    draw = lambda i: F.pmod(F.xxhash64(F.col("series_id"), F.lit(model), i, F.lit(seed)), F.lit(grid_size(grid)))
+    drawn = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(n_iter)), draw))
+    return (rows.select("*", F.lit(model).alias("model"), F.explode(drawn.cast("array<int>")).alias("candidate_id"))
+            .withColumn("params", grid_params(F.col("candidate_id"), grid)))
 
 
 def sample_order(seed: int) -> Column:
     return F.xxhash64("series_id", "model", "candidate_id", F.lit(seed))
 
 
-def sample_candidates(candidates: DataFrame, n_iter: int, seed: int = 0) -> DataFrame:
-    """``n_iter`` candidates per series in a seeded hash order.
+def sample_candidates(rows: DataFrame, model: str, grid: Grid, n_iter: int, seed: int = 0) -> DataFrame:
+    """``n_iter`` different candidates per row (all, if the grid is smaller).
 
-    The order depends on the keys only, so a rerun or another partitioning
-    samples the same rows.  A grid has a fixed number of combinations, which
-    bounds every group of this window.
+    For small grids: all numbers of the grid are put in a seeded hash order
+    inside one array, of which the first ``n_iter`` are kept.
     """
-    w = Window.partitionBy("series_id", "model").orderBy(sample_order(seed), "candidate_id")
-    return (candidates.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= n_iter).drop("_rn"))
+    numbered = F.transform(F.sequence(F.lit(0), F.lit(grid_size(grid) - 1)), lambda i: F.struct(
+        F.xxhash64(F.col("series_id"), F.lit(model), i, F.lit(seed)).alias("h"), i.alias("i")))
+    chosen = F.transform(F.slice(F.sort_array(numbered), 1, n_iter), lambda e: e["i"])
+    return (rows.select("*", F.lit(model).alias("model"), F.explode(chosen.cast("array<int>")).alias("candidate_id"))
+            .withColumn("params", grid_params(F.col("candidate_id"), grid)))
 
 
-def sampled_grid(arrays: DataFrame, grid: Callable[[DataFrame], DataFrame], n_iter: int,
-                 seed: int = 0) -> DataFrame:
-    """Sampled candidates with the series arrays attached.
+FitOne = Callable[[np.ndarray, dict], tuple[np.ndarray, float, str]]
 
-    Sampling happens on keys; the arrays are joined to the survivors only.
-    """
-    keys = sample_candidates(grid(arrays.select("series_id")), n_iter, seed)
-    return keys.join(arrays, "series_id")
 
+def refit(best: DataFrame, arrays: DataFrame, fit_one, value: str = "z") -> DataFrame:
+    """Coefficients of chosen candidates on whole series.
 
-def fit_candidates(rows: DataFrame, fit: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
-                   spread: bool = True) -> DataFrame:
-    """Fit each (series, candidate) row; tasks get an even share of rows."""
-    if spread:
-        rows = rows.repartition(F.col("series_id"), F.col("candidate_id"))
-    return rows.mapInPandas(fit, SCORED)
+    ``fit_one(values, ds, params)`` returns the coefficients.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = batch.copy()
+            with np.errstate(all="ignore"):
+                out["coef"] = [fit_one(np.asarray(v, float), np.asarray(d, "datetime64[D]"), dict(p))
+                               for v, d, p in zip(batch[value], batch["ds"], batch["params"])]
+            yield out
+
+    rows = (best.drop("coef").select("series_id", "model", "params", "score")
+            .join(arrays.select("series_id", "center", "scale", "ds", value), "series_id"))
+    return rows.mapInPandas(run, f"series_id string, model string, params map<string,string>, score double, "
+                                 f"center double, scale double, ds array<date>, {value} array<double>, "
+                                 "coef array<double>")
+
+
+def fit_candidates(rows: DataFrame, fit_one: FitOne, value: str = "z") -> DataFrame:
+    """Fit each (series, candidate) row; a failing one keeps its status.
+
+    ``fit_one(values, params)`` returns ``(coef, score, status)``.  The rows
+    are spread evenly over tasks, so a series with many candidates is not the
+    work of one task.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            coefs, scores, notes = [], [], []
+            for values, params in zip(batch[value], batch["params"]):
+                try:
+                    with np.errstate(all="ignore"):
+                        coef, score, note = fit_one(np.asarray(values, float), dict(params))
+                except (np.linalg.LinAlgError, ValueError, ArithmeticError) as error:
+                    coef, score, note = np.array([]), np.nan, f"failed: {error}"
+                coefs.append(coef)
+                scores.append(float(score) if np.isfinite(score) else None)
+                notes.append(note)
+            yield pd.DataFrame({
+                "series_id": batch["series_id"], "model": batch["model"], "candidate_id": batch["candidate_id"],
+                "params": batch["params"], "coef": coefs, "n": batch[value].map(len).astype("int64"),
+                "score": pd.array(scores, dtype="Float64"), "status": notes})
+
+    needed = rows.select("series_id", "model", "candidate_id", "params", value)
+    return needed.repartition("series_id", "candidate_id").mapInPandas(run, SCORED)
+
+
+def apply_rows(rows: DataFrame, apply_one, steps: int, freq: str = "W-MON", value: str = "z") -> DataFrame:
+    """Fits, forecasts and standard errors of fitted rows, as arrays.
+
+    ``apply_one(values, ds, params, coef, future)`` returns three arrays: fits
+    aligned to the end of the series, one forecast per date of ``future``, and
+    standard errors (None where the model has no bands).  ``offset`` counts
+    the first rows without a fit.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = []
+            for i in range(len(batch)):
+                row = batch.iloc[i]
+                with np.errstate(all="ignore"):
+                    made.append(apply_one(
+                        np.asarray(row[value], float), np.asarray(row["ds"], "datetime64[D]"),
+                        dict(row["params"]), np.asarray(row["coef"], float), np.asarray(row["future"], "datetime64[D]")))
+            out = batch[["series_id", "model", "params", "center", "scale", "ds", value]].copy()
+            out["fitted"] = [m[0] for m in made]
+            out["ahead"] = [m[1] for m in made]
+            out["stderr"] = [m[2] for m in made]
+            out["offset"] = [len(z) - len(m[0]) for z, m in zip(batch[value], made)]
+            yield out
+
+    needed = rows.select("series_id", "model", "params", "coef", "center", "scale", "ds", value,
+                         future_array(F.element_at("ds", -1), steps, freq).alias("future"))
+    return needed.mapInPandas(
+        run, "series_id string, model string, params map<string,string>, center double, scale double, "
+             f"ds array<date>, {value} array<double>, fitted array<double>, ahead array<double>, "
+             "stderr array<double>, offset int")
+
+
+def kfold_candidates(rows: DataFrame, score_fold, folds: int = 3, value: str = "z") -> DataFrame:
+    """Mean held-out squared error of each candidate over contiguous folds.
+
+    Every (series, candidate, fold) is a row of its own.
+    ``score_fold(values, ds, params, fold, folds)`` returns the fold's error.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            scores = []
+            for values, ds, params, fold in zip(batch[value], batch["ds"], batch["params"], batch["fold"]):
+                with np.errstate(all="ignore"):
+                    error = score_fold(np.asarray(values, float), np.asarray(ds, "datetime64[D]"),
+                                       dict(params), fold, folds)
+                scores.append(float(error) if np.isfinite(error) else None)
+            out = batch[["series_id", "model", "candidate_id", "params", "fold"]].copy()
+            out["mse"] = pd.array(scores, dtype="Float64")
+            yield out
+
+    spread = (rows.select("series_id", "model", "candidate_id", "params", "ds", value,
+                          F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
+              .repartition("series_id", "candidate_id", "fold"))
+    scored = spread.mapInPandas(run, "series_id string, model string, candidate_id int, "
+                                     "params map<string,string>, fold int, mse double")
+    # A candidate counts only if every fold could be scored.
+    mean = F.when(F.count("mse") == folds, F.avg("mse"))
+    return scored.groupBy("series_id", "model", "candidate_id").agg(
+        F.first("params").alias("params"), mean.alias("score"),
+        F.when(F.count("mse") == folds, "ok").otherwise("failed: a fold has no score").alias("status"))
 
 
 def skip_failed_candidates(scored: DataFrame) -> DataFrame:
@@ -89,7 +207,7 @@ def score_insample_rmse(fitted: DataFrame) -> DataFrame:
 
 def holdout_flag(panel: DataFrame, share: float = 0.8) -> DataFrame:
     """``is_train`` for the first ``int(share * n)`` rows of each series."""
-    position, total = F.row_number().over(BY_DATE), F.count("*").over(WHOLE)
+    position, total = F.row_number().over(by_date()), F.count("*").over(whole())
     return panel.withColumn("is_train", position <= F.floor(total * share))
 
 
@@ -111,7 +229,7 @@ def fold_of(position: Column, total: Column, folds: int = 3) -> Column:
 
 
 def kfold(rows: DataFrame, folds: int = 3) -> DataFrame:
-    return rows.withColumn("fold", fold_of(F.row_number().over(BY_DATE) - 1, F.count("*").over(WHOLE), folds))
+    return rows.withColumn("fold", fold_of(F.row_number().over(by_date()) - 1, F.count("*").over(whole()), folds))
 
 
 def information_criteria(sse: Column, n: Column, k: Column) -> dict[str, Column]:

@@ -44,27 +44,29 @@ def all_arrays(prepared: DataFrame) -> DataFrame:
     return train_arrays(prepared.withColumn("split", F.lit("train")))
 
 
-def to_predictions(rows: DataFrame, model, fitted: str | None, forecast: str | None,
-                   freq: str = "W-MON", kind: str = "forecast", first: int = 0) -> DataFrame:
+def to_predictions(rows: DataFrame, freq: str = "W-MON", kind: str = "forecast",
+                   fits: bool = True) -> DataFrame:
     """Arrays per series to long predictions in original units.
 
-    ``fitted`` starts at position ``first`` of ``ds``; ``forecast`` continues
-    the calendar after the last date.
+    ``fitted`` covers ``ds`` from position ``offset``; ``ahead`` continues the
+    calendar after the last date.  ``lower`` and ``upper`` are optional.
     """
-    parts = []
-    model = F.lit(model) if isinstance(model, str) else model
-    if fitted:
-        dates = F.slice("ds", first + 1, F.greatest(F.size("ds") - first, F.lit(0))) if first else F.col("ds")
-        parts.append(F.transform(F.arrays_zip(dates.alias("ds"), F.col(fitted).alias("v")), lambda p: F.struct(
-            p["ds"].alias("ds"), F.lit("fitted").alias("kind"), p["v"].alias("v"))))
-    if forecast:
-        dates = future_array(F.element_at("ds", -1), F.size(forecast), freq)
-        parts.append(F.transform(F.arrays_zip(dates.alias("ds"), F.col(forecast).alias("v")), lambda p: F.struct(
-            p["ds"].alias("ds"), F.lit(kind).alias("kind"), p["v"].alias("v"))))
-    long = rows.select("series_id", model.alias("model"), "center", "scale",
-                       F.explode(F.concat(*parts)).alias("p"))
-    return long.select("series_id", "model", "center", "scale", F.col("p.ds").alias("ds"), F.col("p.kind").alias("kind"),
-                       (F.col("p.v") * F.col("scale") + F.col("center")).alias("yhat"))
+    def points(dates, label, yhat, lower, upper):
+        zipped = F.arrays_zip(dates.alias("ds"), yhat.alias("yhat"), lower.alias("lower"), upper.alias("upper"))
+        return F.transform(zipped, lambda p: F.struct(
+            p["ds"].alias("ds"), F.lit(label).alias("kind"), p["yhat"].alias("yhat"),
+            p["lower"].alias("lower"), p["upper"].alias("upper")))
+
+    none = F.array().cast("array<double>")
+    lower, upper = (F.coalesce(F.col(c), none) if c in rows.columns else none for c in ("lower", "upper"))
+    ahead = points(future_array(F.element_at("ds", -1), F.size("ahead"), freq), kind, F.col("ahead"), lower, upper)
+    if fits:
+        dates = F.slice("ds", F.col("offset") + 1, F.size("ds")) if "offset" in rows.columns else F.col("ds")
+        ahead = F.concat(points(dates, "fitted", F.col("fitted"), none, none), ahead)
+    long = rows.select("series_id", "model", "center", "scale", F.explode(ahead).alias("p"))
+    back = lambda c: (F.col(f"p.{c}") * F.col("scale") + F.col("center")).alias(c)
+    return long.select("series_id", "model", "center", "scale", "p.ds", "p.kind",
+                       back("yhat"), back("lower"), back("upper"))
 
 
 def simple_smoothers(arrays: DataFrame) -> DataFrame:
@@ -81,5 +83,5 @@ def smoothed_predictions(prepared: DataFrame, steps: int = HORIZON) -> DataFrame
     """Fits and hold-out forecasts of the two fixed smoothers."""
     rows = smoothing.smooth(simple_smoothers(train_arrays(prepared)))
     rows = rows.withColumn("ahead", smoothing.forecast_array(steps))
-    return to_predictions(rows, F.col("model"), "fitted", "ahead")
+    return to_predictions(rows).drop("lower", "upper")
 
