@@ -85,6 +85,13 @@ def _inside(theta, order, k_trend):
     return all(_stable(np.r_[1.0, sign * part]) for sign, part in ((-1, a), (1, b), (-1, c), (1, d)))
 
 
+def _before(z, count, d):
+    """Predictions of the rows that differencing uses up: the previous value
+    when there are ordinary differences, else 0.  They take part in the score,
+    so candidates are compared over the same rows."""
+    return np.r_[0.0, z[:count - 1]] if d and count else np.zeros(count)
+
+
 def fit_arima(z: np.ndarray, params: dict, rounds: int = 12) -> tuple[np.ndarray, float, str]:
     """Conditional least squares; ``coef`` is trend, AR, MA, seasonal AR, MA."""
     order, trend = orders(params)
@@ -123,7 +130,7 @@ def fit_arima(z: np.ndarray, params: dict, rounds: int = 12) -> tuple[np.ndarray
         best = _residuals(w, [theta], order, trend)[:, 0]
         if old - sse[i] < 1e-7 * old:
             break
-    score = float(np.sqrt(np.mean(best ** 2)))
+    score = float(np.sqrt((np.sum(best ** 2) + np.sum((z[:len(z) - len(w)] - _before(z, len(z) - len(w), d)) ** 2)) / len(z)))
     return theta, score, "ok" if np.isfinite(score) else "failed: diverged"
 
 
@@ -153,4 +160,5 @@ def apply_arima(z, ds, params, coef, future):
         own = ma[h] if h < len(ma) else 0.0
         psi[len(ar) + h] = own - ar[1:] @ psi[h + 1:len(ar) + h][::-1]
     sigma = np.sqrt(np.mean(e ** 2))
-    return z[len(z) - len(e):] - e, past[-steps:], sigma * np.sqrt(np.cumsum(psi[len(ar):] ** 2))
+    count = len(z) - len(e)
+    return np.r_[_before(z, count, d), z[count:] - e], past[-steps:], sigma * np.sqrt(np.cumsum(psi[len(ar):] ** 2))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelcast.functions.calendar import season_periods_of
 from panelcast.functions.recursions import damped_sum, normal_quantile, scan
-from panelcast.operators.search import draw_grid, fit_candidates, sample_order
+from panelcast.operators.search import fit_candidates, sample_candidates, sample_order
 
 STATE_COLUMNS = ["trend", "seasonal", "alpha", "beta", "gamma", "phi", "l0", "b0", "s0"]
 
@@ -282,12 +282,12 @@ def unpack(fitted: DataFrame) -> DataFrame:
 
 def search(arrays: DataFrame, model: str, grid: dict[str, list[str]], n_iter: int = 50,
            seed: int = 0) -> DataFrame:
-    """``n_iter`` fitted candidates per series, from at most three times as many draws.
+    """``n_iter`` fitted candidates per series, from three times as many different draws.
 
     A draw that cannot apply to a series costs nothing and keeps its failure
     status; only the first ``n_iter`` valid draws are fitted.
     """
-    drawn = draw_grid(arrays.select("series_id", "z"), model, grid, 3 * n_iter, seed)
+    drawn = sample_candidates(arrays.select("series_id", "z"), model, grid, 3 * n_iter, seed)
     low, n = F.array_min("z"), F.size("z")
     return fit_candidates(drawn.withColumn("_ok", applies(low, n))
                           .withColumn("_rn", F.row_number().over(

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 def _load():
     from panelcast.plans import catalog
-    from panelcast.plans import core_queries  # noqa: F401  (registers on import)
+    # Importing a module registers its queries.
+    from panelcast.plans import core_queries, model_queries  # noqa: F401
     return catalog
 
 
