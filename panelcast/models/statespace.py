@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelcast.functions.calendar import future_array
 from panelcast.functions.recursions import normal_quantile
 from panelcast.operators.grid import by_date
+from panelcast.operators.search import explode_grid, fit_candidates, pick_best_candidate
 from panelcast.schemas import JITTER
 
 # --- components ---------------------------------------------------------------
@@ -451,6 +452,41 @@ def ss_extract_components(states: DataFrame, layout: dict[str, tuple[int, list[f
             .select("series_id", "ds", "c.component", "c.value"))
 
 
+CYCLE_GRID = {"length": ["13", "26", "39", "52", "104"], "damping": ["0.9", "0.97", "1.0"]}
+
+
+def best_cycle(arrays: DataFrame, grid: dict[str, list[str]] | None = None) -> DataFrame:
+    """Cycle length and damping by likelihood per series, then its smoother.
+
+    Candidates are rows like those of any other search.  Columns as in
+    ``decompose`` plus the chosen ``params``.
+    """
+    parts = lambda p: [level_trend(1, 0.1), cycle(float(p["length"]), float(p["damping"]), 0.05), noise(0.5)]
+
+    def fit(z, params):
+        ((_, _, _, means, _),) = run_patterns(json.dumps(parts(params)), [z])
+        return np.array([]), -means["loglik"].sum(), "ok"
+
+    rows = explode_grid(arrays, "cycle", grid or CYCLE_GRID)
+    best = pick_best_candidate(fit_candidates(rows, fit)).select("series_id", "params")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i, z in enumerate(_values(batch["z"])):
+                ((_, system, cov, means, _),) = run_patterns(json.dumps(parts(dict(batch["params"].iloc[i]))), [z])
+                a, p = _smooth(system, cov, means)
+                here = system["slices"]["cycle"].start
+                yield pd.DataFrame({"series_id": [batch["series_id"].iloc[i]], "params": [batch["params"].iloc[i]],
+                                    "ds": [batch["ds"].iloc[i]], "mean": [a[:, 0, here]], "var": [p[:, here, here]]})
+
+    out = best.join(arrays.select("series_id", "ds", "z"), "series_id").mapInPandas(
+        run, "series_id string, params map<string,string>, ds array<date>, mean array<double>, var array<double>")
+    return (out.select("series_id", F.element_at("params", "length").cast("double").alias("length"),
+                       F.element_at("params", "damping").cast("double").alias("damping"),
+                       F.explode(F.arrays_zip("ds", "mean", "var")).alias("r"))
+            .select("series_id", "length", "damping", "r.*"))
+
+
 # --- closed forms without noise --------------------------------------------------------
 
 def trend_regression(panel: DataFrame, value: str = "z") -> DataFrame:

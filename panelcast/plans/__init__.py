@@ -6,7 +6,7 @@ from __future__ import annotations
 def _load():
     from panelcast.plans import catalog
     # Importing a module registers its queries.
-    from panelcast.plans import core_queries, model_queries  # noqa: F401
+    from panelcast.plans import core_queries, model_queries, state_queries  # noqa: F401
     return catalog
 
 

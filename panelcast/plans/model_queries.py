@@ -196,8 +196,8 @@ ahead AS (SELECT e.series_id, CAST(0 AS BIGINT) AS h, e.z AS m, CAST(0 AS DOUBLE
   FROM ahead a JOIN res f ON f.series_id = a.series_id WHERE a.h < 52)"""
 
 
-def _ar1(spark, d):
-    train = _train(spark, d)
+def _ar1(spark, d, source="supplier"):
+    train = _train(spark, d, source)
     series = autoregression.fixed_candidate(train.select("series_id").distinct())
     return train, autoregression.fit_ar(autoregression.moments(train), series)
 
