@@ -46,58 +46,80 @@ def moments(train: DataFrame, freq: str = "W-MON") -> DataFrame:
         F.array(*[F.sum(term[TERMS[i]] * term[TERMS[j]]) for i, j in PAIRS]).alias("xx"),
         F.array(*[F.sum(term[name] * F.col("z")) for name in TERMS]).alias("xz"),
         F.sum(F.col("z") * F.col("z")).alias("zz"), F.count("*").alias("n"))
+    # At most one part per season index and head position, whatever the length.
     part = F.struct("head", "season_index", "xx", "xz", "zz", "n")
-    return sums.groupBy("series_id").agg(F.sort_array(F.collect_list(part)).alias("parts"))
-
-
-def _solve(parts, params, season):
-    p, trend, seasonal = int(params["lags"]), params["trend"], params["seasonal"] == "true"
-    used = [m for m in parts if m["head"] >= p]
-    n = sum(m["n"] for m in used)
-    keep = ([0] if "c" in trend else []) + ([1] if "t" in trend else []) + list(range(2, 2 + p))
-    full = np.zeros((len(TERMS), len(TERMS)))
-    cross, target, counts = np.zeros((season, len(TERMS))), np.zeros(season), np.zeros(season)
-    xz, zz = np.zeros(len(TERMS)), 0.0
-    for m in used:
-        gram = np.zeros_like(full)
-        for (i, j), v in zip(PAIRS, m["xx"]):
-            gram[i, j] = gram[j, i] = v
-        full += gram
-        xz += np.asarray(m["xz"])
-        zz += m["zz"]
-        s = m["season_index"]
-        cross[s] += gram[0]
-        target[s] += m["xz"][0]
-        counts[s] += m["n"]
-    dummies = np.flatnonzero(counts)[1 if "c" in trend else 0:] if seasonal and season > 1 else np.array([], int)
-    a = np.block([[full[np.ix_(keep, keep)], cross[dummies][:, keep].T],
-                  [cross[dummies][:, keep], np.diag(counts[dummies])]])
-    b = np.r_[xz[keep], target[dummies]]
-    if n <= len(b) + 1:
-        return np.array([]), np.nan, n, "failed: too few rows"
-    unit = 1 / np.sqrt(np.maximum(np.diag(a), 1e-12))
-    x = unit * np.linalg.lstsq(a * unit[:, None] * unit, b * unit, rcond=1e-11)[0]
-    sse = max(zz - 2 * x @ b + x @ a @ x, 0.0)
-    coef = np.zeros(FIRST_SEASON + season)
-    coef[keep] = x[:len(keep)]
-    coef[FIRST_SEASON + dummies] = x[len(keep):]
-    return coef, float(np.sqrt(sse / n)), n, "ok"
+    parts = sums.groupBy("series_id").agg(F.sort_array(F.collect_list(part)).alias("m"))
+    return parts.select("series_id", F.col("m.head").alias("head"), F.col("m.season_index").alias("season_index"),
+                        F.flatten("m.xx").alias("xx"), F.flatten("m.xz").alias("xz"),
+                        F.col("m.zz").alias("zz"), F.col("m.n").alias("n"))
+
+
+class _Sums:
+    """The sums of one series as matrices, totalled from each head position on."""
+
+    def __init__(self, row, season):
+        k = len(TERMS)
+        head, index = np.asarray(row["head"]), np.asarray(row["season_index"])
+        packed = np.asarray(row["xx"], float).reshape(len(head), len(PAIRS))
+        xx = np.zeros((len(head), k, k))
+        for position, (i, j) in enumerate(PAIRS):
+            xx[:, i, j] = xx[:, j, i] = packed[:, position]
+        xz = np.asarray(row["xz"], float).reshape(len(head), k)
+        zz, n = np.asarray(row["zz"], float), np.asarray(row["n"], int)
+        self.from_head = []
+        for p in range(MAX_LAG + 1):
+            used = head >= p
+            cross, target, counts = np.zeros((season, k)), np.zeros(season), np.zeros(season)
+            np.add.at(cross, index[used], xx[used, 0])
+            np.add.at(target, index[used], xz[used, 0])
+            np.add.at(counts, index[used], n[used])
+            self.from_head.append((xx[used].sum(0), xz[used].sum(0), zz[used].sum(), int(n[used].sum()),
+                                   cross, target, counts))
+
+    def solve(self, params, season):
+        p, trend, seasonal = int(params["lags"]), params["trend"], params["seasonal"] == "true"
+        full, xz, zz, n, cross, target, counts = self.from_head[p]
+        keep = ([0] if "c" in trend else []) + ([1] if "t" in trend else []) + list(range(2, 2 + p))
+        dummies = np.flatnonzero(counts)[1 if "c" in trend else 0:] if seasonal and season > 1 else np.array([], int)
+        a = np.block([[full[np.ix_(keep, keep)], cross[dummies][:, keep].T],
+                      [cross[dummies][:, keep], np.diag(counts[dummies])]])
+        b = np.r_[xz[keep], target[dummies]]
+        if n <= len(b) + 1:
+            return np.array([]), np.nan, n, "failed: too few rows"
+        unit = 1 / np.sqrt(np.maximum(np.diag(a), 1e-12))
+        scaled = a * unit[:, None] * unit
+        try:
+            x = unit * np.linalg.solve(scaled + 1e-12 * np.eye(len(b)), b * unit)
+        except np.linalg.LinAlgError:
+            x = unit * np.linalg.lstsq(scaled, b * unit, rcond=1e-11)[0]
+        sse = max(zz - 2 * x @ b + x @ a @ x, 0.0)
+        coef = np.zeros(FIRST_SEASON + season)
+        coef[keep] = x[:len(keep)]
+        coef[FIRST_SEASON + dummies] = x[len(keep):]
+        return coef, float(np.sqrt(sse / n)), n, "ok"
 
 
 def fit_ar(moments_rows: DataFrame, candidates: DataFrame, freq: str = "W-MON") -> DataFrame:
-    """Solve each candidate from the sums of its series."""
+    """Solve the candidates of each series from its sums, unpacked once."""
     season = SEASON[base_freq(freq)]
+    # A grid has a fixed number of combinations, which bounds these lists.
+    listed = candidates.groupBy("series_id", "model").agg(
+        F.sort_array(F.collect_list("candidate_id")).alias("ids"),
+        F.map_from_entries(F.collect_list(F.struct("candidate_id", "params"))).alias("by_id"))
+    listed = listed.select("series_id", "model", "ids", F.transform("ids", lambda i: F.col("by_id")[i]).alias("params"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            solved = [_solve(parts, dict(params), season) for parts, params in zip(batch["parts"], batch["params"])]
-            yield pd.DataFrame({
-                "series_id": batch["series_id"], "model": batch["model"], "candidate_id": batch["candidate_id"],
-                "params": batch["params"], "coef": [s[0] for s in solved], "n": [s[2] for s in solved],
-                "score": pd.array([None if np.isnan(s[1]) else s[1] for s in solved], dtype="Float64"),
-                "status": [s[3] for s in solved]})
-
-    return candidates.join(moments_rows, "series_id").mapInPandas(run, SCORED)
+            for _, row in batch.iterrows():
+                sums, every = _Sums(row, season), [dict(p) for p in row["params"]]
+                solved = [sums.solve(params, season) for params in every]
+                yield pd.DataFrame({
+                    "series_id": row["series_id"], "model": row["model"], "candidate_id": row["ids"],
+                    "params": every, "coef": [s[0] for s in solved], "n": [s[2] for s in solved],
+                    "score": pd.array([None if np.isnan(s[1]) else s[1] for s in solved], dtype="Float64"),
+                    "status": [s[3] for s in solved]})
+
+    return listed.join(moments_rows, "series_id").mapInPandas(run, SCORED)
 
 
 def fixed_candidate(series: DataFrame, lags: int = 1, trend: str = "c", seasonal: bool = False) -> DataFrame:

@@ -34,25 +34,21 @@ def season_sums(train: DataFrame, season: int) -> DataFrame:
         F.sum("z").alias("z"), F.sum(F.col("t") * F.col("z")).alias("tz"), F.sum(F.col("z") ** 2).alias("zz"))
     part = F.struct("season_index", "n", "t", "tt", "z", "tz", "zz")
     center = train.groupBy("series_id").agg(F.median("z").alias("center_z"))
-    return (sums.groupBy("series_id").agg(F.sort_array(F.collect_list(part)).alias("parts"))
-            .join(center, "series_id"))
+    listed = sums.groupBy("series_id").agg(F.sort_array(F.collect_list(part)).alias("m"))
+    columns = ["season_index", "n", "t", "tt", "z", "tz", "zz"]
+    return listed.select("series_id", *[F.col(f"m.{c}").alias(c) for c in columns]).join(center, "series_id")
 
 
-def _posterior(parts, center, season, learn_scales, rounds):
+def _posterior(row, season, learn_scales, rounds):
     """Posterior mean and variance; prior scales by expectation-maximisation."""
-    k = season + 2
-    gram, cross, zz, n = np.zeros((k, k)), np.zeros(k), 0.0, 0.0
-    for m in parts:
-        i = 2 + m["season_index"]
-        block = np.array([[m["n"], m["t"]], [m["t"], m["tt"]]])
-        gram[:2, :2] += block
-        gram[i, :2] += block[0]
-        gram[:2, i] += block[0]
-        gram[i, i] += m["n"]
-        cross[:2] += (m["z"], m["tz"])
-        cross[i] += m["z"]
-        zz += m["zz"]
-        n += m["n"]
+    k, at = season + 2, 2 + np.asarray(row["season_index"])
+    counts, t, tt, z, tz = (np.asarray(row[c], float) for c in ("n", "t", "tt", "z", "tz"))
+    gram, cross = np.zeros((k, k)), np.zeros(k)
+    gram[:2, :2] = [[counts.sum(), t.sum()], [t.sum(), tt.sum()]]
+    gram[at, 0] = gram[0, at] = gram[at, at] = counts
+    gram[at, 1] = gram[1, at] = t
+    cross[0], cross[1], cross[at] = z.sum(), tz.sum(), z
+    zz, n, center = float(np.sum(row["zz"])), counts.sum(), row["center_z"]
     # Center the baseline's prior by fitting z - center.
     ones = gram[:, 0]
     zz, cross = zz - 2 * center * cross[0] + center ** 2 * n, cross - center * ones
@@ -83,8 +79,7 @@ def bayes_fit(train: DataFrame, freq: str = "W-MON", learn_scales: bool = True,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            solved = [_posterior(parts, center, season, learn_scales, rounds)
-                      for parts, center in zip(batch["parts"], batch["center_z"])]
+            solved = [_posterior(row, season, learn_scales, rounds) for _, row in batch.iterrows()]
             yield pd.DataFrame({
                 "series_id": batch["series_id"], "model": "bayes",
                 "params": [{"season": str(season), "learn_scales": str(learn_scales).lower()}] * len(batch),

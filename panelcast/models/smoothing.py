@@ -27,26 +27,26 @@ STATE_COLUMNS = ["trend", "seasonal", "alpha", "beta", "gamma", "phi", "l0", "b0
 
 # --- start values and recursion as expressions -----------------------------
 
-def start_values(arrays: DataFrame, season: int | None = None, trend: str = "none",
-                 seasonal: str = "none", value: str = "z") -> DataFrame:
-    """Legacy start values: averages over the first cycles, first differences."""
-    z = F.col(value)
+def start_values(rows: DataFrame, season: int | None = None, seasonal: str = "none",
+                 value: str = "z") -> DataFrame:
+    """Legacy start values for rows with a ``trend`` column.
+
+    Averages over the first two cycles when there is a season, else the first
+    value and the first difference (or ratio).
+    """
+    z, trend = F.col(value), F.col("trend")
     mean = lambda part, n: F.aggregate(part, F.lit(0.0), lambda a, v: a + v) / n
     if season and seasonal != "none":
-        first = mean(F.slice(z, 1, season), season)
-        second = mean(F.slice(z, season + 1, season), season)
-        b0 = (second - first) / season if trend != "mul" else F.pow(second / first, 1.0 / season)
-        swing = (lambda v: v - first) if seasonal == "add" else (lambda v: v / first)
+        l0, second = mean(F.slice(z, 1, season), season), mean(F.slice(z, season + 1, season), season)
+        rise, ratio = (second - l0) / season, F.pow(second / F.when(l0 != 0, l0), 1.0 / season)
+        swing = (lambda v: v - l0) if seasonal == "add" else (lambda v: v / l0)
         s0 = F.transform(F.slice(z, 1, season), swing)
-        l0 = first
     else:
         l0 = z[0]
-        b0 = z[1] - z[0] if trend != "mul" else z[1] / z[0]
+        rise, ratio = z[1] - l0, z[1] / F.when(l0 != 0, l0)
         s0 = F.array().cast("array<double>")
-    if trend == "none":
-        b0 = F.lit(0.0)
-    return arrays.withColumns({"trend": F.lit(trend), "seasonal": F.lit(seasonal),
-                               "l0": l0, "b0": b0, "s0": s0})
+    b0 = F.when(trend == "add", rise).when(trend == "mul", ratio).otherwise(F.lit(0.0))
+    return rows.withColumns({"seasonal": F.lit(seasonal), "l0": l0, "b0": b0, "s0": s0})
 
 
 def _base(level: Column, trend: Column, weight: Column) -> Column:

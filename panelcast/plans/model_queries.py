@@ -28,6 +28,11 @@ def stored(spark, d, name, make):
     return _STORE[key]
 
 
+def forget_stored():
+    """Drop what this session fitted, so that the next query fits again."""
+    _STORE.clear()
+
+
 def _train(spark, d, source="supplier") -> DataFrame:
     return prepared_panel(spark, d, source).where("split = 'train'")
 
@@ -119,7 +124,7 @@ fits AS (SELECT k.series_id, k.candidate_id, x.ds, x.t, x.n, x.z, k.fit AS zhat
 
 def _weight_fits(spark, d) -> DataFrame:
     """Fits of level-only smoothing for five weights: series, candidate, ds."""
-    rows = smoothing.start_values(train_arrays(prepared_panel(spark, d)))
+    rows = smoothing.start_values(train_arrays(prepared_panel(spark, d)).withColumn("trend", F.lit("none")))
     ids = F.explode(F.sequence(F.lit(0), F.lit(4))).alias("candidate_id")
     rows = rows.select("*", ids).withColumns({
         "alpha": (F.col("candidate_id") + 1).cast("double") / 7, "beta": F.lit(0.0), "gamma": F.lit(0.0),
@@ -316,7 +321,8 @@ fac AS (SELECT h.h, 1 + coalesce(sum(power(CAST(1 AS DOUBLE) / 3 + j.d / 30, 2))
 
 
 def _fixed_ets(spark, d):
-    rows = smoothing.start_values(train_arrays(prepared_panel(spark, d, "nation")), 52, "add", "add")
+    arrays = train_arrays(prepared_panel(spark, d, "nation")).withColumn("trend", F.lit("add"))
+    rows = smoothing.start_values(arrays, 52, "add")
     return rows.withColumns({"model": F.lit("ets"), "alpha": F.lit(1 / 3), "beta": F.lit(1 / 30),
                              "gamma": F.lit(1 / 7), "phi": F.lit(0.9)})
 

@@ -70,13 +70,16 @@ def to_predictions(rows: DataFrame, freq: str = "W-MON", kind: str = "forecast",
 
 
 def simple_smoothers(arrays: DataFrame) -> DataFrame:
-    """Level-only and level-plus-trend smoothing with fixed weights, as rows."""
-    rows = []
-    for model, trend, alpha, beta in (("hw_simple", "none", 1 / 3, 0.0), ("hw_trend", "add", 1 / 3, 1 / 30)):
-        rows.append(smoothing.start_values(arrays, trend=trend).withColumns({
-            "model": F.lit(model), "alpha": F.lit(alpha), "beta": F.lit(beta),
-            "gamma": F.lit(0.0), "phi": F.lit(1.0)}))
-    return rows[0].unionByName(rows[1])
+    """Level-only and level-plus-trend smoothing with fixed weights, as rows.
+
+    The two are exploded from the one row per series, so the panel behind the
+    arrays is computed once.
+    """
+    spec = lambda model, trend, alpha, beta: F.struct(
+        F.lit(model).alias("model"), F.lit(trend).alias("trend"), F.lit(alpha).alias("alpha"),
+        F.lit(beta).alias("beta"), F.lit(0.0).alias("gamma"), F.lit(1.0).alias("phi"))
+    both = F.array(spec("hw_simple", "none", 1 / 3, 0.0), spec("hw_trend", "add", 1 / 3, 1 / 30))
+    return smoothing.start_values(arrays.select("*", F.explode(both).alias("s")).select("*", "s.*").drop("s"))
 
 
 def smoothed_predictions(prepared: DataFrame, steps: int = HORIZON) -> DataFrame:
