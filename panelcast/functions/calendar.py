@@ -98,9 +98,12 @@ def bucket(ts: Column, freq: str) -> Column:
     Weeks and days are labelled by their start, longer periods by their end.
     """
     base = base_freq(freq)
-    if base in ("H", "D", "W"):
-        day = ts if base == "H" else ts.cast("date")
-        return grid_date(ordinal(day, freq), freq)
+    if base == "W":
+        day = ts.cast("date")
+        since = F.datediff(day, F.lit("1970-01-01").cast("date")) - _anchor(freq)
+        return F.date_sub(day, F.pmod(since, F.lit(7)))
+    if base in ("H", "D"):
+        return grid_date(ordinal(ts if base == "H" else ts.cast("date"), freq), freq)
     return grid_date(ordinal_at_or_after(ts.cast("date"), freq), freq)
 
 

@@ -8,26 +8,41 @@ from statistics import NormalDist
 from pyspark.sql import Column, functions as F
 
 
-def scan(values: Column, zero: Column, step: Callable[[Column, Column], tuple[Column, Column]],
+def scan(values: Column, zero: Column, step: Callable[[Column, Column], Column],
          emit_type: str) -> Column:
     """Fold over ``values`` keeping the state and one output per element.
 
-    ``step(state, value)`` returns the next state and the output.  The result
-    is ``struct<state, out>``; ``emit_type`` is the type of one output.
+    ``step(state, value)`` returns a struct of the next ``state`` and the
+    output ``out``.  The result is ``struct<state, out array>``; ``emit_type``
+    is the type of one output.
     """
     def merge(acc: Column, value: Column) -> Column:
-        state, out = step(acc["state"], value)
-        return F.struct(state.alias("state"), F.concat(acc["out"], F.array(out)).alias("out"))
+        return let(step(acc["state"], value), lambda made: F.struct(
+            made["state"].alias("state"), F.concat(acc["out"], F.array(made["out"])).alias("out")))
 
     start = F.struct(zero.alias("state"), F.array().cast(f"array<{emit_type}>").alias("out"))
     return F.aggregate(values, start, merge)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    Inside a lambda nothing else stops a repeated sub-expression from being
+    evaluated at every place it is used.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def normal_quantile(alpha: float) -> float:
     """Two-sided standard normal quantile."""
     return NormalDist().inv_cdf(1 - alpha / 2)
 
 
+def stepped(state: Column, out: Column) -> Column:
+    """What a step of ``scan`` returns."""
+    return F.struct(state.alias("state"), out.alias("out"))
+
+
 def sum_of(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
 

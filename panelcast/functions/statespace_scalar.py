@@ -10,7 +10,7 @@ import math
 
 from pyspark.sql import Column, functions as F
 
-from panelcast.functions.recursions import scan
+from panelcast.functions.recursions import let, scan, stepped
 from panelcast.schemas import JITTER
 
 STEP = ("struct<a_pred:double,p_pred:double,v:double,f:double,a_filt:double,"
@@ -18,29 +18,30 @@ STEP = ("struct<a_pred:double,p_pred:double,v:double,f:double,a_filt:double,"
 LOG_2PI = math.log(2 * math.pi)
 
 
-def update(a: Column, p: Column, y: Column, h: Column, q: Column) -> dict[str, Column]:
-    """One observation: prediction in, filtered and next prediction out.
+NAMES = ["a_pred", "p_pred", "v", "f", "a_filt", "p_filt", "loglik"]
+
+
+def update(a: Column, p: Column, y: Column, h: Column) -> Column:
+    """One observation: prediction in, a ``STEP`` row out.
 
     A missing ``y`` leaves the prediction as it is and adds no likelihood.
     """
-    f = p + h + JITTER
-    v = y - a
-    gain = p / f
-    a_filt = F.coalesce(a + gain * v, a)
-    kept = (1 - gain) * (1 - gain) * p + gain * gain * h
-    p_filt = F.when(y.isNull(), p).otherwise(kept) + JITTER
-    loglik = F.coalesce(-0.5 * (LOG_2PI + F.log(f) + v * v / f), F.lit(0.0))
-    return {"a_pred": a, "p_pred": p, "v": v, "f": f, "a_filt": a_filt, "p_filt": p_filt,
-            "loglik": loglik, "a_next": a_filt, "p_next": p_filt + q}
+    def correct(w: Column) -> Column:
+        v, f = w["v"], w["f"]
+        gain = p / f
+        kept = (1 - gain) * (1 - gain) * p + gain * gain * h
+        made = {"a_pred": a, "p_pred": p, "v": v, "f": f, "a_filt": F.coalesce(a + gain * v, a),
+                "p_filt": F.when(v.isNull(), p).otherwise(kept) + JITTER,
+                "loglik": F.coalesce(-0.5 * (LOG_2PI + F.log(f) + v * v / f), F.lit(0.0))}
+        return F.struct(*[made[n].alias(n) for n in NAMES])
+    return let(F.struct((y - a).alias("v"), (p + h + JITTER).alias("f")), correct)
 
 
 def filter_array(y: Column, q: Column, h: Column, a0: Column, p0: Column) -> Column:
     """Array of ``STEP`` rows, one per element of ``y``."""
-    def step(state: Column, value: Column) -> tuple[Column, Column]:
-        u = update(state["a"], state["p"], value, h, q)
-        names = ["a_pred", "p_pred", "v", "f", "a_filt", "p_filt", "loglik"]
-        return (F.struct(u["a_next"].alias("a"), u["p_next"].alias("p")),
-                F.struct(*[u[n].alias(n) for n in names]))
+    def step(state: Column, value: Column) -> Column:
+        return let(update(state["a"], state["p"], value, h), lambda row: stepped(
+            F.struct(row["a_filt"].alias("a"), (row["p_filt"] + q).alias("p")), row))
     zero = F.struct(a0.cast("double").alias("a"), p0.cast("double").alias("p"))
     return scan(y, zero, step, STEP)["out"]
 
@@ -56,13 +57,13 @@ def steady_array(y: Column, q: Column, h: Column, a0: Column) -> Column:
     f = p + h
     gain = p / f
 
-    def step(a: Column, value: Column) -> tuple[Column, Column]:
+    def step(a: Column, value: Column) -> Column:
         v = value - a
         a_filt = F.coalesce(a + gain * v, a)
         loglik = F.coalesce(-0.5 * (LOG_2PI + F.log(f) + v * v / f), F.lit(0.0))
         row = {"a_pred": a, "p_pred": p, "v": v, "f": f, "a_filt": a_filt,
                "p_filt": p * (1 - gain), "loglik": loglik}
-        return a_filt, F.struct(*[c.alias(n) for n, c in row.items()])
+        return stepped(a_filt, F.struct(*[c.alias(n) for n, c in row.items()]))
     return scan(y, a0.cast("double"), step, STEP)["out"]
 
 
@@ -71,13 +72,13 @@ def smoother_array(filtered: Column, q: Column) -> Column:
     last = F.element_at(filtered, -1)
     zero = F.struct(last["a_filt"].alias("a"), last["p_filt"].alias("p"))
 
-    def step(state: Column, row: Column) -> tuple[Column, Column]:
+    def step(state: Column, row: Column) -> Column:
         p_hat = row["p_filt"] + q + JITTER
         gain = row["p_filt"] / p_hat
         a = row["a_filt"] + gain * (state["a"] - row["a_filt"])
         p = row["p_filt"] + gain * gain * (state["p"] - p_hat)
         out = F.struct(a.alias("a_smooth"), p.alias("p_smooth"))
-        return F.struct(a.alias("a"), p.alias("p")), out
+        return stepped(F.struct(a.alias("a"), p.alias("p")), out)
     earlier = F.reverse(F.slice(filtered, 1, F.size(filtered) - 1))
     backward = scan(earlier, zero, step, "struct<a_smooth:double,p_smooth:double>")["out"]
     end = F.array(F.struct(last["a_filt"].alias("a_smooth"), last["p_filt"].alias("p_smooth")))

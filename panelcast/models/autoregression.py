@@ -16,9 +16,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelcast.functions.calendar import base_freq
-from panelcast.functions.recursions import normal_quantile, scan
+from panelcast.functions.recursions import normal_quantile, scan, stepped
 from panelcast.operators.grid import by_date
-from panelcast.operators.search import SCORED
+from panelcast.operators.search import SCORED, grid_params, grid_size
 
 MAX_LAG = 5
 SEASON = {"D": 7, "W": 52, "M": 12, "Q": 4, "Y": 1}
@@ -99,34 +99,36 @@ class _Sums:
         return coef, float(np.sqrt(sse / n)), n, "ok"
 
 
-def fit_ar(moments_rows: DataFrame, candidates: DataFrame, freq: str = "W-MON") -> DataFrame:
+def with_candidates(sums: DataFrame, numbers: Column | None = None) -> DataFrame:
+    """Attach candidate numbers (all of the grid by default) and parameters."""
+    numbers = numbers if numbers is not None else F.sequence(F.lit(0), F.lit(grid_size(GRID) - 1))
+    return sums.withColumn("ids", numbers.cast("array<int>")).withColumn(
+        "params", F.transform("ids", lambda i: grid_params(i, GRID)))
+
+
+def with_fixed(sums: DataFrame, lags: int = 1, trend: str = "c", seasonal: bool = False) -> DataFrame:
+    params = F.create_map(F.lit("lags"), F.lit(str(lags)), F.lit("trend"), F.lit(trend),
+                          F.lit("seasonal"), F.lit(str(seasonal).lower()))
+    return sums.withColumns({"ids": F.array(F.lit(0)), "params": F.array(params)})
+
+
+def fit_ar(rows: DataFrame, freq: str = "W-MON") -> DataFrame:
     """Solve the candidates of each series from its sums, unpacked once."""
     season = SEASON[base_freq(freq)]
-    # A grid has a fixed number of combinations, which bounds these lists.
-    listed = candidates.groupBy("series_id", "model").agg(
-        F.sort_array(F.collect_list("candidate_id")).alias("ids"),
-        F.map_from_entries(F.collect_list(F.struct("candidate_id", "params"))).alias("by_id"))
-    listed = listed.select("series_id", "model", "ids", F.transform("ids", lambda i: F.col("by_id")[i]).alias("params"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for _, row in batch.iterrows():
+            parts = []
+            for row in batch.to_dict("records"):
                 sums, every = _Sums(row, season), [dict(p) for p in row["params"]]
                 solved = [sums.solve(params, season) for params in every]
-                yield pd.DataFrame({
-                    "series_id": row["series_id"], "model": row["model"], "candidate_id": row["ids"],
-                    "params": every, "coef": [s[0] for s in solved], "n": [s[2] for s in solved],
-                    "score": pd.array([None if np.isnan(s[1]) else s[1] for s in solved], dtype="Float64"),
-                    "status": [s[3] for s in solved]})
-
-    return listed.join(moments_rows, "series_id").mapInPandas(run, SCORED)
-
+                parts += [(row["series_id"], "ar", i, p, s[0], s[2], None if np.isnan(s[1]) else s[1], s[3])
+                          for i, p, s in zip(row["ids"], every, solved)]
+            out = pd.DataFrame(parts, columns=["series_id", "model", "candidate_id", "params", "coef", "n", "score", "status"])
+            out["score"] = out["score"].astype("Float64")
+            yield out
 
-def fixed_candidate(series: DataFrame, lags: int = 1, trend: str = "c", seasonal: bool = False) -> DataFrame:
-    params = F.create_map(F.lit("lags"), F.lit(str(lags)), F.lit("trend"), F.lit(trend),
-                          F.lit("seasonal"), F.lit(str(seasonal).lower()))
-    return series.select("series_id", F.lit("ar").alias("model"), F.lit(0).alias("candidate_id"),
-                         params.alias("params"))
+    return rows.mapInPandas(run, SCORED)
 
 
 def _level(coef: Column, t: Column) -> Column:
@@ -166,14 +168,14 @@ def stderr_array(steps: int) -> Column:
     of past shocks (``coef`` gives the weights, ``score`` is sigma)."""
     coef = F.col("coef")
 
-    def step(state: Column, _: Column) -> tuple[Column, Column]:
+    def step(state: Column, _: Column) -> Column:
         weights, total = state["w"], state["v"]
         following = F.lit(0.0)
         for k in range(1, MAX_LAG + 1):
             following = following + coef[1 + k] * weights[k - 1]
         new = F.concat(F.array(following), F.slice(weights, 1, MAX_LAG - 1))
-        return (F.struct(new.alias("w"), (total + following * following).alias("v")),
-                F.col("score") * F.sqrt(total))
+        return stepped(F.struct(new.alias("w"), (total + following * following).alias("v")),
+                       F.col("score") * F.sqrt(total))
 
     first = F.array(*[F.lit(1.0 if k == 0 else 0.0) for k in range(MAX_LAG)])
     zero = F.struct(first.alias("w"), F.lit(1.0).alias("v"))

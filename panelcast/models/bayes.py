@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelcast.functions.calendar import BAYES_SEASON, BAYES_SEASON_FALLBACK, base_freq
-from panelcast.operators.grid import by_date, time_index
+from panelcast.operators.grid import by_date, time_index, whole
 
 FITTED = ("series_id string, model string, params map<string,string>, coef array<double>, "
           "variance array<double>, sigma2 double, loglik double, n bigint")
@@ -28,15 +28,16 @@ def season_length(freq: str) -> int:
 
 def season_sums(train: DataFrame, season: int) -> DataFrame:
     """One row per series: sums of 1, t, t^2, z, tz, z^2 by season index."""
-    rows = time_index(train, season).withColumn("t", F.col("t").cast("double"))
+    rows = time_index(train.withColumn("center_z", F.median("z").over(whole())), season)
+    rows = rows.withColumn("t", F.col("t").cast("double"))
     sums = rows.groupBy("series_id", "season_index").agg(
         F.count("*").cast("double").alias("n"), F.sum("t").alias("t"), F.sum(F.col("t") ** 2).alias("tt"),
-        F.sum("z").alias("z"), F.sum(F.col("t") * F.col("z")).alias("tz"), F.sum(F.col("z") ** 2).alias("zz"))
+        F.sum("z").alias("z"), F.sum(F.col("t") * F.col("z")).alias("tz"), F.sum(F.col("z") ** 2).alias("zz"), F.first("center_z").alias("center_z"))
     part = F.struct("season_index", "n", "t", "tt", "z", "tz", "zz")
-    center = train.groupBy("series_id").agg(F.median("z").alias("center_z"))
-    listed = sums.groupBy("series_id").agg(F.sort_array(F.collect_list(part)).alias("m"))
+    listed = sums.groupBy("series_id").agg(F.sort_array(F.collect_list(part)).alias("m"),
+                                           F.first("center_z").alias("center_z"))
     columns = ["season_index", "n", "t", "tt", "z", "tz", "zz"]
-    return listed.select("series_id", *[F.col(f"m.{c}").alias(c) for c in columns]).join(center, "series_id")
+    return listed.select("series_id", "center_z", *[F.col(f"m.{c}").alias(c) for c in columns])
 
 
 def _posterior(row, season, learn_scales, rounds):

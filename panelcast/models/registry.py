@@ -16,7 +16,7 @@ from panelcast.functions.calendar import lags_of
 from panelcast.functions.recursions import normal_quantile
 from panelcast.models import arima, autoregression, bayes, decomposable, learners, smoothing, statespace
 from panelcast.operators.search import (apply_rows, draw_grid, explode_grid, fit_candidates, kfold_candidates,
-                                        pick_best_candidate, refit, sample_candidates)
+                                        pick_best_candidate, refit, sample_candidates, sampled_numbers)
 
 
 @dataclass(frozen=True)
@@ -99,13 +99,13 @@ def _ar() -> Family:
 
     def search(arrays, freq, n_iter=50, seed=0):
         sums = model.moments(_rows(arrays), freq)
-        return pick_best_candidate(model.fit_ar(
-            sums, sample_candidates(arrays.select("series_id"), "ar", model.GRID, n_iter, seed), freq))
+        chosen = sampled_numbers("ar", model.GRID, n_iter, seed)
+        return pick_best_candidate(model.fit_ar(model.with_candidates(sums, chosen), freq))
 
     def predict(best, arrays, steps, freq, alpha=0.05, refit_rows=False):
         if refit_rows:
-            again = best.select("series_id", "model", "params").withColumn("candidate_id", F.lit(0))
-            best = pick_best_candidate(model.fit_ar(model.moments(_rows(arrays), freq), again, freq))
+            again = best.select("series_id", F.array(F.lit(0)).alias("ids"), F.array("params").alias("params"))
+            best = pick_best_candidate(model.fit_ar(model.moments(_rows(arrays), freq).join(again, "series_id"), freq))
         kept = best.select("series_id", "model", "params", "coef", "score")
         fits = (model.ar_fitted(_rows(arrays), kept, freq).groupBy("series_id")
                 .agg(F.sort_array(F.collect_list(F.struct("ds", "zhat"))).alias("f"))

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelcast.functions.calendar import season_periods_of
-from panelcast.functions.recursions import damped_sum, normal_quantile, scan
+from panelcast.functions.recursions import damped_sum, let, normal_quantile, scan, stepped
 from panelcast.operators.search import fit_candidates, sample_candidates, sample_order
 
 STATE_COLUMNS = ["trend", "seasonal", "alpha", "beta", "gamma", "phi", "l0", "b0", "s0"]
@@ -60,20 +60,27 @@ def _with_season(base: Column, swing: Column) -> Column:
     return F.when(kind == "add", base + swing).when(kind == "mul", base * swing).otherwise(base)
 
 
-def _step(state: Column, y: Column) -> tuple[Column, Column]:
+def _step(state: Column, y: Column) -> Column:
     alpha, beta, gamma, phi = (F.col(c) for c in ("alpha", "beta", "gamma", "phi"))
     multiplies = F.col("seasonal") == "mul"
     level, trend, seas = state["l"], state["b"], state["s"]
-    swing = F.when(F.col("seasonal") == "none", F.lit(0.0)).otherwise(F.element_at(seas, 1))
-    base = _base(level, trend, phi)
-    yhat = _with_season(base, swing)
-    e = y - yhat
-    e1 = F.when(multiplies, e / swing).otherwise(e)
-    next_trend = (F.when(F.col("trend") == "add", phi * trend + beta * e1)
-                  .when(F.col("trend") == "mul", F.pow(trend, phi) + beta * e1 / level).otherwise(trend))
-    next_swing = swing + gamma * F.when(multiplies, e / base).otherwise(e)
-    rotated = F.when(F.size(seas) > 0, F.concat(F.slice(seas, 2, F.size(seas)), F.array(next_swing))).otherwise(seas)
-    return (F.struct((base + alpha * e1).alias("l"), next_trend.alias("b"), rotated.alias("s")), yhat)
+
+    def correct(p: Column) -> Column:
+        """Update from the one-step prediction ``p`` (base, swing, yhat)."""
+        e = y - p["yhat"]
+        e1 = F.when(multiplies, e / p["swing"]).otherwise(e)
+        next_trend = (F.when(F.col("trend") == "add", phi * trend + beta * e1)
+                      .when(F.col("trend") == "mul", F.pow(trend, phi) + beta * e1 / level).otherwise(trend))
+        rotated = F.when(F.size(seas) > 0, F.concat(F.slice(seas, 2, F.size(seas)), F.array(
+            p["swing"] + gamma * F.when(multiplies, e / p["base"]).otherwise(e)))).otherwise(seas)
+        following = F.struct((p["base"] + alpha * e1).alias("l"), next_trend.alias("b"), rotated.alias("s"))
+        return stepped(following, p["yhat"])
+
+    swing = F.when(F.size(seas) == 0, F.lit(0.0)).otherwise(F.element_at(seas, 1))
+    parts = F.struct(_base(level, trend, phi).alias("base"), swing.alias("swing"))
+    return let(parts, lambda b: let(
+        F.struct(b["base"].alias("base"), b["swing"].alias("swing"),
+                 _with_season(b["base"], b["swing"]).alias("yhat")), correct))
 
 
 def smooth(rows: DataFrame, value: str = "z") -> DataFrame:
@@ -113,7 +120,7 @@ def variance_factors(steps: int) -> Column:
         c = F.col("alpha") + trend_part + F.when(whole_cycle, F.col("gamma")).otherwise(F.lit(0.0))
         return c * c
     out = scan(F.sequence(F.lit(1), F.lit(steps)), F.lit(1.0),
-               lambda acc, j: (acc + weight(j), acc), "double")
+               lambda acc, j: stepped(acc + weight(j), acc), "double")
     return out["out"]
 
 

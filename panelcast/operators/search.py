@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelcast.functions.calendar import future_array
 from panelcast.operators.grid import by_date, whole
+from panelcast.session import spread
 
 SCORED = ("series_id string, model string, candidate_id int, params map<string,string>, "
           "coef array<double>, n bigint, score double, status string")
@@ -44,35 +45,46 @@ def explode_grid(rows: DataFrame, model: str, grid: Grid) -> DataFrame:
             .withColumn("params", grid_params(F.col("candidate_id"), grid)))
 
 
-def draw_grid(rows: DataFrame, model: str, grid: Grid, n_iter: int, seed: int = 0) -> DataFrame:
-    """``n_iter`` draws with replacement per row, repeats merged.
+def drawn_numbers(model: str, grid: Grid, n_iter: int, seed: int = 0) -> Column:
+    """``n_iter`` draws with replacement, repeats merged.
 
     The draws are hashes of series, draw number and seed, so a large grid is
     never expanded and a rerun draws the same candidates.
     """
     draw = lambda i: F.pmod(F.xxhash64(F.col("series_id"), F.lit(model), i, F.lit(seed)), F.lit(grid_size(grid)))
-    drawn = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(n_iter)), draw))
-    return (rows.select("*", F.lit(model).alias("model"), F.explode(drawn.cast("array<int>")).alias("candidate_id"))
-            .withColumn("params", grid_params(F.col("candidate_id"), grid)))
-
-
-def sample_order(seed: int) -> Column:
-    return F.xxhash64("series_id", "model", "candidate_id", F.lit(seed))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(n_iter)), draw)).cast("array<int>")
 
 
-def sample_candidates(rows: DataFrame, model: str, grid: Grid, n_iter: int, seed: int = 0) -> DataFrame:
-    """``n_iter`` different candidates per row (all, if the grid is smaller).
+def sampled_numbers(model: str, grid: Grid, n_iter: int, seed: int = 0) -> Column:
+    """``n_iter`` different candidates (all, if the grid is smaller).
 
     For small grids: all numbers of the grid are put in a seeded hash order
     inside one array, of which the first ``n_iter`` are kept.
     """
     numbered = F.transform(F.sequence(F.lit(0), F.lit(grid_size(grid) - 1)), lambda i: F.struct(
         F.xxhash64(F.col("series_id"), F.lit(model), i, F.lit(seed)).alias("h"), i.alias("i")))
-    chosen = F.transform(F.slice(F.sort_array(numbered), 1, n_iter), lambda e: e["i"])
-    return (rows.select("*", F.lit(model).alias("model"), F.explode(chosen.cast("array<int>")).alias("candidate_id"))
+    return F.transform(F.slice(F.sort_array(numbered), 1, n_iter), lambda e: e["i"]).cast("array<int>")
+
+
+def draw_grid(rows: DataFrame, model: str, grid: Grid, n_iter: int, seed: int = 0) -> DataFrame:
+    """One row per drawn candidate, with replacement; see ``drawn_numbers``."""
+    return _exploded(rows, model, grid, drawn_numbers(model, grid, n_iter, seed))
+
+
+def sample_candidates(rows: DataFrame, model: str, grid: Grid, n_iter: int, seed: int = 0) -> DataFrame:
+    """One row per sampled candidate, without replacement; see ``sampled_numbers``."""
+    return _exploded(rows, model, grid, sampled_numbers(model, grid, n_iter, seed))
+
+
+def _exploded(rows: DataFrame, model: str, grid: Grid, numbers: Column) -> DataFrame:
+    return (rows.select("*", F.lit(model).alias("model"), F.explode(numbers).alias("candidate_id"))
             .withColumn("params", grid_params(F.col("candidate_id"), grid)))
 
 
+def sample_order(seed: int) -> Column:
+    return F.xxhash64("series_id", "model", "candidate_id", F.lit(seed))
+
+
 FitOne = Callable[[np.ndarray, dict], tuple[np.ndarray, float, str]]
 
 
@@ -121,7 +133,7 @@ def fit_candidates(rows: DataFrame, fit_one: FitOne, value: str = "z") -> DataFr
                 "score": pd.array(scores, dtype="Float64"), "status": notes})
 
     needed = rows.select("series_id", "model", "candidate_id", "params", value)
-    return needed.repartition("series_id", "candidate_id").mapInPandas(run, SCORED)
+    return spread(needed, "series_id", "candidate_id").mapInPandas(run, SCORED)
 
 
 def apply_rows(rows: DataFrame, apply_one, steps: int, freq: str = "W-MON", value: str = "z") -> DataFrame:
@@ -174,10 +186,9 @@ def kfold_candidates(rows: DataFrame, score_fold, folds: int = 3, value: str = "
             out["mse"] = pd.array(scores, dtype="Float64")
             yield out
 
-    spread = (rows.select("series_id", "model", "candidate_id", "params", "ds", value,
-                          F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
-              .repartition("series_id", "candidate_id", "fold"))
-    scored = spread.mapInPandas(run, "series_id string, model string, candidate_id int, "
+    every = rows.select("series_id", "model", "candidate_id", "params", "ds", value,
+                        F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"))
+    scored = spread(every, "series_id", "candidate_id", "fold").mapInPandas(run, "series_id string, model string, candidate_id int, "
                                      "params map<string,string>, fold int, mse double")
     # A candidate counts only if every fold could be scored.
     mean = F.when(F.count("mse") == folds, F.avg("mse"))

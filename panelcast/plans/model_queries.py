@@ -203,8 +203,7 @@ ahead AS (SELECT e.series_id, CAST(0 AS BIGINT) AS h, e.z AS m, CAST(0 AS DOUBLE
 
 def _ar1(spark, d, source="supplier"):
     train = _train(spark, d, source)
-    series = autoregression.fixed_candidate(train.select("series_id").distinct())
-    return train, autoregression.fit_ar(autoregression.moments(train), series)
+    return train, autoregression.fit_ar(autoregression.with_fixed(autoregression.moments(train)))
 
 
 @query("ar_fit", with_("supplier", AR_SQL) + "SELECT series_id, round(c, 6) AS const, round(phi, 6) AS phi, round(sigma, 6) AS sigma, n FROM res")
@@ -245,9 +244,8 @@ def _(spark, d):
 
 @query("ar_search")
 def _(spark, d):
-    train = _train(spark, d)
-    candidates = search.explode_grid(train.select("series_id").distinct(), "ar", autoregression.GRID)
-    best = search.pick_best_candidate(autoregression.fit_ar(autoregression.moments(train), candidates))
+    sums = autoregression.with_candidates(autoregression.moments(_train(spark, d)))
+    best = search.pick_best_candidate(autoregression.fit_ar(sums))
     return best.select("series_id", "model", params_text(), F.round("score", 6).alias("score"))
 
 

@@ -68,3 +68,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Even distribution of rows that are small but costly to process.
+
+    The number of partitions is given, because adaptive execution would merge
+    partitions by their bytes, which say little about the work on them.
+    """
+    spark = df.sparkSession
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(count, *keys)
