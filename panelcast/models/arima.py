@@ -57,8 +57,20 @@ def _trend_columns(n, trend):
     return np.column_stack([c for flag, c in (("c", np.ones(n)), ("t", t / 100.0)) if flag in trend] or [np.empty((n, 0))])
 
 
-def _residuals(w, thetas, order, trend):
-    """Residuals of several parameter vectors at once (n x B)."""
+def _burn(n, order, k):
+    """Rows that only start the lags and are left out of the squared errors.
+
+    The seasonal lags are conditioned on too when enough rows remain.
+    """
+    p, _, _, P, _, _, s = order
+    return p + P * s if n - p - P * s >= max(40, 3 * k) else p
+
+
+def _residuals(w, thetas, order, trend, burn):
+    """Residuals of several parameter vectors at once (n x B).
+
+    The first ``burn`` rows see zeros as their past and hand no shocks on.
+    """
     x = _trend_columns(len(w), trend)
     polys = [_polynomials(theta, order, x.shape[1]) for theta in thetas]
     e = np.column_stack([np.convolve(w, a)[:len(w)] - x @ th[:x.shape[1]] for (a, _), th in zip(polys, thetas)])
@@ -67,10 +79,11 @@ def _residuals(w, thetas, order, trend):
     if len(lags):
         weights = ma[:, lags].T
         # Room before the start makes every lag addressable.
-        padded = np.vstack([np.zeros((lags[-1], e.shape[1])), e])
-        for t in range(lags[-1], len(padded)):
+        room = lags[-1]
+        padded = np.vstack([np.zeros((room + burn, e.shape[1])), e[burn:]])
+        for t in range(room + burn, len(padded)):
             padded[t] -= (weights * padded[t - lags]).sum(axis=0)
-        e = padded[lags[-1]:]
+        e = np.vstack([e[:burn], padded[room + burn:]])
     return e
 
 
@@ -85,29 +98,27 @@ def _inside(theta, order, k_trend):
     return all(_stable(np.r_[1.0, sign * part]) for sign, part in ((-1, a), (1, b), (-1, c), (1, d)))
 
 
-def _before(z, count, d):
-    """Predictions of the rows that differencing uses up: the previous value
-    when there are ordinary differences, else 0.  They take part in the score,
-    so candidates are compared over the same rows."""
-    return np.r_[0.0, z[:count - 1]] if d and count else np.zeros(count)
-
-
 def fit_arima(z: np.ndarray, params: dict, rounds: int = 12) -> tuple[np.ndarray, float, str]:
-    """Conditional least squares; ``coef`` is trend, AR, MA, seasonal AR, MA."""
+    """Conditional least squares; ``coef`` is trend, AR, MA, seasonal AR, MA.
+
+    The score is the in-sample error over the rows that have their lags.
+    """
     order, trend = orders(params)
     p, d, q, P, D, Q, s = order
     w = _difference(z, d, D, s)
     k_trend = _trend_columns(2, trend).shape[1]
     k = k_trend + p + q + P + Q
-    if len(w) < max(2 * k, 20) + (P + Q > 0) * s:
+    if len(w) < max(3 * k, 40 if d or D or P or Q else 10) + p:
         return np.array([]), np.nan, "failed: too few rows after differencing"
     theta = np.zeros(k)
     if k_trend:
         theta[:k_trend] = np.linalg.lstsq(_trend_columns(len(w), trend), w, rcond=None)[0]
-    best = _residuals(w, [theta], order, trend)[:, 0]
+    burn = _burn(len(w), order, k)
+    run = lambda thetas: _residuals(w, thetas, order, trend, burn)[burn:]
+    best = run([theta])[:, 0]
     damping, step = 1e-2, 1e-5
     for _ in range(rounds if k else 0):
-        moved = _residuals(w, [theta] + [theta + step * unit for unit in np.eye(k)], order, trend)
+        moved = run([theta] + [theta + step * unit for unit in np.eye(k)])
         slope = (moved[:, 1:] - moved[:, :1]) / step
         gram, grad = slope.T @ slope, slope.T @ moved[:, 0]
         tries = [theta - np.linalg.solve(gram + lam * (np.diag(np.diag(gram)) + 1e-9 * np.eye(k)), grad)
@@ -118,7 +129,7 @@ def fit_arima(z: np.ndarray, params: dict, rounds: int = 12) -> tuple[np.ndarray
             if damping > 1e6:
                 break
             continue
-        sse = (_residuals(w, tries, order, trend) ** 2).sum(axis=0)
+        sse = (run(tries) ** 2).sum(axis=0)
         i = int(np.nanargmin(np.where(np.isfinite(sse), sse, np.inf)))
         old = (best ** 2).sum()
         if not sse[i] < old:
@@ -127,22 +138,23 @@ def fit_arima(z: np.ndarray, params: dict, rounds: int = 12) -> tuple[np.ndarray
                 break
             continue
         theta, damping = tries[i], max(damping / 5, 1e-6)
-        best = _residuals(w, [theta], order, trend)[:, 0]
+        best = run([theta])[:, 0]
         if old - sse[i] < 1e-7 * old:
             break
-    score = float(np.sqrt((np.sum(best ** 2) + np.sum((z[:len(z) - len(w)] - _before(z, len(z) - len(w), d)) ** 2)) / len(z)))
+    score = float(np.sqrt(np.mean(best ** 2)))
     return theta, score, "ok" if np.isfinite(score) else "failed: diverged"
 
 
 def apply_arima(z, ds, params, coef, future):
-    """Fits after differencing, forecasts, and standard errors."""
+    """Fits of the rows that have their lags, forecasts, and standard errors."""
     del ds
     steps = len(future)
     order, trend = orders(params)
     p, d, q, P, D, Q, s = order
     w = _difference(z, d, D, s)
     k_trend = _trend_columns(2, trend).shape[1]
-    e = _residuals(w, [coef], order, trend)[:, 0]
+    burn = _burn(len(w), order, len(coef))
+    e = _residuals(w, [coef], order, trend, burn)[:, 0]
     ar, ma = _polynomials(coef, order, k_trend)
     for lag in [1] * d + [s] * D:
         unit = np.zeros(lag + 1)
@@ -152,13 +164,12 @@ def apply_arima(z, ds, params, coef, future):
     # Zeros before the start stand for the presample in both recursions.
     room = len(ar) + len(ma)
     past = np.r_[np.zeros(room), z, np.zeros(steps)]
-    shocks = np.r_[np.zeros(room + len(z) - len(e)), e, np.zeros(steps)]
+    shocks = np.r_[np.zeros(room + len(z) - len(e) + burn), e[burn:], np.zeros(steps)]
     psi = np.r_[np.zeros(len(ar)), np.zeros(steps)]
     for h in range(steps):
         t = room + len(z) + h
         past[t] = (drift[h] - ar[1:] @ past[t - len(ar) + 1:t][::-1] + ma[1:] @ shocks[t - len(ma) + 1:t][::-1])
         own = ma[h] if h < len(ma) else 0.0
         psi[len(ar) + h] = own - ar[1:] @ psi[h + 1:len(ar) + h][::-1]
-    sigma = np.sqrt(np.mean(e ** 2))
-    count = len(z) - len(e)
-    return np.r_[_before(z, count, d), z[count:] - e], past[-steps:], sigma * np.sqrt(np.cumsum(psi[len(ar):] ** 2))
+    sigma = np.sqrt(np.mean(e[burn:] ** 2))
+    return z[len(z) - len(e) + burn:] - e[burn:], past[-steps:], sigma * np.sqrt(np.cumsum(psi[len(ar):] ** 2))
