@@ -60,9 +60,14 @@ def drop_missing(panel: DataFrame, column: str = "y") -> DataFrame:
     return panel.where(F.col(column).isNotNull() & ~F.isnan(column))
 
 
-def regularize(panel: DataFrame, freq: str = "W-MON") -> DataFrame:
-    """Grid, forward fill, leading gaps removed."""
-    return drop_missing(forward_fill(calendar_spine(panel, freq)))
+def regularize(panel: DataFrame, freq: str = "W-MON", duplicates: str = "sum") -> DataFrame:
+    """Duplicates merged, grid, forward fill, leading gaps removed.
+
+    Merging costs no exchange where the panel was just aggregated by series
+    and date, as every panel derived from facts is.
+    """
+    unique = collapse_duplicates(panel, duplicates).drop("n_rows")
+    return drop_missing(forward_fill(calendar_spine(unique, freq)))
 
 
 def filter_date_range(panel: DataFrame, start: str, end: str) -> DataFrame:
@@ -77,6 +82,22 @@ def infer_step_days(panel: DataFrame) -> DataFrame:
         F.max_by("step_days", F.struct(F.col("count"), -F.col("step_days"))).alias("step_days"))
 
 
+def assign_frequency(panel: DataFrame, config: DataFrame) -> DataFrame:
+    """``series_id, freq`` of every series: configured, or read off its dates.
+
+    The commonest step decides: a day, a week (anchored at the weekday of the
+    first date), or the days of a month, quarter or year.
+    """
+    step = F.col("step_days")
+    weekly = F.concat(F.lit("W-"), F.upper(F.date_format("first_ds", "EEE")))
+    read = (F.when(step == 1, "D").when(step == 7, weekly).when(step.between(28, 31), "M")
+            .when(step.between(89, 92), "Q").when(step.between(365, 366), "Y"))
+    first = panel.groupBy("series_id").agg(F.min("ds").alias("first_ds"))
+    return (first.join(infer_step_days(panel), "series_id", "left")
+            .join(config.select("series_id", F.col("freq").alias("configured")), "series_id", "left")
+            .select("series_id", F.coalesce(F.upper("configured"), read).alias("freq")))
+
+
 def time_index(panel: DataFrame, season: int) -> DataFrame:
     """Position ``t`` from 0 and season index ``t mod season``."""
     t = F.row_number().over(by_date()) - 1

@@ -9,11 +9,16 @@ from pyspark.sql import DataFrame, functions as F
 from panelcast.models import trees
 from panelcast.models.registry import FAMILIES
 from panelcast.operators.evaluate import best_model, confidence_label, evaluate_models
+from panelcast.operators.grid import assign_frequency, regularize
 from panelcast.plans.prepare import all_arrays, prepare, to_predictions, train_arrays
 from panelcast.schemas import HORIZON
 from panelcast.session import materialize
 from panelcast.sources.stores import union_results
 
+# Candidates tried per family unless the caller says otherwise.
+DEFAULT_DRAWS = {"gb": 20, "rf": 16, "svr": 20, "mlp": 12}
+OTHER_DRAWS = 50
+
 # The families of a default run; "ar", "hw", "bayes" and "ssm" are opt-in.
 DEFAULT_FAMILIES = ("ets", "arima", "gb", "rf", "svr", "mlp", "prophet")
 TREE_FAMILIES = ("gb", "rf")
@@ -52,7 +57,7 @@ def _tree_run(prepared, arrays, family, steps, freq, n_iter, seed, params=None,
 
 
 def run_experiment(panel: DataFrame, families: tuple[str, ...] = DEFAULT_FAMILIES, freq: str = "W-MON",
-                   horizon: int = HORIZON, n_iter: int = 50, seed: int = 0) -> Experiment:
+                   horizon: int = HORIZON, n_iter: int | None = None, seed: int = 0) -> Experiment:
     """Search, fit, forecast and score every family on every series.
 
     Families run one after another, each as jobs over the whole panel.  What
@@ -62,11 +67,12 @@ def run_experiment(panel: DataFrame, families: tuple[str, ...] = DEFAULT_FAMILIE
     arrays = materialize(train_arrays(prepared), "train-arrays")
     bests, predictions = [], []
     for name in families:
+        draws = n_iter or DEFAULT_DRAWS.get(name, OTHER_DRAWS)
         if name in TREE_FAMILIES:
-            best, rows = _tree_run(prepared.where("split = 'train'"), arrays, name, horizon, freq, n_iter, seed)
+            best, rows = _tree_run(prepared.where("split = 'train'"), arrays, name, horizon, freq, draws, seed)
         else:
             family = FAMILIES[name]
-            best = materialize(family.search(arrays, freq, n_iter, seed), f"best-{name}")
+            best = materialize(family.search(arrays, freq, draws, seed), f"best-{name}")
             rows = to_predictions(family.predict(best, arrays, horizon, freq), freq)
         bests.append(best.select("series_id", "model", "params", "score"))
         predictions.append(materialize(rows.drop("center", "scale"), f"predictions-{name}"))
@@ -75,6 +81,19 @@ def run_experiment(panel: DataFrame, families: tuple[str, ...] = DEFAULT_FAMILIE
     return Experiment(prepared, union_results(*bests), merged, scores)
 
 
+def run_by_frequency(panel: DataFrame, config: DataFrame, **options) -> dict[str, Experiment]:
+    """One experiment per frequency in use, for panels that mix frequencies.
+
+    The loop is over the few frequencies a calendar knows, never over series.
+    """
+    assigned = materialize(assign_frequency(panel, config), "frequencies")
+    runs = {}
+    for (freq,) in assigned.where("freq IS NOT NULL").select("freq").distinct().collect():
+        mine = panel.join(assigned.where(F.col("freq") == freq).select("series_id"), "series_id", "left_semi")
+        runs[freq] = run_experiment(regularize(mine, freq), freq=freq, **options)
+    return runs
+
+
 def future_forecast_best(run: Experiment, periods: int = HORIZON, freq: str = "W-MON", alpha: float = 0.05,
                          seed: int = 0) -> DataFrame:
     """Refit each series' best model on all its rows and forecast past the end.

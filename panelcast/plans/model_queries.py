@@ -171,12 +171,16 @@ def _(spark, d):
     return sums.select("series_id", "candidate_id", *[F.round(c, 5).alias(n) for n, c in criteria.items()])
 
 
-@query("skip_failed_candidates")
+@query("skip_failed_candidates", with_("priority", ETS_SQL) + """, lows AS (SELECT series_id, min(z) AS low, count(*) AS m
+ FROM split WHERE split = 'train' GROUP BY 1)
+SELECT g.series_id, g.candidate_id, params NOT LIKE '%damped_trend=true%trend=none' AND NOT (params LIKE '%=mul%' AND low <= 0)
+ AND (params LIKE '%seasonal=none%' OR m >= 2 * CAST(regexp_extract(params, 'seasonal_periods=([0-9]+)', 1) AS INTEGER)) AS kept
+FROM g JOIN lows l ON l.series_id = g.series_id""")
 def _(spark, d):
-    scored = smoothing.search(_arrays(spark, d), "hw", smoothing.hw_grid("W-MON"), 6)
+    scored = smoothing.search(_arrays(spark, d), "ets", smoothing.ets_grid("W-MON"), 108)
     kept = search.skip_failed_candidates(scored).select("series_id", "candidate_id", F.lit(True).alias("kept"))
     return (scored.join(kept, ["series_id", "candidate_id"], "left")
-            .select("series_id", "candidate_id", "status", F.coalesce("kept", F.lit(False)).alias("kept")))
+            .select("series_id", "candidate_id", F.coalesce("kept", F.lit(False)).alias("kept")))
 
 
 @query("pick_best_candidate", with_("supplier", GRID_RUN, recursive=True) + """, s AS (SELECT series_id, candidate_id,

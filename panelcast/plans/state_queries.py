@@ -161,7 +161,22 @@ def _(spark, d):
     return rounded(out, 6, *out.columns[2:])
 
 
-@query("kf_multivariate")
+MULTI = """WITH RECURSIVE w AS (SELECT CAST(c_nationkey AS VARCHAR) AS series_id, CAST(date_trunc('week', o_orderdate) AS DATE) AS ds,
+  sum(o_totalprice) AS y, CAST(count(*) AS DOUBLE) AS c FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+st AS (SELECT series_id, median(y) AS my, stddev_samp(y) AS sy, median(c) AS mc, stddev_samp(c) AS sc FROM w GROUP BY 1),
+zs AS (SELECT w.series_id, ds, (y - my) / sy AS z1, (c - mc) / sc AS z2,
+  row_number() OVER (PARTITION BY w.series_id ORDER BY ds) - 1 AS t FROM w JOIN st ON st.series_id = w.series_id),
+kf AS (SELECT series_id, CAST(-1 AS BIGINT) AS t, CAST(NULL AS DATE) AS ds, CAST(0 AS DOUBLE) AS a, CAST(1 AS DOUBLE) AS p,
+  CAST(0 AS DOUBLE) AS level, CAST(0 AS DOUBLE) AS loglik FROM (SELECT DISTINCT series_id FROM zs)
+ UNION ALL
+ SELECT series_id, t, ds, a2, p2 + 1e-8 + 0.04, a2, -0.5 * (2 * ln(2 * pi()) + ln(p + 0.5) + ln(p1 + 0.7)
+   + (z1 - a) * (z1 - a) / (p + 0.5) + (z2 - a1) * (z2 - a1) / (p1 + 0.7))
+ FROM (SELECT *, a1 + p1 / (p1 + 0.7) * (z2 - a1) AS a2, p1 - p1 * p1 / (p1 + 0.7) AS p2
+  FROM (SELECT k.series_id, x.t, x.ds, x.z1, x.z2, k.a, k.p, k.a + k.p / (k.p + 0.5) * (x.z1 - k.a) AS a1,
+    k.p - k.p * k.p / (k.p + 0.5) AS p1 FROM kf k JOIN zs x ON x.series_id = k.series_id AND x.t = k.t + 1)))"""
+
+
+@query("kf_multivariate", MULTI + f" SELECT series_id, ds, {r('level', 5)} AS level, {r('loglik', 5)} AS loglik FROM kf WHERE t >= 0")
 def _(spark, d):
     """Order value and order count per nation seen as two views of one level."""
     facts = panels.read_table(spark, d, "orders")
@@ -171,13 +186,14 @@ def _(spark, d):
                   F.col("o_custkey") == F.col("c_custkey"))
             .groupBy(F.col("c_nationkey").cast("string").alias("series_id"), "ds")
             .agg(F.sum("y").alias("y"), F.sum("c").alias("c")))
-    scaled = both.withColumns({
-        "z1": (F.col("y") - F.median("y").over(grid.whole())) / F.stddev("y").over(grid.whole()),
-        "z2": (F.col("c") - F.median("c").over(grid.whole())) / F.stddev("c").over(grid.whole())})
+    every = grid.whole()
+    scaled = both.withColumns({c: (F.col(v) - F.median(v).over(every)) / F.stddev(v).over(every)
+                               for c, v in (("z1", "y"), ("z2", "c"))})
     points = F.sort_array(F.collect_list(F.struct("ds", "z1", "z2")))
     arrays = scaled.groupBy("series_id").agg(points.alias("p")).select(
         "series_id", F.col("p.ds").alias("ds"), F.col("p.z1").alias("z1"), F.col("p.z2").alias("z2"))
-    return ss.kf_columns(arrays, ["z1", "z2"], [ss.level_trend(1, 0.2)], [0.5, 0.7])
+    out = ss.kf_columns(arrays, ["z1", "z2"], [ss.level_trend(1, 0.2)], [0.5, 0.7])
+    return rounded(out.select("series_id", "ds", F.col("state")[0].alias("level"), "loglik"), 5, "level", "loglik")
 
 
 @query("ss_forecast", with_("nation", ZS, LEVEL, recursive=True) + f"""SELECT k.series_id, CAST(h AS INTEGER) AS step,
@@ -190,10 +206,17 @@ def _(spark, d):
     return rounded(rows, 6, "mean", "var").select("series_id", "step", "ds", "mean", "var")
 
 
-@query("ss_conditional")
+@query("ss_conditional", with_("nation", ZS, LEVEL, SMOOTH, recursive=True) + f"""SELECT series_id, ds, kind, {r('m')} AS state,
+{r('p')} AS var, {r('m')} AS obs_mean, {r('p + 0.5')} AS obs_var FROM (
+ SELECT series_id, ds, 'filtered' AS kind, a_filt AS m, p_filt AS p FROM kf WHERE t >= 0
+ UNION ALL SELECT series_id, ds, 'predicted', a_pred, p_pred FROM kf WHERE t >= 0
+ UNION ALL SELECT s.series_id, z.ds, 'smoothed', s.a, s.p FROM sm s JOIN zs z ON z.series_id = s.series_id AND z.t = s.t)""")
 def _(spark, d):
-    rows = ss.kf_states(_arrays(spark, d), TREND_PARTS, kinds=("filtered", "predicted", "smoothed"))
-    return rows.select("series_id", "ds", "kind", "state", "cov", "obs_mean", "obs_var")
+    parts = [ss.level_trend(1, Q ** 0.5), ss.noise(H ** 0.5)]
+    rows = ss.kf_states(_arrays(spark, d), parts, kinds=("filtered", "predicted", "smoothed"))
+    out = rows.select("series_id", "ds", "kind", F.col("state")[0].alias("state"), F.col("cov")[0].alias("var"),
+                      "obs_mean", "obs_var")
+    return rounded(out, 6, *out.columns[3:])
 
 
 @query("ss_irf", with_("nation", AR_SQL) + f"""SELECT series_id, CAST(k AS INTEGER) AS step, {r('power(phi, k)')} AS value
@@ -237,9 +260,25 @@ def _(spark, d):
     return rows.select("series_id", "ds", F.round(F.col("z") - F.col("mean"), 6).alias("noise"))
 
 
-@query("decompose_ar")
+# The same filter and smoother for a first-order autoregression of 0.6.
+AR_STATE = """kf AS (SELECT series_id, CAST(-1 AS BIGINT) AS t, CAST(0 AS DOUBLE) AS z, CAST(0 AS DOUBLE) AS af, CAST(1 AS DOUBLE) AS pf,
+  CAST(0 AS DOUBLE) AS a, CAST(1 AS DOUBLE) AS p FROM (SELECT DISTINCT series_id FROM zs)
+ UNION ALL SELECT series_id, t, z, a1, p1, 0.6 * a1, 0.36 * p1 + 0.25 FROM (SELECT k.series_id, x.t, x.z,
+   k.a + k.p / (k.p + 0.25 + 1e-8) * (x.z - k.a) AS a1, power(1 - k.p / (k.p + 0.25 + 1e-8), 2) * k.p
+     + power(k.p / (k.p + 0.25 + 1e-8), 2) * 0.25 + 1e-8 AS p1
+   FROM kf k JOIN zs x ON x.series_id = k.series_id AND x.t = k.t + 1)),
+ends AS (SELECT series_id, max(t) AS last_t FROM kf GROUP BY 1),
+sm AS (SELECT k.series_id, k.t, k.z, k.af AS a, k.pf AS p FROM kf k JOIN ends e ON e.series_id = k.series_id AND e.last_t = k.t
+ UNION ALL SELECT series_id, t, z, af + g * (a - 0.6 * af), pf + g * g * (p - ph) FROM (SELECT k.series_id, k.t, k.z, k.af, k.pf, s.a, s.p,
+   0.36 * k.pf + 0.25 + 1e-8 AS ph, 0.6 * k.pf / (0.36 * k.pf + 0.25 + 1e-8) AS g
+   FROM sm s JOIN kf k ON k.series_id = s.series_id AND k.t = s.t - 1 WHERE s.t > 0))"""
+
+
+@query("decompose_ar", with_("nation", ZS, AR_STATE, recursive=True) + f"""SELECT s.series_id, c.component, x.ds,
+{r("CASE WHEN c.component = 'ar' THEN s.a ELSE s.z - s.a END")} AS mean, {r("CASE WHEN c.component = 'ar' THEN s.p ELSE 0.25 END")} AS var
+FROM sm s JOIN zs x ON x.series_id = s.series_id AND x.t = s.t, (VALUES ('ar'), ('noise')) c(component)""")
 def _(spark, d):
-    return _decomposed(spark, d, [ss.autoregressive([0.6], 0.5), ss.noise(0.5)])
+    return rounded(_decomposed(spark, d, [ss.autoregressive([0.6], 0.5), ss.noise(0.5)]), 6, "mean", "var")
 
 
 @query("decompose_season_dummy", with_("nation") + f"""SELECT series_id, CAST(i AS INTEGER) AS season_index,
@@ -364,11 +403,11 @@ zs AS (SELECT series_id, ds, y AS z, row_number() OVER (PARTITION BY series_id O
 
 
 def _updated(spark, d):
-    """Second stage over the written buckets, several micro-batches in time order."""
+    """Second stage: the written buckets are the source of the stateful filter."""
     buckets = _bucketed(spark, d)
     folder = scratch_path(spark, "bucket-table")
     buckets.repartitionByRange(3, "ds").sortWithinPartitions("ds").write.parquet(folder)
-    stream = spark.readStream.schema(buckets.schema).parquet(folder)
+    stream = spark.readStream.schema(buckets.schema).option("maxFilesPerTrigger", 100).parquet(folder)
     return online.run_available(online.stream_kf_update(stream, Q, H), scratch_path(spark, "level"),
                                 scratch_path(spark, "level-state"))
 

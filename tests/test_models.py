@@ -247,3 +247,14 @@ def test_predictions_of_arrays_start_at_their_offset(make_arrays):
         "model": F.lit("m"), "fitted": F.array(F.lit(1.0), F.lit(2.0)), "ahead": F.array(F.lit(3.0)), "offset": F.lit(8)})
     got = to_predictions(rows).orderBy("ds").collect()
     assert [(str(r.ds), r.yhat) for r in got] == [("2020-03-02", 1.0), ("2020-03-09", 2.0), ("2020-03-16", 3.0)]
+
+
+def test_mixed_frequencies(make_panel, spark):
+    weekly = make_panel({"w": seasonal(120, 12) + 5}, start="2020-01-05", freq="W-SUN")
+    daily = make_panel({"d": seasonal(90, 7) + 5}, freq="D")
+    config = spark.createDataFrame([("d", "D")], "series_id string, freq string")
+    runs = experiment.run_by_frequency(weekly.unionByName(daily), config, families=("ar",), horizon=10)
+    assert set(runs) == {"W-SUN", "D"}
+    for freq, step in (("W-SUN", 7), ("D", 1)):
+        dates = sorted(r.ds for r in runs[freq].predictions.where("kind = 'forecast'").collect())
+        assert len(dates) == 10 and {(b - a).days for a, b in zip(dates, dates[1:])} == {step}
