@@ -385,16 +385,12 @@ def _bucketed(spark, d):
                                 scratch_path(spark, "buckets"), scratch_path(spark, "bucket-state"))
 
 
-def _as_ntz(df):
-    return df.withColumn("ds", F.col("ds").cast("timestamp_ntz"))
-
-
 CLOSED = """, closed AS (SELECT b.* FROM b WHERE ds + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events))"""
 
 
 @query("stream_bucket", f"WITH {HOURLY}{CLOSED} SELECT series_id, ds, y FROM closed")
 def _(spark, d):
-    return _as_ntz(_bucketed(spark, d))
+    return _bucketed(spark, d)
 
 
 STREAM_KF = f"""WITH RECURSIVE {HOURLY}{CLOSED},
@@ -414,9 +410,9 @@ def _updated(spark, d):
 
 @query("stream_kf_update", STREAM_KF + f"SELECT series_id, ds, {STEP_LIST} FROM kf WHERE t >= 0")
 def _(spark, d):
-    return _step_output(_as_ntz(_updated(spark, d)))
+    return _step_output(_updated(spark, d))
 
 
 @query("stream_anomaly", STREAM_KF + "SELECT series_id, ds, abs(v) > 3 * sqrt(f) AS is_anomaly FROM kf WHERE t >= 0")
 def _(spark, d):
-    return online.stream_anomaly(_as_ntz(_updated(spark, d))).select("series_id", "ds", "is_anomaly")
+    return online.stream_anomaly(_updated(spark, d)).select("series_id", "ds", "is_anomaly")

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from panelcast.functions.statespace_scalar import LOG_2PI
 from panelcast.schemas import EVENTS, JITTER
 
-STEP_SCHEMA = ("series_id string, ds timestamp, y double, a_pred double, p_pred double, v double, "
+STEP_SCHEMA = ("series_id string, ds timestamp_ntz, y double, a_pred double, p_pred double, v double, "
                "f double, a_filt double, p_filt double, loglik double")
 
 
@@ -28,11 +28,14 @@ def stream_bucket(events: DataFrame, key: str = "event_type", ts: str = "ts", me
     The sum is combined on the map side of every micro-batch, so a hot key
     costs one state row per open window.
     """
-    stamped = events.withColumn("_ts", F.col(ts).cast("timestamp"))
+    # A watermark needs a zoned timestamp.  The wall clock is taken as UTC and
+    # turned back at the end, so windows do not depend on the session's zone.
+    zone = F.current_timezone()
+    stamped = events.withColumn("_ts", F.from_utc_timestamp(F.col(ts).cast("timestamp_ntz").cast("timestamp"), zone))
     return (stamped.withWatermark("_ts", lateness)
             .groupBy(F.window("_ts", width), F.col(key).alias("series_id"))
             .agg(F.round(F.sum(measure), 2).alias("y"))
-            .select("series_id", F.col("window.start").alias("ds"), "y"))
+            .select("series_id", F.to_utc_timestamp("window.start", zone).cast("timestamp_ntz").alias("ds"), "y"))
 
 
 def level_filter(q: float, h: float, a0: float = 0.0, p0: float = 1.0):

@@ -166,9 +166,9 @@ def test_stream_over_many_batches_equals_batch(spark, tmp_path):
     source = str(tmp_path / "in")
     for i, part in enumerate(np.array_split(np.arange(n), 4)):
         keep = rows[rows.ds.isin(stamps[part])].sample(frac=1, random_state=i)
-        spark.createDataFrame(keep, "series_id string, ds timestamp, y double").coalesce(1).write.mode("append").parquet(source)
+        spark.createDataFrame(keep, "series_id string, ds timestamp_ntz, y double").coalesce(1).write.mode("append").parquet(source)
         time.sleep(1.1)
-    stream = (spark.readStream.schema("series_id string, ds timestamp, y double")
+    stream = (spark.readStream.schema("series_id string, ds timestamp_ntz, y double")
               .option("maxFilesPerTrigger", 1).parquet(source))
     got = online.run_available(online.stream_anomaly(online.stream_kf_update(stream, .1, .5), 1.5),
                                str(tmp_path / "out"), str(tmp_path / "state")).toPandas()
