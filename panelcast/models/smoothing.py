@@ -16,11 +16,11 @@ vectorised over many parameter sets per series inside Spark tasks.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelcast.functions.calendar import season_periods_of
 from panelcast.functions.recursions import damped_sum, let, normal_quantile, scan, stepped
-from panelcast.operators.search import fit_candidates, sample_candidates, sample_order
+from panelcast.operators.search import fit_candidates, grid_params, sampled_numbers
 
 STATE_COLUMNS = ["trend", "seasonal", "alpha", "beta", "gamma", "phi", "l0", "b0", "s0"]
 
@@ -224,6 +224,8 @@ def fit_smoothing(y: np.ndarray, params: dict) -> tuple[np.ndarray, float, str]:
     values, so "estimated" starts are an exact least-squares solution given
     the weights.  Returns ``(coef, rmse, status)``.
     """
+    if not len(y):
+        return np.array([]), np.nan, "failed: does not apply to this series"
     trend, seasonal = params["trend"], params["seasonal"]
     season = int(params["seasonal_periods"]) if seasonal != "none" else 1
     damped = params["damped_trend"] == "true"
@@ -291,20 +293,25 @@ def search(arrays: DataFrame, model: str, grid: dict[str, list[str]], n_iter: in
            seed: int = 0) -> DataFrame:
     """``n_iter`` fitted candidates per series, from three times as many different draws.
 
-    A draw that cannot apply to a series costs nothing and keeps its failure
-    status; only the first ``n_iter`` valid draws are fitted.
+    Draws are sorted out inside the row of the series, before anything is
+    multiplied or moved.  One that cannot apply to a series travels without
+    its values and keeps a failure status.
     """
-    drawn = sample_candidates(arrays.select("series_id", "z"), model, grid, 3 * n_iter, seed)
-    low, n = F.array_min("z"), F.size("z")
-    return fit_candidates(drawn.withColumn("_ok", applies(low, n))
-                          .withColumn("_rn", F.row_number().over(
-                              Window.partitionBy("series_id", "_ok").orderBy(sample_order(seed))))
-                          .where(~F.col("_ok") | (F.col("_rn") <= n_iter)), fit_smoothing)
-
-
-def applies(low: Column, n: Column) -> Column:
-    """Whether a candidate can be fitted, from the minimum and length of a series."""
-    p = F.col("params")
+    z, low, n = F.col("z"), F.array_min("z"), F.size("z")
+    draws = F.transform(sampled_numbers(model, grid, 3 * n_iter, seed), lambda i: F.struct(
+        i.alias("id"), grid_params(i, grid).alias("params")))
+    rows = arrays.select("series_id", "z").withColumn("_draws", draws)
+    usable = F.slice(F.filter("_draws", lambda c: applies(c["params"], low, n)), 1, n_iter)
+    unusable = F.filter("_draws", lambda c: ~applies(c["params"], low, n))
+    tag = lambda ok: lambda c: F.struct(c["id"].alias("id"), c["params"].alias("params"), F.lit(ok).alias("ok"))
+    chosen = F.explode(F.concat(F.transform(usable, tag(True)), F.transform(unusable, tag(False)))).alias("c")
+    return fit_candidates(rows.select("series_id", "z", chosen).select(
+        "series_id", F.lit(model).alias("model"), F.col("c.id").alias("candidate_id"), F.col("c.params").alias("params"),
+        F.when(F.col("c.ok"), z).otherwise(F.slice(z, 1, 0)).alias("z")), fit_smoothing)
+
+
+def applies(p: Column, low: Column, n: Column) -> Column:
+    """Whether parameters ``p`` suit a series of minimum ``low`` and length ``n``."""
     multiplies = (p["trend"] == "mul") | (p["seasonal"] == "mul") | F.coalesce(p["error"] == "mul", F.lit(False))
     return ~((p["damped_trend"] == "true") & (p["trend"] == "none")) & ~(multiplies & (low <= 0)) & (
         (p["seasonal"] == "none") | (n >= 2 * p["seasonal_periods"].cast("int")))
