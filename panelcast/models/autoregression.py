@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelcast.functions.calendar import base_freq
 from panelcast.functions.recursions import normal_quantile, scan, stepped
+from panelcast.operators.features import lag_from_end
 from panelcast.operators.grid import by_date
 from panelcast.operators.search import SCORED, grid_params, grid_size
 
@@ -155,12 +156,12 @@ def forecast_array(steps: int) -> Column:
     def grow(history: Column, h: Column) -> Column:
         point = _level(coef, n + h)
         for k in range(1, MAX_LAG + 1):
-            point = point + coef[1 + k] * F.element_at(history, -k)
+            point = point + coef[1 + k] * lag_from_end(history, k)
         return F.concat(history, F.array(point))
 
-    start = F.slice(F.col("z"), n - MAX_LAG + 1, MAX_LAG)
+    start = F.slice(F.col("z"), F.greatest(n - MAX_LAG + 1, F.lit(1)), MAX_LAG)
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, grow,
-                       lambda h: F.slice(h, MAX_LAG + 1, steps))
+                       lambda h: F.slice(h, F.size(h) - steps + 1, steps))
 
 
 def stderr_array(steps: int) -> Column:

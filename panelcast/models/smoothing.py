@@ -42,8 +42,8 @@ def start_values(rows: DataFrame, season: int | None = None, seasonal: str = "no
         swing = (lambda v: v - l0) if seasonal == "add" else (lambda v: v / l0)
         s0 = F.transform(F.slice(z, 1, season), swing)
     else:
-        l0 = z[0]
-        rise, ratio = z[1] - l0, z[1] / F.when(l0 != 0, l0)
+        l0, second = F.get(z, F.lit(0)), F.get(z, F.lit(1))
+        rise, ratio = second - l0, second / F.when(l0 != 0, l0)
         s0 = F.array().cast("array<double>")
     b0 = F.when(trend == "add", rise).when(trend == "mul", ratio).otherwise(F.lit(0.0))
     return rows.withColumns({"seasonal": F.lit(seasonal), "l0": l0, "b0": b0, "s0": s0})

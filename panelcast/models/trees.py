@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelcast.functions.calendar import future_array, lags_of
 from panelcast.models.learners import _calendar
-from panelcast.operators.features import feature_names, lag_features
+from panelcast.operators.features import feature_names, forecast_step_features, lag_features
 from panelcast.operators.search import grid_size, kfold
 from panelcast.session import materialize, scratch_path
 
@@ -32,6 +32,8 @@ GB_GRID = {
 RF_GRID = {
     "n_estimators": ["50", "100"], "max_depth": ["5", "10"], "min_samples_split": ["5", "10"],
     "min_samples_leaf": ["4", "8"], "max_features": ["sqrt"], "bootstrap": ["true"], "max_samples": ["0.8"]}
+# Largest model shipped to tasks (about 200 MB); the grids stay below a tenth.
+MAX_NODES = 4_000_000
 GRIDS = {"gb": GB_GRID, "rf": RF_GRID}
 
 
@@ -145,8 +147,15 @@ def _evaluate(trees: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
         node = np.where(inner, np.where(go_left, left, trees["right"][which, node]), node)
 
 
-def trees_forecast(arrays: DataFrame, model, family: str, steps: int, freq: str = "W-MON") -> DataFrame:
-    """Recursive forecasts ``ahead``; all series of a batch advance together."""
+def trees_forecast(arrays: DataFrame, model, family: str, steps: int, freq: str = "W-MON",
+                   max_nodes: int = MAX_NODES) -> DataFrame:
+    """Recursive forecasts ``ahead``; all series of a batch advance together.
+
+    The trees travel to the tasks.  A model of more than ``max_nodes`` nodes
+    stays in Spark ML and is applied to the whole panel once per step.
+    """
+    if model.totalNumNodes > max_nodes:
+        return _forecast_by_steps(arrays, model, family, steps, freq)
     lags = lags_of(freq)
     shipped = arrays.sparkSession.sparkContext.broadcast(tree_arrays(model))
 
@@ -172,6 +181,22 @@ def trees_forecast(arrays: DataFrame, model, family: str, steps: int, freq: str
                                    "ds array<date>, ahead array<double>")
 
 
+def _forecast_by_steps(arrays: DataFrame, model, family: str, steps: int, freq: str) -> DataFrame:
+    """One pass over the panel per step; each is written, which cuts lineage."""
+    lags = lags_of(freq)
+    assemble = VectorAssembler(inputCols=feature_names(lags), outputCol="features")
+    tail = F.slice("z", F.greatest(F.size("z") - max(lags) + 1, F.lit(1)), max(lags))
+    rows = arrays.select("series_id", F.array(F.element_at("ds", -1)).alias("ds"), tail.alias("z"))
+    for h in range(steps):
+        step = assemble.transform(forecast_step_features(rows, freq, lags=lags))
+        made = model.transform(step).select("series_id", F.col("ds").alias("next"), "prediction")
+        rows = materialize(rows.join(made, "series_id").select(
+            "series_id", F.array("next").alias("ds"), F.concat("z", F.array("prediction")).alias("z")), f"step-{h}")
+    ahead = F.slice("z", F.size("z") - steps + 1, steps).alias("ahead")
+    return (arrays.select("series_id", F.lit(family).alias("model"), "center", "scale", "ds")
+            .join(rows.select("series_id", ahead), "series_id"))
+
+
 def trees_fitted(features: DataFrame, model, family: str) -> DataFrame:
     """In-sample predictions ``zhat`` of rows that have all lags."""
     return (model.transform(features).select("series_id", F.lit(family).alias("model"), "ds", "center", "scale",

@@ -207,6 +207,11 @@ def test_tree_tables_equal_the_trained_model(spark, make_panel):
         assert np.abs(trees._evaluate(trees.tree_arrays(model), x) - sample.prediction).max() < 1e-9
         total = trees.importance(table, model, family).agg(F.sum("importance")).first()[0]
         assert total == pytest.approx(1.0)
+    arrays = train.groupBy("series_id", "center", "scale").agg(F.sort_array(F.collect_list(F.struct("ds", "z"))).alias("p")).select(
+        "series_id", "center", "scale", F.col("p.ds").alias("ds"), F.col("p.z").alias("z"))
+    ahead = lambda **kw: {r.series_id: r.ahead for r in trees.trees_forecast(arrays, model, "rf", 3, **kw).collect()}
+    shipped, stepped = ahead(), ahead(max_nodes=0)
+    assert all(shipped[s] == pytest.approx(stepped[s]) for s in series)
     best, tried = trees.search_trees(table.limit(200), "rf", 1)
     assert len(tried) == 1 and tried[0][1] < 0 and set(tried[0][0]) == set(trees.RF_GRID)
 
@@ -258,3 +263,15 @@ def test_mixed_frequencies(make_panel, spark):
     for freq, step in (("W-SUN", 7), ("D", 1)):
         dates = sorted(r.ds for r in runs[freq].predictions.where("kind = 'forecast'").collect())
         assert len(dates) == 10 and {(b - a).days for a, b in zip(dates, dates[1:])} == {step}
+
+
+def test_very_short_series_do_not_stop_a_job(make_arrays):
+    """Rows too short for a model give nulls or a failure status, never an error."""
+    arrays = make_arrays({"one": [1.0], "three": [1.0, 2.0, 4.0], "long": ar1(120)})
+    row = {r.series_id: r for r in smoothed(arrays, trend="add").withColumn("ahead", smoothing.forecast_array(2)).collect()}
+    assert row["one"].ahead == [None, None] and None not in row["long"].ahead
+    for name in ("ets", "arima", "ssm", "ar", "svr", "prophet"):
+        best = registry.FAMILIES[name].search(arrays, "W-MON", 20, 0)
+        assert "long" in {r.series_id for r in best.collect()}, name
+    best = registry.FAMILIES["ar"].search(arrays, "W-MON", 40, 0)
+    assert registry.FAMILIES["ar"].predict(best, arrays, 3, "W-MON").count() >= 1
