@@ -46,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="panelcast-")
     spark.conf.set("spark.checkpoint.dir", made)
