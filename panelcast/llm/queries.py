@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import mixing, quality_rules, sharding
+from panelcast.llm import importance, line_dedup, mixing, packing, quality_rules, sharding, simhash, token_counts, warc
 from panelcast.llm.common import table
 
 
@@ -14,17 +14,52 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, folder, "pages")).drop("url", "payload")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), carry=["doc_id"])
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op4_importance(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "labels"), carry=["doc_id"])
+    return drawn.select("row.doc_id", "n_words", "log_weight", "key", "kept")
+
+
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"), carry=["doc_id"])
+    return found.select("row.doc_id", F.lower(F.hex("print")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, folder, "documents"), carry=["doc_id"])
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_shard(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard(table(spark, folder, "documents"), carry=["doc_id"])
     return placed.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"), carry=["doc_id"])
+    return packed.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, folder, "documents"), table(spark, folder, "labels"), carry=["doc_id"])
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op7_shard, op10_quality_rules)}
-ORACLES = {"op1_mix_sources": mixing.SQL}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc, op3_token_counts, op4_importance, op5_simhash, op6_line_dedup,
+                                  op7_shard, op8_pack, op10_quality_rules)}
+ORACLES = {"op1_mix_sources": mixing.SQL, "op2_warc": warc.SQL, "op6_line_dedup": line_dedup.SQL}
