@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import importance, line_dedup, mixing, packing, quality_rules, sharding, simhash, token_counts, warc
+from panelcast.llm import importance, line_dedup, mixing, neighbours, packing, quality_rules, sharding, simhash, token_counts, warc
 from panelcast.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, folder, "documents"), table(spark, folder, "labels"), carry=["doc_id"])
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -61,5 +65,5 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc, op3_token_counts, op4_importance, op5_simhash, op6_line_dedup,
-                                  op7_shard, op8_pack, op10_quality_rules)}
+                                  op7_shard, op8_pack, op9_neighbours, op10_quality_rules)}
 ORACLES = {"op1_mix_sources": mixing.SQL, "op2_warc": warc.SQL, "op6_line_dedup": line_dedup.SQL}

@@ -11,6 +11,7 @@ of thousands of copies do not become pairs, and no connection is lost.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import product, repeat
 
@@ -112,19 +113,29 @@ def _fold(label: np.ndarray, held) -> np.ndarray:
     return forest(len(label), i, j)
 
 
-def _as_array(prints: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(prints), ">u8").astype(np.uint64).reshape(len(prints), -1)
+def _as_array(prints: bytes, n_bytes: int) -> np.ndarray:
+    return np.frombuffer(prints, ">u8").astype(np.uint64).reshape(-1, n_bytes // 8)
 
 
-def fingerprint_links(prints: DataFrame, radius: int, parts: int = 1, tile: int = 2048) -> DataFrame:
-    """Links ``a, b`` that connect all of the distinct ``print, cell`` within ``radius`` bits of each other."""
+def fingerprint_links(prints: DataFrame, radius: int, steps: list[int], tile: int = 4096) -> DataFrame:
+    """Links ``a, b`` that connect all of the distinct ``print, cell`` within ``radius`` bits of each other.
+
+    ``steps`` are the differences between cells that can hold a link, one of each opposite pair.
+    """
     sizes = prints.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("chunks"))
+
+    def gather(group: pa.Table) -> pa.Table:
+        return pa.table({"cell": group.column("cell").slice(0, 1), "chunk": group.column("chunk").slice(0, 1),
+                         "prints": [b"".join(sorted(group.column("print").to_pylist()))]})
+
     tiles = materialize(
         prints.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("print"), F.col("chunks")))
-        .groupBy("cell", "chunk").agg(F.sort_array(F.collect_list("print")).alias("prints")), "tiles")
-    steps = F.array(*[F.lit(s) for s in cell_steps(parts, radius)])
+        .select("cell", "chunk", "print").groupBy("cell", "chunk").applyInArrow(gather, "cell long, chunk long, prints binary"), "tiles")
+    n_bytes = prints.select(F.length("print")).first()
+    n_bytes = n_bytes[0] if n_bytes else 8
+    near = F.array(*[F.lit(s) for s in steps])
     left = tiles.select(F.col("cell").alias("from"), F.col("chunk").alias("left_chunk"), F.col("prints").alias("left"),
-                        F.explode(F.transform(steps, lambda s: s + F.col("cell"))).alias("cell"))
+                        F.explode(F.transform(near, lambda s: s + F.col("cell"))).alias("cell"))
     pairs = left.join(tiles, "cell").filter((F.col("from") != F.col("cell")) | (F.col("left_chunk") <= F.col("chunk"))) \
         .select("left", F.col("prints").alias("right"),
                 ((F.col("from") == F.col("cell")) & (F.col("left_chunk") == F.col("chunk"))).alias("same"))
@@ -134,12 +145,13 @@ def fingerprint_links(prints: DataFrame, radius: int, parts: int = 1, tile: int
             for k in range(batch.num_rows):
                 a, b, same = (batch.column(c)[k].as_py() for c in range(3))
                 nodes = a if same else a + b
-                label = compare_tiles(_as_array(a), _as_array(b), radius, same)
-                moved = np.flatnonzero(label != np.arange(len(nodes)))
-                yield pa.RecordBatch.from_arrays([pa.array([nodes[x] for x in moved], pa.binary()),
-                                                  pa.array([nodes[label[x]] for x in moved], pa.binary())], ["a", "b"])
+                label = compare_tiles(_as_array(a, n_bytes), _as_array(b, n_bytes), radius, same)
+                moved = np.flatnonzero(label != np.arange(len(label)))
+                name = lambda x: nodes[x * n_bytes:(x + 1) * n_bytes]  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pa.array([name(x) for x in moved], pa.binary()),
+                                                  pa.array([name(label[x]) for x in moved], pa.binary())], ["a", "b"])
 
-    parallel = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    parallel = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return pairs.repartition(parallel).mapInArrow(compare, "a binary, b binary")
 
 
@@ -155,13 +167,13 @@ def fingerprints(docs: DataFrame, width: int, words: int = 1, parts: int = 1, ca
             for part in by_bytes(batch, "text"):
                 prints = [fingerprint(shingles(t, width), words) for t in bytes_of(part, "text")]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(prints, pa.binary()), pa.array([cell_of(p, parts) for p in prints])],
+                    [part.column("row"), pa.array(prints, pa.binary()), pa.array([cell_of(p, parts) for p in prints], pa.int64())],
                     ["row", "print", "cell"])
 
     return packed.mapInArrow(hash_texts, f"row {schema}, print binary, cell long").select("row.*", "print", "cell")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, words: int = 1, parts: int = 4, tile: int = 2048,
+def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, words: int = 1, parts: int = 4, tile: int = 4096,
                     carry: list[str] | None = None) -> DataFrame:
     """``row``, ``print`` (binary) and ``component``, the smallest id reachable over fingerprints within ``radius``.
 
@@ -172,7 +184,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, words: int
     """
     prints = materialize(fingerprints(docs, width, words, parts, carry), "prints")
     classes = materialize(prints.groupBy("print", "cell").agg(F.min("id").alias("first")), "print-classes")
-    found = connected(fingerprint_links(classes.select("print", "cell"), radius, parts, tile))
+    found = connected(fingerprint_links(classes.select("print", "cell"), radius, cell_steps(parts, radius), tile))
     classes = classes.join(found.withColumnRenamed("node", "print"), "print", "left") \
         .withColumn("component", F.coalesce("component", "print"))
     smallest = classes.groupBy("component").agg(F.min("first").alias("smallest"))
@@ -216,7 +228,7 @@ def verified_links(sets: DataFrame, radius: int, similarity: float, tile: int =
                 a, b, same = (batch.column(c)[k].as_py() for c in range(3))
                 nodes = a if same else a + b
                 runs = [np.frombuffer(x["runs"], np.uint64) for x in nodes]
-                prints = _as_array([x["print"] for x in nodes])
+                prints = _as_array(b"".join(x["print"] for x in nodes), len(nodes[0]["print"]))
                 root = list(range(len(nodes)))
 
                 def find(x):
@@ -239,8 +251,19 @@ def verified_links(sets: DataFrame, radius: int, similarity: float, tile: int =
     return pairs.repartition(parallel).mapInArrow(verify, "a binary, b binary")
 
 
+def sized_cell(print_: bytes, n_runs: int, similarity: float, bits_wide: int) -> int:
+    """Cell by the logarithm of the set's size, one step per factor of the similarity, and by bit count."""
+    size = 1 + int(math.log(n_runs) / -math.log(similarity - 1e-4)) if n_runs else 0
+    return (size + PART_BASE) << PART_BITS | (int.from_bytes(print_, "big").bit_count() // bits_wide + PART_BASE)
+
+
+def sized_steps(radius: int, bits_wide: int) -> list[int]:
+    reach = -(-radius // bits_wide)
+    return [(a << PART_BITS) + b for a in (0, 1) for b in range(-reach, reach + 1) if (a, b) >= (0, 0)]
+
+
 def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 2, radius: int = 34,
-                         tile: int = 2048) -> DataFrame:
+                         tile: int = 4096, bits_wide: int = 12) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays.
 
     Two texts are linked if the Jaccard similarity of their sets of ``width``
@@ -248,6 +271,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.
     Candidates are fingerprints of ``words * 64`` bits within ``radius``: the
     bits of two such texts of one length differ in 15 % on average, so 34 of 128
     are 3.6 deviations above it.  Candidates are compared by their shingle sets.
+    Tiles are skipped by bit counts, and by set sizes, whose ratio is at least
+    the similarity for any link.
 
     Texts that differ in case or blanks only are copies.  Texts without words
     are copies of each other.  Rows with a NULL id stay only if their group has
@@ -261,16 +286,18 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.
         for batch in batches:
             for part in by_bytes(batch, "text"):
                 texts = bytes_of(part, "text")
-                prints = [fingerprint(shingles(t, width), words) for t in texts]
+                runs = [shingles(t, width) for t in texts]
+                prints = [fingerprint(r, words) for r in runs]
+                cells = [sized_cell(p, len(set(r)), similarity, bits_wide) for p, r in zip(prints, runs)]
                 keys = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), pa.array(keys, pa.binary()), pa.array(prints, pa.binary()),
-                     pa.array([cell_of(p, 1) for p in prints])], ["row", "key", "print", "cell"])
+                     pa.array(cells, pa.int64())], ["row", "key", "print", "cell"])
 
     known = materialize(packed.mapInArrow(describe, f"row {schema}, key binary, print binary, cell long")
                         .select("row.*", "key", "print", "cell").withColumn("uid", F.monotonically_increasing_id()), "described")
     prints = known.select("print", "cell").distinct()
-    near = materialize(connected(fingerprint_links(prints, radius, 1, tile)), "near")
+    near = materialize(connected(fingerprint_links(prints, radius, sized_steps(radius, bits_wide), tile)), "near")
     classes = known.select("key", "print").distinct().join(near.withColumnRenamed("node", "print"), "print", "left") \
         .withColumn("group", F.coalesce("component", "print"))
     many = classes.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1").select("group")
