@@ -118,6 +118,8 @@ def best_of_tile(query_ids, queries, ids, vectors, k: int):
     A matrix product finds who can be among them; the scores are then summed
     component by component, so equal vectors have equal scores everywhere.
     """
+    ids, first = np.unique(ids, return_index=True)  # repeated rows share a tile
+    vectors = vectors[first]
     rough = queries @ vectors.T
     own = query_ids[:, None] == ids[None, :]
     rough[own] = -np.inf
