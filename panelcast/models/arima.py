@@ -57,13 +57,13 @@ def _trend_columns(n, trend):
     return np.column_stack([c for flag, c in (("c", np.ones(n)), ("t", t / 100.0)) if flag in trend] or [np.empty((n, 0))])
 
 
-def _burn(n, order, k):
-    """Rows that only start the lags and are left out of the squared errors.
+def _burn(order):
+    """Rows that only start the ordinary lags and are left out of the squared errors.
 
-    The seasonal lags are conditioned on too when enough rows remain.
+    One rule for series of all lengths and for all candidates: rows before the
+    start count as zeros for the seasonal lags.
     """
-    p, _, _, P, _, _, s = order
-    return p + P * s if n - p - P * s >= max(40, 3 * k) else p
+    return order[0]
 
 
 def _residuals(w, thetas, order, trend, burn):
@@ -101,7 +101,7 @@ def _inside(theta, order, k_trend):
 def fit_arima(z: np.ndarray, params: dict, rounds: int = 12) -> tuple[np.ndarray, float, str]:
     """Conditional least squares; ``coef`` is trend, AR, MA, seasonal AR, MA.
 
-    The score is the in-sample error over the rows that have their lags.
+    The score is the in-sample error over all rows but the first p.
     """
     order, trend = orders(params)
     p, d, q, P, D, Q, s = order
@@ -113,7 +113,7 @@ def fit_arima(z: np.ndarray, params: dict, rounds: int = 12) -> tuple[np.ndarray
     theta = np.zeros(k)
     if k_trend:
         theta[:k_trend] = np.linalg.lstsq(_trend_columns(len(w), trend), w, rcond=None)[0]
-    burn = _burn(len(w), order, k)
+    burn = _burn(order)
     run = lambda thetas: _residuals(w, thetas, order, trend, burn)[burn:]
     best = run([theta])[:, 0]
     damping, step = 1e-2, 1e-5
@@ -153,7 +153,7 @@ def apply_arima(z, ds, params, coef, future):
     p, d, q, P, D, Q, s = order
     w = _difference(z, d, D, s)
     k_trend = _trend_columns(2, trend).shape[1]
-    burn = _burn(len(w), order, len(coef))
+    burn = _burn(order)
     e = _residuals(w, [coef], order, trend, burn)[:, 0]
     ar, ma = _polynomials(coef, order, k_trend)
     for lag in [1] * d + [s] * D:

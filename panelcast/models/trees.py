@@ -1,27 +1,22 @@
 """Gradient-boosted trees and random forests on lag and calendar features.
 
-One model is trained over the whole scaled panel (per frequency), by Spark ML.
-Its trees are read back as a table of nodes, whose size depends on the number
-and depth of trees only, and shipped to the tasks for the step-by-step forecast.
+One model is trained over the whole scaled panel (per frequency), by Spark ML,
+and applied to all series at once, also for the step-by-step forecast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from panelcast.functions.calendar import future_array, lags_of
-from panelcast.models.learners import _calendar
-from panelcast.operators.features import feature_names, forecast_step_features, lag_features
+from panelcast.operators.features import calendar_features, feature_names, lag_features, lag_from_end
 from panelcast.operators.search import grid_size, kfold
-from panelcast.session import materialize, scratch_path
+from panelcast.session import materialize
 
 # Search grids.  num_leaves, reg_alpha and reg_lambda have no
 # counterpart in Spark ML and stay in the candidate table without effect.
@@ -32,8 +27,7 @@ GB_GRID = {
 RF_GRID = {
     "n_estimators": ["50", "100"], "max_depth": ["5", "10"], "min_samples_split": ["5", "10"],
     "min_samples_leaf": ["4", "8"], "max_features": ["sqrt"], "bootstrap": ["true"], "max_samples": ["0.8"]}
-# Largest model shipped to tasks (about 200 MB); the grids stay below a tenth.
-MAX_NODES = 4_000_000
+STEPS_PER_PLAN = 8
 GRIDS = {"gb": GB_GRID, "rf": RF_GRID}
 
 
@@ -97,102 +91,39 @@ def search_trees(features: DataFrame, family: str, n_iter: int, folds: int = 3,
     """
     estimator = _estimator(family, seed=seed)
     tried = sampled_params(family, n_iter, seed)
-    maps = [{estimator.getParam(k): v for k, v in _settings(family, params).items()} for params in tried]
+    # Combinations that differ only in what Spark ML does not know are trained once.
+    settings = [tuple(sorted(_settings(family, params).items())) for params in tried]
+    distinct = list(dict.fromkeys(settings))
+    maps = [{estimator.getParam(k): v for k, v in chosen} for chosen in distinct]
     tuner = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=folds, foldCol="fold",
                            evaluator=RegressionEvaluator(labelCol="z", metricName="mse"), parallelism=parallelism)
     tuned = tuner.fit(features)
-    return tuned.bestModel, [(p, -s) for p, s in zip(tried, tuned.avgMetrics)]
-
-
-def node_table(model) -> DataFrame:
-    """Nodes of every tree: ``tree, node, feature, threshold, left, right, value``."""
-    session = SparkSession.active()
-    path = scratch_path(session, "trees")
-    model.write().save(path)
-    data = session.read.parquet(f"{path}/data")
-    node = F.col("nodeData")
-    return data.select(
-        F.col("treeID").alias("tree"), node["id"].alias("node"), node["split"]["featureIndex"].alias("feature"),
-        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
-        node["leftChild"].alias("left"), node["rightChild"].alias("right"), node["prediction"].alias("value"))
-
-
-def tree_arrays(model) -> dict[str, np.ndarray]:
-    """The node table as arrays (trees x nodes): bounded by the model's size."""
-    nodes = node_table(model).toPandas().sort_values(["tree", "node"])
-    shape = (model.getNumTrees, int(nodes["node"].max()) + 1)
-    out = {name: np.zeros(shape, int) for name in ("feature", "left", "right")}
-    out.update({name: np.zeros(shape) for name in ("threshold", "value")})
-    at = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
-    for name in out:
-        filled = nodes[name].fillna(-1 if name in ("left", "right", "feature") else 0).to_numpy()
-        out[name][at] = filled
-    out["weight"] = np.asarray(model.treeWeights, float)
-    if isinstance(model, RandomForestRegressionModel):
-        out["weight"] = out["weight"] / out["weight"].sum()
-    return out
-
+    scores = dict(zip(distinct, tuned.avgMetrics))
+    return tuned.bestModel, [(p, -scores[s]) for p, s in zip(tried, settings)]
 
-def _evaluate(trees: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-    """Weighted sum over trees for each row of ``x``."""
-    which = np.arange(len(trees["weight"]))
-    node = np.zeros((len(x), len(which)), int)
-    rows = np.arange(len(x))[:, None]
-    while True:
-        left = trees["left"][which, node]
-        inner = left >= 0
-        if not inner.any():
-            return trees["value"][which, node] @ trees["weight"]
-        go_left = x[rows, np.maximum(trees["feature"][which, node], 0)] <= trees["threshold"][which, node]
-        node = np.where(inner, np.where(go_left, left, trees["right"][which, node]), node)
 
+def trees_forecast(arrays: DataFrame, model, family: str, steps: int, freq: str = "W-MON") -> DataFrame:
+    """Recursive forecasts ``ahead``: predict a step, append it, repeat.
 
-def trees_forecast(arrays: DataFrame, model, family: str, steps: int, freq: str = "W-MON",
-                   max_nodes: int = MAX_NODES) -> DataFrame:
-    """Recursive forecasts ``ahead``; all series of a batch advance together.
-
-    The trees travel to the tasks.  A model of more than ``max_nodes`` nodes
-    stays in Spark ML and is applied to the whole panel once per step.
+    A row carries its own recent history, so a step is a projection and
+    ``model.transform``, without join or exchange.  Rows are written every
+    ``STEPS_PER_PLAN`` steps to keep plans short.
     """
-    if model.totalNumNodes > max_nodes:
-        return _forecast_by_steps(arrays, model, family, steps, freq)
-    lags = lags_of(freq)
-    shipped = arrays.sparkSession.sparkContext.broadcast(tree_arrays(model))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            trees, longest = shipped.value, max(lags)
-            history = np.zeros((len(batch), longest + steps))
-            for i, z in enumerate(batch["z"]):
-                tail = np.asarray(z, float)[-longest:]
-                history[i, longest - len(tail):longest] = tail
-            dates = np.stack([_calendar(np.asarray(f, "datetime64[D]")) for f in batch["future"]])
-            for h in range(steps):
-                x = np.column_stack([history[:, longest + h - k] for k in lags] + [dates[:, h, :]])
-                history[:, longest + h] = _evaluate(trees, x)
-            out = batch[["series_id", "center", "scale", "ds"]].copy()
-            out.insert(1, "model", family)
-            out["ahead"] = list(history[:, longest:])
-            yield out
-
-    needed = arrays.select("series_id", "center", "scale", "ds", "z",
-                           future_array(F.element_at("ds", -1), steps, freq).alias("future"))
-    return needed.mapInPandas(run, "series_id string, model string, center double, scale double, "
-                                   "ds array<date>, ahead array<double>")
-
-
-def _forecast_by_steps(arrays: DataFrame, model, family: str, steps: int, freq: str) -> DataFrame:
-    """One pass over the panel per step; each is written, which cuts lineage."""
     lags = lags_of(freq)
+    longest = max(lags)
     assemble = VectorAssembler(inputCols=feature_names(lags), outputCol="features")
-    tail = F.slice("z", F.greatest(F.size("z") - max(lags) + 1, F.lit(1)), max(lags))
-    rows = arrays.select("series_id", F.array(F.element_at("ds", -1)).alias("ds"), tail.alias("z"))
-    for h in range(steps):
-        step = assemble.transform(forecast_step_features(rows, freq, lags=lags))
-        made = model.transform(step).select("series_id", F.col("ds").alias("next"), "prediction")
-        rows = materialize(rows.join(made, "series_id").select(
-            "series_id", F.array("next").alias("ds"), F.concat("z", F.array("prediction")).alias("z")), f"step-{h}")
-    ahead = F.slice("z", F.size("z") - steps + 1, steps).alias("ahead")
+    tail = F.slice("z", F.greatest(F.size("z") - longest + 1, F.lit(1)), longest)
+    rows = arrays.select("series_id", F.element_at("ds", -1).alias("last"), tail.alias("history"))
+    for step in range(steps):
+        following = F.element_at(future_array(F.col("last"), 1, freq), 1)
+        asked = rows.select("series_id", "history", following.alias("ds"),
+                            *[lag_from_end(F.col("history"), k).alias(f"lag_{k}") for k in lags])
+        made = model.transform(assemble.transform(calendar_features(asked)))
+        rows = made.select("series_id", F.col("ds").alias("last"),
+                           F.concat("history", F.array("prediction")).alias("history"))
+        if (step + 1) % STEPS_PER_PLAN == 0 and step + 1 < steps:
+            rows = materialize(rows, "tree-steps")
+    ahead = F.slice("history", F.size("history") - steps + 1, steps).alias("ahead")
     return (arrays.select("series_id", F.lit(family).alias("model"), "center", "scale", "ds")
             .join(rows.select("series_id", ahead), "series_id"))
 

@@ -44,10 +44,20 @@ def argmin_model(scores: DataFrame, by: str = "weighted_mape") -> DataFrame:
 
 
 def best_model(scores: DataFrame, by: str = "weighted_mape") -> DataFrame:
-    """Per series the model with the smallest hold-out score."""
-    held_out = scores.where((F.col("phase") == "testing") & F.col(by).isNotNull())
+    """Per series the model with the smallest hold-out score.
+
+    A score that no model of a series has (a relative error against an actual
+    of 0) is replaced by those that exist, ``smape`` and then ``error_std``, so
+    that no series goes without a winner; its ``by`` is then NULL.
+    """
+    held_out = scores.where(F.col("phase") == "testing")
+    order = [F.isnull(by).alias("none"), F.col(by)]
+    for other in ("smape", "error_std"):
+        if other != by and other in scores.columns:
+            fallback = F.when(F.isnull(by), F.col(other))
+            order += [F.isnull(fallback).alias(f"no_{other}"), fallback.alias(f"by_{other}")]
     return (held_out.groupBy("series_id")
-            .agg(F.min_by(F.struct(F.col("model"), F.col(by)), F.struct(by, "model")).alias("b"))
+            .agg(F.min_by(F.struct(F.col("model"), F.col(by)), F.struct(*order, "model")).alias("b"))
             .select("series_id", F.col("b.model").alias("best_model"), F.col(f"b.{by}").alias(by)))
 
 

@@ -13,7 +13,8 @@ def dq_verdict(panel: DataFrame, freq: str = "W-MON", min_rows: int = MIN_ROWS,
     """One row per series with a flag per rule and the overall verdict.
 
     ``layout(series_id, is_csv, first_column, n_value_columns)`` adds the rules
-    on the file itself.  Duplicate and off-grid dates are counted only.
+    on the file itself.  Duplicate and off-grid dates are counted only; a row
+    without a date (or with one that could not be read) rejects its series.
     """
     per_date = panel.groupBy("series_id", "ds").agg(F.count("*").alias("c"), F.count("y").alias("v"))
     off_grid = grid_date(ordinal(F.col("ds"), freq), freq) != F.col("ds")
@@ -22,14 +23,15 @@ def dq_verdict(panel: DataFrame, freq: str = "W-MON", min_rows: int = MIN_ROWS,
         F.sum(F.col("c") - 1).alias("n_duplicates"),
         F.coalesce(F.sum(F.when(off_grid, F.col("c"))), F.lit(0)).alias("n_off_grid"),
         (F.sum("c") >= min_rows).alias("enough_rows"),
-        (F.sum("v") > 0).alias("has_values"))
+        (F.sum("v") > 0).alias("has_values"),
+        (F.count("ds") == F.count("*")).alias("all_dated"))
     if layout is None:
-        return verdict.withColumn("ok", F.col("enough_rows") & F.col("has_values"))
+        return verdict.withColumn("ok", F.col("enough_rows") & F.col("has_values") & F.col("all_dated"))
     rules = layout.select("series_id", "is_csv", (F.col("n_value_columns") == 1).alias("one_value_column"),
                           (F.col("first_column") == "date").alias("date_first"))
-    joined = rules.join(verdict, "series_id", "left").na.fill(False, ["enough_rows", "has_values"])
+    joined = rules.join(verdict, "series_id", "left").na.fill(False, ["enough_rows", "has_values", "all_dated"])
     return joined.withColumn("ok", F.col("is_csv") & F.col("one_value_column") & F.col("date_first")
-                             & F.col("enough_rows") & F.col("has_values"))
+                             & F.col("enough_rows") & F.col("has_values") & F.col("all_dated"))
 
 
 def dq_gate(panel: DataFrame, verdict: DataFrame, strict: bool = False) -> DataFrame:

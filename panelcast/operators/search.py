@@ -81,27 +81,35 @@ def _exploded(rows: DataFrame, model: str, grid: Grid, numbers: Column) -> DataF
             .withColumn("params", grid_params(F.col("candidate_id"), grid)))
 
 
+# What a fit may raise on values it cannot work with; such a candidate fails, the job goes on.
+FIT_ERRORS = (np.linalg.LinAlgError, ValueError, ArithmeticError)
+
 FitOne = Callable[[np.ndarray, dict], tuple[np.ndarray, float, str]]
 
 
 def refit(best: DataFrame, arrays: DataFrame, fit_one, value: str = "z") -> DataFrame:
     """Coefficients of chosen candidates on whole series.
 
-    ``fit_one(values, ds, params)`` returns the coefficients.
+    ``fit_one(values, ds, params)`` returns the coefficients; they are NULL
+    where it fails.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = batch.copy()
-            with np.errstate(all="ignore"):
-                out["coef"] = [fit_one(np.asarray(v, float), np.asarray(d, "datetime64[D]"), dict(p))
-                               for v, d, p in zip(batch[value], batch["ds"], batch["params"])]
+            out, coefs = batch.copy(), []
+            for values, ds, params in zip(batch[value], batch["ds"], batch["params"]):
+                try:
+                    with np.errstate(all="ignore"):
+                        coefs.append(fit_one(np.asarray(values, float), np.asarray(ds, "datetime64[D]"), dict(params)))
+                except FIT_ERRORS:
+                    coefs.append(None)
+            out["coef"] = coefs
             yield out
 
     rows = (best.drop("coef").select("series_id", "model", "params", "score")
             .join(arrays.select("series_id", "center", "scale", "ds", value), "series_id"))
-    return rows.mapInPandas(run, f"series_id string, model string, params map<string,string>, score double, "
-                                 f"center double, scale double, ds array<date>, {value} array<double>, "
-                                 "coef array<double>")
+    return spread(rows, "series_id", "model").mapInPandas(
+        run, f"series_id string, model string, params map<string,string>, score double, center double, "
+             f"scale double, ds array<date>, {value} array<double>, coef array<double>")
 
 
 def fit_candidates(rows: DataFrame, fit_one: FitOne, value: str = "z") -> DataFrame:
@@ -118,7 +126,7 @@ def fit_candidates(rows: DataFrame, fit_one: FitOne, value: str = "z") -> DataFr
                 try:
                     with np.errstate(all="ignore"):
                         coef, score, note = fit_one(np.asarray(values, float), dict(params))
-                except (np.linalg.LinAlgError, ValueError, ArithmeticError) as error:
+                except FIT_ERRORS as error:
                     coef, score, note = np.array([]), np.nan, f"failed: {error}"
                 coefs.append(coef)
                 scores.append(float(score) if np.isfinite(score) else None)
@@ -138,17 +146,23 @@ def apply_rows(rows: DataFrame, apply_one, steps: int, freq: str = "W-MON", valu
     ``apply_one(values, ds, params, coef, future)`` returns three arrays: fits
     aligned to the end of the series, one forecast per date of ``future``, and
     standard errors (None where the model has no bands).  ``offset`` counts
-    the first rows without a fit.
+    the first rows without a fit.  A row whose model fails, or has NULL
+    coefficients, gets fits and forecasts that are not a number.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = []
             for i in range(len(batch)):
                 row = batch.iloc[i]
-                with np.errstate(all="ignore"):
-                    made.append(apply_one(
-                        np.asarray(row[value], float), np.asarray(row["ds"], "datetime64[D]"),
-                        dict(row["params"]), np.asarray(row["coef"], float), np.asarray(row["future"], "datetime64[D]")))
+                future = np.asarray(row["future"], "datetime64[D]")
+                try:
+                    if row["coef"] is None:
+                        raise ValueError("no coefficients")
+                    with np.errstate(all="ignore"):
+                        made.append(apply_one(np.asarray(row[value], float), np.asarray(row["ds"], "datetime64[D]"),
+                                              dict(row["params"]), np.asarray(row["coef"], float), future))
+                except FIT_ERRORS:
+                    made.append((np.full(len(row[value]), np.nan), np.full(len(future), np.nan), None))
             out = batch[["series_id", "model", "params", "center", "scale", "ds", value]].copy()
             out["fitted"] = [m[0] for m in made]
             out["ahead"] = [m[1] for m in made]
@@ -174,9 +188,12 @@ def kfold_candidates(rows: DataFrame, score_fold, folds: int = 3, value: str = "
         for batch in batches:
             scores = []
             for values, ds, params, fold in zip(batch[value], batch["ds"], batch["params"], batch["fold"]):
-                with np.errstate(all="ignore"):
-                    error = score_fold(np.asarray(values, float), np.asarray(ds, "datetime64[D]"),
-                                       dict(params), fold, folds)
+                try:
+                    with np.errstate(all="ignore"):
+                        error = score_fold(np.asarray(values, float), np.asarray(ds, "datetime64[D]"),
+                                           dict(params), fold, folds)
+                except FIT_ERRORS:
+                    error = np.nan
                 scores.append(float(error) if np.isfinite(error) else None)
             out = batch[["series_id", "model", "candidate_id", "params", "fold"]].copy()
             out["mse"] = pd.array(scores, dtype="Float64")

@@ -83,7 +83,7 @@ def _(spark, d):
 
 @query("dq_verdict", with_("supplier") + """SELECT series_id, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_duplicates,
   CAST(0 AS BIGINT) AS n_off_grid, count(*) >= 156 AS enough_rows, count(y) > 0 AS has_values,
-  count(*) >= 156 AND count(y) > 0 AS ok FROM obs GROUP BY 1""")
+  count(ds) = count(*) AS all_dated, count(*) >= 156 AND count(y) > 0 AND count(ds) = count(*) AS ok FROM obs GROUP BY 1""")
 def _(spark, d):
     return quality.dq_verdict(panels.shipments_by_supplier(spark, d))
 
@@ -496,18 +496,17 @@ def _(spark, d):
 
 
 @query("training_mape", with_("supplier", SMOOTHED, recursive=True) + f"""SELECT p.series_id, p.model,
-{r("avg(abs(s.z - (p.yhat - s.center) / s.scale) / abs(s.z))", 3)} AS training_mape
+printf('%.5e', avg(abs(s.z - (p.yhat - s.center) / s.scale) / greatest(abs(s.z), 2.220446049250313e-16))) AS training_mape
 FROM preds p JOIN scaled s ON s.series_id = p.series_id AND s.ds = p.ds
-WHERE p.kind = 'fitted' AND abs(s.z) > 0.000001 GROUP BY 1, 2""")
+WHERE p.kind = 'fitted' GROUP BY 1, 2""")
 def _(spark, d):
     prepared = prepared_panel(spark, d)
     fitted = smoothed_predictions(prepared).where("kind = 'fitted'")
-    # Rows at the median (z = 0) are left out of the comparison: there the floor
-    # of the denominator turns rounding noise into an arbitrary number.
-    rows = (fitted.join(prepared.select("series_id", "ds", "z"), ["series_id", "ds"]).where("abs(z) > 0.000001")
+    # A row at the median (z = 0) is divided by the floor, so the mean has any magnitude: six digits are compared.
+    rows = (fitted.join(prepared.select("series_id", "ds", "z"), ["series_id", "ds"])
             .withColumn("zhat", (F.col("yhat") - F.col("center")) / F.col("scale")))
     return rows.groupBy("series_id", "model").agg(
-        F.round(metrics.training_mape(F.col("z"), F.col("zhat")), 3).alias("training_mape"))
+        F.format_string("%.5e", metrics.training_mape(F.col("z"), F.col("zhat"))).alias("training_mape"))
 
 
 @query("register_metric", with_("supplier", SMOOTHED, ALIGNED, recursive=True) + """SELECT series_id, model, phase,

@@ -32,6 +32,7 @@ class Experiment:
     best: DataFrame          # series_id, model, params, score
     predictions: DataFrame   # fits and hold-out forecasts, original units
     scores: DataFrame        # five metrics per series, model, phase
+    failed: DataFrame        # series_id, model of families that no candidate could be fitted for
 
 
 def _tree_run(prepared, arrays, family, steps, freq, n_iter, seed, params=None, kind="forecast", fits=True):
@@ -65,7 +66,7 @@ def run_experiment(panel: DataFrame, families: tuple[str, ...] = DEFAULT_FAMILIE
     """
     prepared = materialize(prepare(panel, horizon), "prepared")
     arrays = materialize(train_arrays(prepared), "train-arrays")
-    bests, predictions = [], []
+    bests, predictions, failed = [], [], []
     for name in families:
         draws = n_iter or DEFAULT_DRAWS.get(name, OTHER_DRAWS)
         if name in TREE_FAMILIES:
@@ -74,19 +75,27 @@ def run_experiment(panel: DataFrame, families: tuple[str, ...] = DEFAULT_FAMILIE
             family = FAMILIES[name]
             best = materialize(family.search(arrays, freq, draws, seed), f"best-{name}")
             rows = to_predictions(family.predict(best, arrays, horizon, freq), freq)
+        failed.append(arrays.select("series_id", F.lit(name).alias("model"))
+                      .join(best.select("series_id"), "series_id", "left_anti"))
         bests.append(best.select("series_id", "model", "params", "score"))
         predictions.append(materialize(rows.drop("center", "scale"), f"predictions-{name}"))
     merged = union_results(*predictions)
     scores = evaluate_models(prepared.select("series_id", "ds", "y"), merged)
-    return Experiment(prepared, union_results(*bests), merged, scores)
+    return Experiment(prepared, union_results(*bests), merged, scores, union_results(*failed))
 
 
-def run_by_frequency(panel: DataFrame, config: DataFrame, **options) -> dict[str, Experiment]:
+def run_by_frequency(panel: DataFrame, config: DataFrame, skip_odd: bool = False, **options) -> dict[str, Experiment]:
     """One experiment per frequency in use, for panels that mix frequencies.
 
+    A series whose step is none the calendar knows (every second week, say) and
+    that is not configured stops the run; with ``skip_odd`` it is left out.
+
     The loop is over the few frequencies a calendar knows, never over series.
     """
     assigned = materialize(assign_frequency(panel, config), "frequencies")
+    odd = assigned.where("freq IS NULL").agg(F.count("*"), F.min("series_id")).first()
+    if odd[0] and not skip_odd:
+        raise ValueError(f"{odd[0]} series have a step of no known frequency, such as {odd[1]}; configure them")
     runs = {}
     for (freq,) in assigned.where("freq IS NOT NULL").select("freq").distinct().collect():
         mine = panel.join(assigned.where(F.col("freq") == freq).select("series_id"), "series_id", "left_semi")

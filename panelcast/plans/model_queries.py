@@ -16,21 +16,6 @@ from panelcast.plans.prepare import (prepared_panel, regular_panel, simple_smoot
 from panelcast.session import materialize
 
 STEPS = 52
-SEARCH_DRAWS = 12   # draws per series in the registered searches; the library's default is 50
-_STORE: dict = {}
-
-
-def stored(spark, d, name, make):
-    """Load a fitted result of this session, or fit and keep it."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _STORE:
-        _STORE[key] = make()
-    return _STORE[key]
-
-
-def forget_stored():
-    """Drop what this session fitted, so that the next query fits again."""
-    _STORE.clear()
 
 
 def _train(spark, d, source="supplier") -> DataFrame:
@@ -38,17 +23,17 @@ def _train(spark, d, source="supplier") -> DataFrame:
 
 
 def _arrays(spark, d, source="priority") -> DataFrame:
-    return stored(spark, d, f"arrays-{source}",
-                  lambda: materialize(train_arrays(prepared_panel(spark, d, source)), "arrays"))
+    return materialize(train_arrays(prepared_panel(spark, d, source)), "arrays")
 
 
-def _best(spark, d, name) -> DataFrame:
-    return stored(spark, d, f"best-{name}", lambda: materialize(
-        registry.FAMILIES[name].search(_arrays(spark, d), "W-MON", SEARCH_DRAWS, 0), f"best-{name}"))
+def _best(arrays, name) -> DataFrame:
+    draws = experiment.DEFAULT_DRAWS.get(name, experiment.OTHER_DRAWS)
+    return materialize(registry.FAMILIES[name].search(arrays, "W-MON", draws, 0), f"best-{name}")
 
 
 def _predictions(spark, d, name, kind) -> DataFrame:
-    made = registry.FAMILIES[name].predict(_best(spark, d, name), _arrays(spark, d), STEPS, "W-MON")
+    arrays = _arrays(spark, d)
+    made = registry.FAMILIES[name].predict(_best(arrays, name), arrays, STEPS, "W-MON")
     rows = to_predictions(made).where(F.col("kind") == kind)
     return rows.select("series_id", "model", "ds", "yhat", "lower", "upper")
 
@@ -59,7 +44,7 @@ def params_text(params="params"):
 
 
 def _fit_table(spark, d, name):
-    return _best(spark, d, name).select("series_id", "model", params_text(), F.round("score", 6).alias("score"))
+    return _best(_arrays(spark, d), name).select("series_id", "model", params_text(), F.round("score", 6).alias("score"))
 
 
 def _register_family(name, fitted=True, interval=True):
@@ -425,32 +410,32 @@ def _(spark, d):
 # --- trees: one global model -------------------------------------------------------------------
 
 def _tree_features(spark, d):
-    return stored(spark, d, "tree-features", lambda: trees.feature_table(_train(spark, d, "priority")))
-
-
-def _tree(spark, d, family):
-    return stored(spark, d, family, lambda: trees.fit_trees(_tree_features(spark, d), family))
+    return trees.feature_table(_train(spark, d, "priority"))
 
 
 def _register_trees(family):
     @query(f"{family}_fit")
     def _(spark, d):
-        nodes = trees.node_table(_tree(spark, d, family))
-        return nodes.groupBy("tree").agg(F.count("*").alias("nodes"), F.count_if(F.col("left") >= 0).alias("splits"))
+        table = _tree_features(spark, d)
+        out = trees.trees_fitted(table, trees.fit_trees(table, family), family)
+        return out.groupBy("series_id", "model").agg(F.sqrt(F.avg(F.pow(F.col("z") - F.col("zhat"), 2))).alias("score"))
 
     @query(f"{family}_fitted")
     def _(spark, d):
-        out = trees.trees_fitted(_tree_features(spark, d), _tree(spark, d, family), family)
+        table = _tree_features(spark, d)
+        out = trees.trees_fitted(table, trees.fit_trees(table, family), family)
         return scaling.robust_scale_inverse(out, "zhat").select("series_id", "model", "ds", F.col("zhat").alias("yhat"))
 
     @query(f"{family}_forecast")
     def _(spark, d):
-        made = trees.trees_forecast(_arrays(spark, d), _tree(spark, d, family), family, STEPS)
+        model = trees.fit_trees(_tree_features(spark, d), family)
+        made = trees.trees_forecast(_arrays(spark, d), model, family, STEPS)
         return to_predictions(made, fits=False).select("series_id", "model", "ds", "yhat")
 
     @query(f"{family}_importance")
     def _(spark, d):
-        return trees.importance(_tree_features(spark, d), _tree(spark, d, family), family)
+        table = _tree_features(spark, d)
+        return trees.importance(table, trees.fit_trees(table, family), family)
 
 
 _register_trees("gb")
@@ -460,9 +445,9 @@ _register_trees("rf")
 # --- compositions ----------------------------------------------------------------------------------
 
 def _experiment(spark, d):
-    """Four families over every series; the tree families have queries of their own."""
-    return stored(spark, d, "experiment", lambda: experiment.run_experiment(
-        regular_panel(spark, d, "priority"), ("ets", "arima", "svr", "prophet"), n_iter=SEARCH_DRAWS))
+    """All default families with full draws, but for trees: their search is hundreds of Spark ML fits for any panel."""
+    families = [name for name in experiment.DEFAULT_FAMILIES if name not in experiment.TREE_FAMILIES]
+    return experiment.run_experiment(regular_panel(spark, d, "priority"), tuple(families))
 
 
 @query("run_experiment")

@@ -1,20 +1,5 @@
 """Column layouts shared by all modules."""
 
-PANEL = "series_id string, ds date, y double"
-SERIES_CONFIG = "series_id string, format string, freq string, freq_type string"
-SCALE_STATS = "series_id string, center double, scale double"
-MODEL_PARAMS = (
-    "series_id string, model string, params map<string,string>, coef array<double>, "
-    "sigma2 double, score double, status string"
-)
-PREDICTIONS = (
-    "series_id string, model string, ds date, kind string, "
-    "yhat double, lower double, upper double"
-)
-METRICS = (
-    "series_id string, model string, phase string, mape double, smape double, "
-    "cumulative_error_percentage double, weighted_mape double, error_std double"
-)
 SEARCH_LOG = (
     "date string, model string, best_params map<string,string>, best_score double, "
     "dataset_info struct<n_samples:bigint,dataset_name_and_type:string>"

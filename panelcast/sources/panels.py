@@ -29,17 +29,13 @@ def orders_by_priority(spark: SparkSession, folder: str, freq: str = "W-MON") ->
 
 
 def orders_by_nation(spark: SparkSession, folder: str, freq: str = "W-MON") -> DataFrame:
-    """Orders summed per customer key first, so names join to small sums only."""
-    per_customer = (read_table(spark, folder, "orders")
-                    .groupBy("o_custkey", bucket(F.col("o_orderdate"), freq).alias("ds"))
-                    .agg(F.sum("o_totalprice").alias("total")))
-    named = (per_customer
+    """Orders meet their customer once; the sum per nation and period is combined on the map side."""
+    named = (read_table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
              .join(read_table(spark, folder, "customer").select("c_custkey", "c_nationkey"),
                    F.col("o_custkey") == F.col("c_custkey"))
              .join(read_table(spark, folder, "nation").select("n_nationkey", "n_name"),
                    F.col("c_nationkey") == F.col("n_nationkey")))
-    return (named.groupBy(F.col("n_name").alias("series_id"), "ds")
-            .agg(F.round(F.sum("total"), 2).alias("y")))
+    return panel_from_facts(named, F.col("n_name"), F.col("o_orderdate"), F.col("o_totalprice"), freq)
 
 
 def shipments_by_supplier(spark: SparkSession, folder: str, freq: str = "W-MON") -> DataFrame:
@@ -52,10 +48,20 @@ def events_by_type(spark: SparkSession, folder: str, freq: str = "H") -> DataFra
                             F.col("ts"), F.col("value"), freq)
 
 
+# Marks of a missing value in upper case.
+MISSING_MARKS = ("", "NA", "N/A", "#N/A", "NAN", "NULL", "NONE", "-NAN", "<NA>")
+
+
 def read_series_csv(spark: SparkSession, folder: str, date_format: str = "%Y-%m-%d",
-                    named_by: str = "file") -> DataFrame:
+                    named_by: str = "file", config: DataFrame | None = None, strict: bool = True) -> DataFrame:
     """Every ``*.csv`` below ``folder`` as one panel.
 
+    With ``config`` (``series_id, format``, as ``read_series_config`` returns
+    it) every file's dates are read by its own format; files it does not name
+    follow ``date_format``.  A date or value that is there but cannot be read
+    stops the job (``strict``), or becomes NULL; the usual marks of a missing
+    value are NULL either way.
+
     The first column is the date, the second the value; the header of each
     file is skipped.  The series is the file name without its extension
     (``named_by='file'``), or the folder ``series_id=<name>`` that holds the
@@ -72,11 +78,19 @@ def read_series_csv(spark: SparkSession, folder: str, date_format: str = "%Y-%m-
         inside = F.regexp_extract(F.col("_metadata.file_path"), "series_id=([^/]+)/", 1)
         # Hive-style escapes of the folder name are themselves escaped in the path.
         name = F.url_decode(F.url_decode(inside))
-    return raw.select(
-        name.alias("series_id"),
-        F.expr(f"try_to_timestamp(trim(date), '{_sql_text(spark_pattern(date_format))}')")
-        .cast("date").alias("ds"),
-        F.expr("try_cast(trim(value) AS double)").alias("y"))
+    named = raw.withColumns({"series_id": name, "format": F.lit(date_format)})
+    formats = [date_format]
+    if config is not None:
+        formats += [row[0] for row in config.select("format").where("format IS NOT NULL").distinct().collect()]
+        own = config.select("series_id", F.col("format").alias("own_format"))
+        named = named.join(own, "series_id", "left").withColumn("format", F.coalesce("own_format", "format"))
+    dated = parse_dates(named.withColumn("date", F.trim("date")), "date", sorted(set(formats)), strict=strict)
+    value, text = F.expr("try_cast(trim(value) AS double)"), F.upper(F.trim("value"))
+    if strict:
+        message = F.concat(F.lit("value that is no number in "), F.col("series_id"), F.lit(": "), F.col("value"))
+        bad = value.isNull() & text.isNotNull() & ~text.isin(*MISSING_MARKS)
+        value = F.when(bad, F.raise_error(message).cast("double")).otherwise(value)
+    return dated.select("series_id", "ds", value.alias("y"))
 
 
 def read_series_csv_layout(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,19 +114,26 @@ def _sql_text(text: str) -> str:
 
 
 def parse_dates(df: DataFrame, text: str = "date", formats: list[str] | None = None,
-                format_column: str = "format", out: str = "ds") -> DataFrame:
+                format_column: str = "format", out: str = "ds", strict: bool = False) -> DataFrame:
     """Parse date text by the strftime format named on each row.
 
     ``formats`` lists the formats in use; each becomes one branch of a CASE.
+    Another format on a row stops the job; so does, if ``strict``, a text that
+    does not follow its format.
     """
     formats = formats or ["%Y-%m-%d", "%m/%d/%y", "%d.%m.%Y", "%Y/%m/%d"]
-    parsed = F.lit(None).cast("date")
+    unknown = F.concat(F.lit("date format that is not listed: "), F.col(format_column))
+    parsed = F.when(F.col(format_column).isNotNull() & ~F.col(format_column).isin(*formats),
+                    F.raise_error(unknown).cast("date"))
     for fmt in formats:
         attempt = F.expr(f"try_to_timestamp(`{text}`, '{_sql_text(spark_pattern(fmt))}')").cast("date")
         if "%y" in fmt:
             # Two-digit years mean 1969 to 2068; the pattern letter reads 2000 to 2099.
             attempt = F.when(F.year(attempt) > 2068, F.add_months(attempt, -1200)).otherwise(attempt)
         parsed = F.when(F.col(format_column) == fmt, attempt).otherwise(parsed)
+    if strict:
+        message = F.concat(F.lit("date that does not follow "), F.col(format_column), F.lit(": "), F.col(text))
+        parsed = F.when(parsed.isNull() & (F.trim(text) != ""), F.raise_error(message).cast("date")).otherwise(parsed)
     return df.withColumn(out, parsed)
 
 

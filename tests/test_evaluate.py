@@ -98,3 +98,10 @@ def test_recursive_forecast_uses_zero_for_short_history(make_arrays):
         fifth = history[-5] if len(history) >= 5 else 0.0
         history.append(1 + .5 * history[-1] + .25 * fifth)
     assert got == pytest.approx(history[3:])
+
+
+def test_a_zero_actual_leaves_a_winner(spark):
+    scores = spark.createDataFrame([("s", "a", "testing", None, 3.0, 1.0), ("s", "b", "testing", None, 2.0, 4.0), ("t", "a", "testing", .1, 1.0, 1.0)],
+                                   "series_id string, model string, phase string, weighted_mape double, smape double, error_std double")
+    got = {r.series_id: (r.best_model, r.weighted_mape) for r in evaluate.best_model(scores).collect()}
+    assert got == {"s": ("b", None), "t": ("a", .1)}

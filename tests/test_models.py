@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelcast.functions.calendar import lags_of
 from panelcast.models import arima, autoregression, bayes, learners, registry, smoothing, trees
 from panelcast.operators import search
 from panelcast.plans import experiment
@@ -195,27 +196,44 @@ def test_worker_features_equal_column_features(make_panel):
     assert np.allclose(target, [r.z for r in rows])
 
 
-def test_tree_tables_equal_the_trained_model(spark, make_panel):
+def test_tree_forecast_feeds_predictions_back(spark, make_panel):
+    from pyspark.ml.linalg import Vectors
     series = {str(i): seasonal(150, 52, noise=.2, seed=i) for i in range(3)}
     train = make_panel(series).withColumns({"z": F.col("y"), "center": F.lit(0.0), "scale": F.lit(1.0)})
     table = trees.feature_table(train)
     for family in ("gb", "rf"):
         params = {**trees.default_params(family), "n_estimators": "4", "max_depth": "3"}
         model = trees.fit_trees(table, family, params)
-        sample = model.transform(table).limit(60).toPandas()
-        x = np.stack([v.toArray() for v in sample.features])
-        assert np.abs(trees._evaluate(trees.tree_arrays(model), x) - sample.prediction).max() < 1e-9
         total = trees.importance(table, model, family).agg(F.sum("importance")).first()[0]
         assert total == pytest.approx(1.0)
     arrays = train.groupBy("series_id", "center", "scale").agg(F.sort_array(F.collect_list(F.struct("ds", "z"))).alias("p")).select(
         "series_id", "center", "scale", F.col("p.ds").alias("ds"), F.col("p.z").alias("z"))
-    ahead = lambda **kw: {r.series_id: r.ahead for r in trees.trees_forecast(arrays, model, "rf", 3, **kw).collect()}
-    shipped, stepped = ahead(), ahead(max_nodes=0)
-    assert all(shipped[s] == pytest.approx(stepped[s]) for s in series)
+    ahead = {r.series_id: r.ahead for r in trees.trees_forecast(arrays, model, "rf", 10).collect()}
+    dates = np.array([np.datetime64("2020-01-06") + 7 * i for i in range(160)])
+    for name, values in series.items():
+        known = list(values)
+        for h in range(10):
+            x, _ = learners.feature_matrix(np.array([*known, 0.0]), dates[:len(known) + 1], lags_of("W-MON"))
+            known.append(model.predict(Vectors.dense(x[-1])))
+        assert ahead[name] == pytest.approx(known[-10:])
     best, tried = trees.search_trees(table.limit(200), "rf", 1)
     assert len(tried) == 1 and tried[0][1] < 0 and set(tried[0][0]) == set(trees.RF_GRID)
 
 
+def test_failed_fits_do_not_stop_the_job(spark, make_arrays):
+    """One series with an infinite value: its candidates fail, the others are fitted."""
+    arrays = make_arrays({"a": seasonal(190, 52, noise=.2), "b": np.r_[seasonal(189, 52, noise=.2), np.inf]})
+    best = {r.series_id for r in registry.FAMILIES["svr"].search(arrays, "W-MON", 2, 0).collect()}
+    assert best == {"a"}
+
+
+def test_odd_steps_stop_the_run(spark, make_panel):
+    panel = make_panel({"x": seasonal(60, 12)}).where("weekofyear(ds) % 2 = 0")
+    config = spark.createDataFrame([], "series_id string, freq string")
+    with pytest.raises(ValueError, match="1 series"):
+        experiment.run_by_frequency(panel, config, families=("ar",))
+
+
 @pytest.mark.parametrize("name", ["ets", "hw", "arima", "prophet", "svr", "mlp", "ssm", "ar", "bayes"])
 def test_family_contract(make_panel, name):
     """Every family: exact steps, dates of the future calendar, fits in order."""

@@ -151,3 +151,18 @@ def test_a_series_with_most_of_the_facts(spark):
     assert panel.where("series_id = 'hot'").count() <= 59
     plan = panel._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_sum") > plan.index("Exchange")
+
+
+def test_unreadable_dates_and_values_are_not_lost(spark, tmp_path):
+    (tmp_path / "good.csv").write_text("date,v\n2024-01-01,1\n2024-01-08,n/a\n")
+    (tmp_path / "own.csv").write_text("date,v\n01/02/24,3\n")
+    config = spark.createDataFrame([("own", "%m/%d/%y")], "series_id string, format string")
+    rows = panels.read_series_csv(spark, str(tmp_path), config=config).collect()
+    assert sorted((r.series_id, str(r.ds), r.y) for r in rows if r.y is not None) == [("good", "2024-01-01", 1.0), ("own", "2024-01-02", 3.0)]
+    with pytest.raises(Exception, match="does not follow"):
+        panels.read_series_csv(spark, str(tmp_path)).collect()
+    verdict = {r.series_id: r for r in quality.dq_verdict(panels.read_series_csv(spark, str(tmp_path), strict=False), min_rows=1).collect()}
+    assert verdict["good"].ok and not verdict["own"].ok and not verdict["own"].all_dated
+    (tmp_path / "bad.csv").write_text("date,v\n2024-01-01,oops\n")
+    with pytest.raises(Exception, match="no number"):
+        panels.read_series_csv(spark, str(tmp_path), config=config).collect()
