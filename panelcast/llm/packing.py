@@ -24,7 +24,9 @@ from panelcast.llm.common import by_bytes, bytes_of
 from panelcast.llm.token_counts import load_tokenizer
 from panelcast.session import materialize
 
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 800_000
+STOPS = b".,;:!?"
+SINGLE_STOPS = [bytes([s]) for s in STOPS]
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -32,24 +34,47 @@ class WordIds:
     """Ids of words as little-endian 32-bit bytes; forgets all at the bound.
 
     For tokenizers that drop blanks before they look at words: what lies between
-    ASCII blanks is encoded alike alone and in the text.
+    ASCII blanks is encoded alike alone and in the text.  Words of letters are one
+    unit to such a tokenizer, whose last token says that it ends a word, so many
+    of them are encoded as one text and told apart by these tokens.
     """
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, word_end: str = "</w>"):
         self.tokenizer, self.known = tokenizer, {}
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(word_end)]] = True
+
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in encoded]
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        new = list(words - self.known.keys())
-        if new:
-            if len(self.known) > REMEMBERED_WORDS:
-                self.known = {w: self.known[w] for w in words & self.known.keys()}
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
+        new = words - self.known.keys()
+        if not new:
+            return self.known
+        if len(self.known) > REMEMBERED_WORDS:
+            self.known = {w: self.known[w] for w in words & self.known.keys()}
+        # A stop after a letter is a word of its own to the tokenizer.
+        stopped = [w for w in new if w[-1] in STOPS and w[-2:-1].isalpha()]
+        plain = (new.difference(stopped) | {w[:-1] for w in stopped} | set(SINGLE_STOPS)) - self.known.keys()
+        letters = [w for w in plain if w.isalpha() or w.decode().isalpha()]
+        others = list(plain.difference(letters))
+        blocks = [letters[i:i + 500] for i in range(0, len(letters), 500)]
+        for block, ids in zip(blocks, self._encode([b" ".join(block) for block in blocks])):
+            raw, cuts = ids.tobytes(), [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            if len(cuts) == len(block) + 1:
+                self.known.update(zip(block, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
+            else:  # a letter that is more than letters in lower case
+                others += block
+        self.known.update(zip(others, (ids.tobytes() for ids in self._encode(others))))
+        self.known.update([(w, self.known[w[:-1]] + self.known[w[-1:]]) for w in stopped])
         return self.known
 
 
 def document_ids(texts: list[bytes], words: WordIds, end_id: int) -> list[bytes]:
-    split = [text.split() for text in texts]
+    # The tokenizer lower-cases, but finds special strings as they are written.
+    split = [(text if b"<|" in text else text.lower()).split() for text in texts]
     known = words.learn(set().union(*split))
     end = np.array([end_id], "<u4").tobytes()
     return [b"".join(map(known.__getitem__, parts)) + end for parts in split]
