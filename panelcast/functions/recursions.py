@@ -15,13 +15,24 @@ def scan(values: Column, zero: Column, step: Callable[[Column, Column], Column],
     ``step(state, value)`` returns a struct of the next ``state`` and the
     output ``out``.  The result is ``struct<state, out array>``; ``emit_type``
     is the type of one output.
-    """
-    def merge(acc: Column, value: Column) -> Column:
-        return let(step(acc["state"], value), lambda made: F.struct(
-            made["state"].alias("state"), F.concat(acc["out"], F.array(made["out"])).alias("out")))
 
-    start = F.struct(zero.alias("state"), F.array().cast(f"array<{emit_type}>").alias("out"))
-    return F.aggregate(values, start, merge)
+    An appended array is copied, so outputs are gathered in runs of about the
+    square root of the length, and the runs in one array: an output is copied
+    as often as its run is long, not as often as the series.
+    """
+    def folded(rows: Column, state: Column, take: Callable[[Column, Column], Column], out_type: str) -> Column:
+        start = F.struct(state.alias("state"), F.array().cast(f"array<{out_type}>").alias("out"))
+        return F.aggregate(rows, start, lambda acc, row: let(take(acc["state"], row), lambda made: F.struct(
+            made["state"].alias("state"), F.concat(acc["out"], F.array(made["out"])).alias("out"))))
+
+    def by_runs(rows: Column) -> Column:
+        run = F.greatest(F.ceil(F.sqrt(F.size(rows))), F.lit(1)).cast("int")
+        starts = F.sequence(F.lit(1), F.greatest(F.size(rows), F.lit(1)), run)
+        runs = F.transform(starts, lambda first: F.slice(rows, first, run))
+        return let(folded(runs, zero, lambda state, some: folded(some, state, step, emit_type), f"array<{emit_type}>"),
+                   lambda made: F.struct(made["state"].alias("state"), F.flatten(made["out"]).alias("out")))
+
+    return let(values, by_runs)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
