@@ -7,13 +7,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from panelcast.functions.metrics import resolve
 
 
+def known(rows: DataFrame) -> DataFrame:
+    """Rows with an actual ``y``."""
+    return rows.where(F.col("y").isNotNull() & ~F.isnan("y"))
+
+
 def align_actual_forecast(actuals: DataFrame, predictions: DataFrame) -> DataFrame:
     """Pair predictions with actuals of the same series and date.
 
     Actuals with a missing value are left out.
     """
-    known = actuals.where(F.col("y").isNotNull() & ~F.isnan("y")).select("series_id", "ds", "y")
-    return predictions.join(known, ["series_id", "ds"])
+    return predictions.drop("y").join(known(actuals).select("series_id", "ds", "y"), ["series_id", "ds"])
 
 
 def score(aligned: DataFrame, metrics: list[str] | None = None,
@@ -24,16 +28,17 @@ def score(aligned: DataFrame, metrics: list[str] | None = None,
         *[metric(y, yhat).alias(name) for name, metric in resolve(metrics).items()])
 
 
-def evaluate_models(actuals: DataFrame, predictions: DataFrame,
+def evaluate_models(actuals: DataFrame | None, predictions: DataFrame,
                     metrics: list[str] | None = None) -> DataFrame:
     """Leaderboard over training fits and hold-out forecasts.
 
     Only rows with a prediction count, so a lag model is scored on the rows
-    that had all their lags.
+    that had all their lags.  Without ``actuals`` the predictions' own ``y`` counts.
     """
     phase = F.when(F.col("kind") == "fitted", "training").otherwise("testing")
     usable = predictions.where(F.col("kind").isin("fitted", "forecast") & F.col("yhat").isNotNull())
-    return score(align_actual_forecast(actuals, usable.withColumn("phase", phase)), metrics)
+    usable = usable.withColumn("phase", phase)
+    return score(known(usable) if actuals is None else align_actual_forecast(actuals, usable), metrics)
 
 
 def argmin_model(scores: DataFrame, by: str = "weighted_mape") -> DataFrame:

@@ -9,7 +9,7 @@ from panelcast.operators import evaluate, features, grid, quality, scaling
 from panelcast.plans.catalog import query
 from panelcast.plans.oracle import ALIGNED, METRIC_SQL, SCORES, SMOOTHED, base, r, with_
 from panelcast.plans.prepare import prepared_panel, regular_panel, smoothed_predictions
-from panelcast.session import scratch_path
+from panelcast.session import materialize, scratch_path
 from panelcast.sources import panels, stores
 
 
@@ -18,14 +18,15 @@ def rounded(df, digits: int = 6, *columns: str):
 
 
 def _scores(spark, d, source="supplier", names=None):
-    prepared = prepared_panel(spark, d, source)
-    return evaluate.evaluate_models(prepared.select("series_id", "ds", "y"),
-                                    smoothed_predictions(prepared), names)
+    return evaluate.evaluate_models(None, smoothed_predictions(prepared_panel(spark, d, source)), names)
 
 
-def _aligned(spark, d, source="supplier"):
-    prepared = prepared_panel(spark, d, source)
-    return evaluate.align_actual_forecast(prepared, smoothed_predictions(prepared))
+def _twice(df, label):
+    """A table that its query reads twice: written, so that the facts are read once.
+
+    It has at most one row per series and period (and model).
+    """
+    return materialize(df, label)
 
 
 # --- 2.1 sources, sinks, stores ---------------------------------------------
@@ -97,7 +98,7 @@ WHERE p.split = '{'train' if kind == 'fitted' else 'test'}' GROUP BY 1, 2, 3"""
 
 
 def _wide(spark, d, kind):
-    prepared = prepared_panel(spark, d)
+    prepared = _twice(prepared_panel(spark, d), "prepared")
     actuals = prepared.where(F.col("split") == ("train" if kind == "fitted" else "test"))
     export = stores.export_fits_wide if kind == "fitted" else stores.export_forecasts_wide
     wide = export(actuals, smoothed_predictions(prepared), ["hw_simple", "hw_trend"])
@@ -112,14 +113,14 @@ SCORES_SQL = with_("supplier", SMOOTHED, ALIGNED, SCORES, recursive=True)
 
 @query("export_metrics", SCORES_SQL + "SELECT * FROM scores")
 def _(spark, d):
-    scores = rounded(_scores(spark, d), 4, "error_std")
+    scores = _twice(rounded(_scores(spark, d), 4, "error_std"), "scores")
     return stores.export_metrics(scores.where("phase = 'training'").drop("phase"),
                                  scores.where("phase = 'testing'").drop("phase"))
 
 
 @query("union_results", SCORES_SQL + "SELECT * FROM scores")
 def _(spark, d):
-    scores = rounded(_scores(spark, d), 4, "error_std")
+    scores = _twice(rounded(_scores(spark, d), 4, "error_std"), "scores")
     return stores.union_results(scores.where("model = 'hw_simple'"), scores.where("model = 'hw_trend'"))
 
 
@@ -191,14 +192,12 @@ BACK_FUTURE_SQL = with_("supplier", SMOOTHED, ALIGNED, BACK_SQL, recursive=True)
 
 def _back_and_future(spark, d):
     """Hold-out rows of the trend smoother and the 52 steps after them."""
-    prepared = prepared_panel(spark, d)
-    both = smoothed_predictions(prepared, 104).where("model = 'hw_trend' AND kind = 'forecast'")
-    ends = prepared.groupBy("series_id").agg(F.max("ds").alias("last"))
-    rows = both.join(ends, "series_id")
-    back = evaluate.align_actual_forecast(prepared, rows.where("ds <= last"))
+    both = smoothed_predictions(prepared_panel(spark, d), 104).where("model = 'hw_trend' AND kind = 'forecast'")
+    rows = _twice(both, "back-and-future")
+    back = evaluate.known(rows.where("ds <= last"))
     step = F.datediff("ds", "last") / 7
     label = F.when(step <= 13, "high").when(step <= 30, "medium").otherwise("low")
-    future = rows.where("ds > last").withColumn("confidence", label)
+    future = rows.where("ds > last").drop("y").withColumn("confidence", label)
     return back, future
 
 
@@ -336,14 +335,15 @@ def _(spark, d):
 @query("align_actual_forecast", with_("supplier", SMOOTHED, ALIGNED, recursive=True) + f"""SELECT series_id, model, ds, kind,
 round(y, 2) AS y, {r("yhat", 4)} AS yhat FROM aligned WHERE kind = 'forecast'""")
 def _(spark, d):
-    rows = _aligned(spark, d).where("kind = 'forecast'").drop("center", "scale")
-    return rounded(rounded(rows, 4, "yhat"), 2, "y")
+    prepared = _twice(prepared_panel(spark, d), "prepared")
+    predicted = smoothed_predictions(prepared).where("kind = 'forecast'").drop("center", "scale", "last")
+    return rounded(rounded(evaluate.align_actual_forecast(prepared, predicted), 4, "yhat"), 2, "y")
 
 
 @query("apply_scale_stats", with_("supplier") + """SELECT p.series_id, ds, y, round(center, 6) AS center,
 round(scale, 6) AS scale FROM panel p JOIN stats s ON s.series_id = p.series_id""")
 def _(spark, d):
-    panel = regular_panel(spark, d)
+    panel = _twice(regular_panel(spark, d), "panel")
     return rounded(scaling.apply_scale_stats(panel, scaling.robust_scale_fit(panel)), 6, "center", "scale")
 
 
@@ -414,7 +414,8 @@ RUNNING_SQL = r("""avg(CASE WHEN y = 0 AND yhat <> 0 THEN 100.0 WHEN y = 0 THEN
 @query("running_abs_pct_error", with_("supplier", SMOOTHED, ALIGNED, recursive=True) +
        f"SELECT series_id, model, ds, {RUNNING_SQL} AS running_error FROM aligned WHERE kind = 'forecast'")
 def _(spark, d):
-    rows = evaluate.running_abs_pct_error(_aligned(spark, d).where("kind = 'forecast'"))
+    forecasts = smoothed_predictions(prepared_panel(spark, d)).where("kind = 'forecast'")
+    rows = evaluate.running_abs_pct_error(evaluate.known(forecasts))
     return rows.select("series_id", "model", "ds", F.round("running_error", 4).alias("running_error"))
 
 
@@ -500,11 +501,10 @@ printf('%.5e', avg(abs(s.z - (p.yhat - s.center) / s.scale) / greatest(abs(s.z),
 FROM preds p JOIN scaled s ON s.series_id = p.series_id AND s.ds = p.ds
 WHERE p.kind = 'fitted' GROUP BY 1, 2""")
 def _(spark, d):
-    prepared = prepared_panel(spark, d)
-    fitted = smoothed_predictions(prepared).where("kind = 'fitted'")
+    fitted = smoothed_predictions(prepared_panel(spark, d)).where("kind = 'fitted'")
     # A row at the median (z = 0) is divided by the floor, so the mean has any magnitude: six digits are compared.
-    rows = (fitted.join(prepared.select("series_id", "ds", "z"), ["series_id", "ds"])
-            .withColumn("zhat", (F.col("yhat") - F.col("center")) / F.col("scale")))
+    scaled = lambda c: (F.col(c) - F.col("center")) / F.col("scale")
+    rows = fitted.withColumns({"z": scaled("y"), "zhat": scaled("yhat")})
     return rows.groupBy("series_id", "model").agg(
         F.format_string("%.5e", metrics.training_mape(F.col("z"), F.col("zhat"))).alias("training_mape"))
 

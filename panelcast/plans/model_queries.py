@@ -190,14 +190,16 @@ ahead AS (SELECT e.series_id, CAST(0 AS BIGINT) AS h, e.z AS m, CAST(0 AS DOUBLE
   FROM ahead a JOIN res f ON f.series_id = a.series_id WHERE a.h < 52)"""
 
 
-def _ar1(spark, d, source="supplier"):
+def _ar1(spark, d, source="supplier", twice=True):
+    """Training rows and the AR(1) of each series; the rows are written if what follows the fit reads them again."""
     train = _train(spark, d, source)
+    train = materialize(train, "train") if twice else train
     return train, autoregression.fit_ar(autoregression.with_fixed(autoregression.moments(train)))
 
 
 @query("ar_fit", with_("supplier", AR_SQL) + "SELECT series_id, round(c, 6) AS const, round(phi, 6) AS phi, round(sigma, 6) AS sigma, n FROM res")
 def _(spark, d):
-    _, best = _ar1(spark, d)
+    _, best = _ar1(spark, d, twice=False)
     return best.select("series_id", F.round(F.col("coef")[0], 6).alias("const"), F.round(F.col("coef")[2], 6).alias("phi"),
                        F.round("score", 6).alias("sigma"), "n")
 
@@ -213,9 +215,8 @@ def _(spark, d):
 CAST(last_ds + INTERVAL (7 * h) DAY AS DATE) AS ds, {r('m * scale + center', 4)} AS yhat
 FROM ahead a JOIN edge e ON e.series_id = a.series_id WHERE h > 0""")
 def _(spark, d):
-    _, best = _ar1(spark, d)
-    arrays = train_arrays(prepared_panel(spark, d))
-    out = to_predictions(autoregression.predict(best, arrays, STEPS), fits=False)
+    train, best = _ar1(spark, d)
+    out = to_predictions(autoregression.predict(best, train_arrays(train), STEPS), fits=False)
     return out.select("series_id", "ds", F.round("yhat", 4).alias("yhat"))
 
 
@@ -225,9 +226,8 @@ CAST(last_ds + INTERVAL (7 * h) DAY AS DATE) AS ds, {r('m * scale + center', 4)}
 {r(f'(m + {normal_quantile(.05)!r} * sigma * sqrt(v)) * scale + center', 4)} AS upper
 FROM ahead a JOIN edge e ON e.series_id = a.series_id JOIN res f ON f.series_id = a.series_id WHERE h > 0""")
 def _(spark, d):
-    _, best = _ar1(spark, d)
-    arrays = train_arrays(prepared_panel(spark, d))
-    out = to_predictions(autoregression.predict(best, arrays, STEPS), fits=False)
+    train, best = _ar1(spark, d)
+    out = to_predictions(autoregression.predict(best, train_arrays(train), STEPS), fits=False)
     return rounded(out, 4, "yhat", "lower", "upper").select("series_id", "ds", "yhat", "lower", "upper")
 
 
@@ -241,8 +241,8 @@ def _(spark, d):
 @query("recursive_forecast", with_("supplier", AR_SQL, AR_AHEAD, recursive=True) + f"""SELECT series_id,
 CAST(h AS INTEGER) AS step, {r('m')} AS zhat FROM ahead WHERE h > 0""")
 def _(spark, d):
-    _, best = _ar1(spark, d)
-    rows = best.join(train_arrays(prepared_panel(spark, d)), "series_id")
+    train, best = _ar1(spark, d)
+    rows = best.join(train_arrays(train), "series_id")
     ahead = features.recursive_forecast(F.array(F.col("coef")[2]), F.col("coef")[0], [1], STEPS)
     return rows.select("series_id", F.posexplode(ahead).alias("p", "v")).select(
         "series_id", (F.col("p") + 1).alias("step"), F.round("v", 6).alias("zhat"))

@@ -44,29 +44,48 @@ def all_arrays(prepared: DataFrame) -> DataFrame:
     return train_arrays(prepared.withColumn("split", F.lit("train")))
 
 
+def arrays_with_actuals(prepared: DataFrame) -> DataFrame:
+    """``train_arrays`` with ``actuals``, the original values of all rows in date order, and ``last``, the last date.
+
+    What is predicted from such rows meets its actuals inside the row: training
+    rows come first and the calendar has no gaps, so positions tell dates.  The
+    panel is computed once and nothing is joined.
+    """
+    points = F.sort_array(F.collect_list(F.struct("ds", "z", "y", "split")))
+    rows = prepared.groupBy("series_id", "center", "scale").agg(points.alias("_p")) \
+        .withColumn("_t", F.filter("_p", lambda p: p["split"] == "train")).where(F.size("_t") > 0)
+    return rows.select("series_id", "center", "scale", F.col("_t.ds").alias("ds"), F.col("_t.z").alias("z"),
+                       F.col("_p.y").alias("actuals"), F.element_at("_p.ds", -1).alias("last"))
+
+
 def to_predictions(rows: DataFrame, freq: str = "W-MON", kind: str = "forecast",
                    fits: bool = True) -> DataFrame:
     """Arrays per series to long predictions in original units.
 
     ``fitted`` covers ``ds`` from position ``offset``; ``ahead`` continues the
-    calendar after the last date.  ``lower`` and ``upper`` are optional.
+    calendar after the last date.  ``lower`` and ``upper`` are optional.  Rows of
+    ``arrays_with_actuals`` bring ``y`` and ``last`` along; ``y`` is NULL where no actual is known.
     """
-    def points(dates, label, yhat, lower, upper):
-        zipped = F.arrays_zip(dates.alias("ds"), yhat.alias("yhat"), lower.alias("lower"), upper.alias("upper"))
+    actual = F.col("actuals") if "actuals" in rows.columns else F.array().cast("array<double>")
+
+    def points(dates, before, label, yhat, lower, upper):
+        zipped = F.arrays_zip(dates.alias("ds"), yhat.alias("yhat"), lower.alias("lower"), upper.alias("upper"),
+                              F.slice(actual, before + 1, F.size(dates)).alias("y"))
         return F.transform(zipped, lambda p: F.struct(
             p["ds"].alias("ds"), F.lit(label).alias("kind"), p["yhat"].alias("yhat"),
-            p["lower"].alias("lower"), p["upper"].alias("upper")))
+            p["lower"].alias("lower"), p["upper"].alias("upper"), p["y"].alias("y")))
 
     none = F.array().cast("array<double>")
     lower, upper = (F.coalesce(F.col(c), none) if c in rows.columns else none for c in ("lower", "upper"))
-    ahead = points(future_array(F.element_at("ds", -1), F.size("ahead"), freq), kind, F.col("ahead"), lower, upper)
+    ahead = points(future_array(F.element_at("ds", -1), F.size("ahead"), freq), F.size("ds"), kind, F.col("ahead"), lower, upper)
     if fits:
-        dates = F.slice("ds", F.col("offset") + 1, F.size("ds")) if "offset" in rows.columns else F.col("ds")
-        ahead = F.concat(points(dates, "fitted", F.col("fitted"), none, none), ahead)
-    long = rows.select("series_id", "model", "center", "scale", F.explode(ahead).alias("p"))
+        before = F.col("offset") if "offset" in rows.columns else F.lit(0)
+        ahead = F.concat(points(F.slice("ds", before + 1, F.size("ds")), before, "fitted", F.col("fitted"), none, none), ahead)
+    keys, along = ["series_id", "model", "center", "scale"], ["last"] if "actuals" in rows.columns else []
+    long = rows.select(*keys, *along, F.explode(ahead).alias("p"))
     back = lambda c: (F.col(f"p.{c}") * F.col("scale") + F.col("center")).alias(c)
-    return long.select("series_id", "model", "center", "scale", "p.ds", "p.kind",
-                       back("yhat"), back("lower"), back("upper"))
+    return long.select(*keys, "p.ds", "p.kind", back("yhat"), back("lower"), back("upper"),
+                       *along, *[F.col("p.y") for _ in along])
 
 
 def simple_smoothers(arrays: DataFrame) -> DataFrame:
@@ -83,8 +102,8 @@ def simple_smoothers(arrays: DataFrame) -> DataFrame:
 
 
 def smoothed_predictions(prepared: DataFrame, steps: int = HORIZON) -> DataFrame:
-    """Fits and hold-out forecasts of the two fixed smoothers."""
-    rows = smoothing.smooth(simple_smoothers(train_arrays(prepared)))
+    """Fits and hold-out forecasts of the two fixed smoothers, beside their actuals ``y``."""
+    rows = smoothing.smooth(simple_smoothers(arrays_with_actuals(prepared)))
     rows = rows.withColumn("ahead", smoothing.forecast_array(steps))
     return to_predictions(rows).drop("lower", "upper")
 

@@ -222,7 +222,7 @@ def _(spark, d):
 @query("ss_irf", with_("nation", AR_SQL) + f"""SELECT series_id, CAST(k AS INTEGER) AS step, {r('power(phi, k)')} AS value
 FROM fit, (SELECT unnest(generate_series(0, 39)) AS k)""")
 def _(spark, d):
-    _, best = _ar1(spark, d, "nation")
+    _, best = _ar1(spark, d, "nation", twice=False)
     rows = best.select("series_id", F.col("coef")[2].alias("phi"))
     out = ss.ss_irf(rows, lambda row: [ss.autoregressive([row["phi"]], 1.0)])
     return out.where("state = 0").select("series_id", "step", F.round("value", 6).alias("value"))
