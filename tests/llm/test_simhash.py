@@ -87,6 +87,15 @@ def test_stage_keeps_one_of_each_similar_group(documents, prose):
     assert simhash.drop_near_duplicates(empty).schema == empty.schema and simhash.drop_near_duplicates(empty).count() == 0
 
 
+def test_stage_links_texts_that_differ_by_a_repeated_block(documents, prose):
+    rows = []
+    for k in range(6):  # 0.99 similar as sets: 30 words once or 20 times
+        head, block, tail = prose(250, 3 * k, 5000), prose(30, 3 * k + 1, 5000), prose(250, 3 * k + 2, 5000)
+        rows += [(10 * k, f"{head} {block} {tail}"), (10 * k + 1, " ".join([head, *[block] * 20, tail]))]
+    got = [r["doc_id"] for r in simhash.drop_near_duplicates(documents(rows)).collect()]
+    assert sorted(got) == [10 * k for k in range(6)]
+
+
 def test_connected_components(spark):
     rng = np.random.default_rng(5)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, None), (7, 7)]
