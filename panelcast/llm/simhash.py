@@ -26,6 +26,7 @@ from panelcast.llm.components import connected
 from panelcast.session import materialize
 
 SEED = 42
+FEW_RUNS = 8  # sets of so many shingles or fewer are also joined exactly
 PART_BITS, PART_BASE = 10, 256  # a part's bit count plus this base in so many bits of the cell
 
 
@@ -262,6 +263,24 @@ def sized_steps(radius: int, bits_wide: int) -> list[int]:
     return [(a << PART_BITS) + b for a in (0, 1) for b in range(-reach, reach + 1) if (a, b) >= (0, 0)]
 
 
+def smaller_sets(runs: list[bytes]) -> list[bytes] | None:
+    """Digest of the set, then of the set without each one of its members; None for more than FEW_RUNS, and for none."""
+    if not 0 < len(runs) <= FEW_RUNS:
+        return None
+    hashes = sorted(map(xxhash.xxh3_128_digest, runs))
+    return [xxhash.xxh3_128_digest(b"".join(hashes[:i] + hashes[i + 1:])) for i in (len(hashes), *range(len(hashes)))]
+
+
+def one_more_links(known: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` of small sets that differ in one member, of ``key, inner``, whose similarity is enough."""
+    few = known.filter("inner IS NOT NULL").groupBy("key").agg(F.first("inner").alias("inner"))
+    whole = few.groupBy(F.col("inner")[0].alias("digest")).agg(F.min("key").alias("a"))
+    # n - 1 common ones of n
+    close = F.size("inner") - 2 >= similarity * (F.size("inner") - 1)
+    return few.filter(close).select(F.col("key").alias("b"), F.explode(F.slice("inner", 2, FEW_RUNS)).alias("digest")) \
+        .join(whole, "digest").select("a", "b")
+
+
 def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 2, radius: int = 34,
                          tile: int = 4096, bits_wide: int = 12) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays.
@@ -270,7 +289,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.
     words is ``similarity`` or more; groups are what is reachable over links.
     Candidates are fingerprints of these sets, without repeats, of ``words * 64`` bits within ``radius``: the
     bits of two such texts of one length differ in 15 % on average, so 34 of 128
-    are 3.6 deviations above it.  Candidates are compared by their shingle sets.
+    are 3.6 deviations above it.  Sets of few shingles stray further, so those
+    that differ in one shingle are joined exactly.  Candidates are compared by their shingle sets.
     Tiles are skipped by bit counts, and by set sizes, whose ratio is at least
     the similarity for any link.
 
@@ -292,10 +312,11 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.
                 keys = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), pa.array(keys, pa.binary()), pa.array(prints, pa.binary()),
-                     pa.array(cells, pa.int64())], ["row", "key", "print", "cell"])
+                     pa.array(cells, pa.int64()), pa.array(map(smaller_sets, sets), pa.list_(pa.binary()))],
+                    ["row", "key", "print", "cell", "inner"])
 
-    known = materialize(packed.mapInArrow(describe, f"row {schema}, key binary, print binary, cell long")
-                        .select("row.*", "key", "print", "cell").withColumn("uid", F.monotonically_increasing_id()), "described")
+    known = materialize(packed.mapInArrow(describe, f"row {schema}, key binary, print binary, cell long, inner array<binary>")
+                        .select("row.*", "key", "print", "cell", "inner").withColumn("uid", F.monotonically_increasing_id()), "described")
     prints = known.select("print", "cell").distinct()
     near = materialize(connected(fingerprint_links(prints, radius, sized_steps(radius, bits_wide), tile)), "near")
     classes = known.select("key", "print").distinct().join(near.withColumnRenamed("node", "print"), "print", "left") \
@@ -313,7 +334,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.
     texts = known.select("uid", "key", "print", F.col("row.text").alias("text")) \
         .join(shown.join(members, "key").select("uid"), "uid", "left_semi").select("key", "print", "text")
     with_sets = materialize(texts.mapInArrow(sets, "key binary, print binary, runs binary").join(members, "key"), "sets")
-    found = connected(verified_links(with_sets, radius, similarity)).withColumnRenamed("node", "key")
+    links = verified_links(with_sets, radius, similarity).unionByName(one_more_links(known, similarity))
+    found = connected(links).withColumnRenamed("node", "key")
     light = known.select("uid", "id", "key").join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
     first = light.groupBy("component").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first")).select(F.col("first.uid").alias("uid"))

@@ -96,6 +96,16 @@ def test_stage_links_texts_that_differ_by_a_repeated_block(documents, prose):
     assert sorted(got) == [10 * k for k in range(6)]
 
 
+def test_stage_links_all_small_sets_that_differ_by_one_run(documents, prose):
+    rows = []
+    for k in range(600):  # 4 against 5 shingles: 0.8 similar, about one pair in 90 beyond the radius
+        text = prose(9, k, 10 ** 9)
+        rows += [(2 * k, text), (2 * k + 1, text.rsplit(" ", 1)[0])]
+    rows += [(5000, prose(8, 1, 10 ** 9) + " other"), (6000, "a b c d e f g"), (6001, "a b c d e f g h")]  # 3 against 4 stay
+    got = [r["doc_id"] for r in simhash.drop_near_duplicates(documents(rows)).collect()]
+    assert sorted(got) == [*range(0, 1200, 2), 6000, 6001]
+
+
 def test_connected_components(spark):
     rng = np.random.default_rng(5)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, None), (7, 7)]
