@@ -413,29 +413,34 @@ def _tree_features(spark, d):
     return trees.feature_table(_train(spark, d, "priority"))
 
 
+def _searched_trees(features, family):
+    """The best of the default draws, refitted on all rows."""
+    return trees.search_trees(features, family, experiment.DEFAULT_DRAWS[family])[0]
+
+
 def _register_trees(family):
     @query(f"{family}_fit")
     def _(spark, d):
         table = _tree_features(spark, d)
-        out = trees.trees_fitted(table, trees.fit_trees(table, family), family)
+        out = trees.trees_fitted(table, _searched_trees(table, family), family)
         return out.groupBy("series_id", "model").agg(F.sqrt(F.avg(F.pow(F.col("z") - F.col("zhat"), 2))).alias("score"))
 
     @query(f"{family}_fitted")
     def _(spark, d):
         table = _tree_features(spark, d)
-        out = trees.trees_fitted(table, trees.fit_trees(table, family), family)
+        out = trees.trees_fitted(table, _searched_trees(table, family), family)
         return scaling.robust_scale_inverse(out, "zhat").select("series_id", "model", "ds", F.col("zhat").alias("yhat"))
 
     @query(f"{family}_forecast")
     def _(spark, d):
-        model = trees.fit_trees(_tree_features(spark, d), family)
+        model = _searched_trees(_tree_features(spark, d), family)
         made = trees.trees_forecast(_arrays(spark, d), model, family, STEPS)
         return to_predictions(made, fits=False).select("series_id", "model", "ds", "yhat")
 
     @query(f"{family}_importance")
     def _(spark, d):
         table = _tree_features(spark, d)
-        return trees.importance(table, trees.fit_trees(table, family), family)
+        return trees.importance(table, _searched_trees(table, family), family)
 
 
 _register_trees("gb")
@@ -445,9 +450,8 @@ _register_trees("rf")
 # --- compositions ----------------------------------------------------------------------------------
 
 def _experiment(spark, d):
-    """All default families with full draws, but for trees: their search is hundreds of Spark ML fits for any panel."""
-    families = [name for name in experiment.DEFAULT_FAMILIES if name not in experiment.TREE_FAMILIES]
-    return experiment.run_experiment(regular_panel(spark, d, "priority"), tuple(families))
+    """All default families with full draws; the trees' search is hundreds of Spark ML fits for any panel."""
+    return experiment.run_experiment(regular_panel(spark, d, "priority"))
 
 
 @query("run_experiment")
