@@ -2,14 +2,15 @@
 
 A document's statistics are taken from its whole text.  Fixed base rules reject
 fragments and texts that repeat themselves.  Further rules compare a statistic
-with a cutoff, and the cutoffs are chosen on labelled documents: for every
-stratum, rule and candidate cutoff, the good documents that the cutoff would
-reject are counted, and the cutoff is certified if the exact (Clopper-Pearson)
-upper bound of its false rejection rate is within the rule's part of the allowed
-risk.  The bounds hold together: the error level is divided by the number of
-all bounds that are computed (Bonferroni).  The strictest certified cutoff is
-used.  A stratum with too few labelled good documents certifies none, and then
-rejects nothing beyond the base rules.
+with a cutoff, and the cutoffs are chosen on labelled documents.  They form one
+chain from lax to strict, each step with one more cutoff of one rule.  For every
+stratum and step, the good documents that all rules together would reject are
+counted, and the step is certified if the exact (Clopper-Pearson) upper bound of
+its false rejection rate is within the allowed risk.  The steps are tested in
+their order up to the first failure, so a stratum's error level need not be
+divided among them; it is divided by the number of strata (Bonferroni).  The
+strictest certified step is used.  A stratum with too few labelled good documents
+certifies none, and then rejects nothing beyond the base rules.
 
 The candidate cutoffs are fixed beforehand, so every labelled row is holdout.
 """
@@ -109,27 +110,37 @@ def upper_tail_ok(rejected: int, total: int, risk: float, level: float) -> bool:
     return math.fsum(map(math.exp, terms)) <= level
 
 
+def chain(rules) -> list[tuple[str, float]]:
+    """All cutoffs as ``(rule, cutoff)`` from lax to strict, the rules in turns by the share of their cutoffs used."""
+    steps = [((i + 1) / len(cutoffs), name, float(c)) for name, (_, _, cutoffs) in rules.items()
+             for i, c in enumerate(sorted(cutoffs, reverse=True))]
+    return [(name, c) for _, name, c in sorted(steps, key=lambda step: step[0])]
+
+
 def certify(labelled: DataFrame, rules=None, risk: float = 0.02, level: float = 0.05) -> DataFrame:
     """Counts, verdict and cutoffs for ``labelled`` (statistics, ``stratum``, ``good``).
 
     Returns ``stratum, rule, cutoff, n_good, n_rejected, certified``, one row for
-    each bound.  ``risk`` is the largest share of a stratum's good documents that
-    all rules together may reject, ``level`` the probability that any bound fails.
+    each step of the chain; ``n_rejected`` counts what this cutoff and those before it reject.
+    ``risk`` is the largest share of a stratum's good documents that all rules together
+    may reject, ``level`` the probability that this fails in any stratum.
     """
     rules = RULES if rules is None else rules
-    grid = [(name, float(c)) for name, (_, _, cutoffs) in rules.items() for c in cutoffs]
-    counted = labelled.filter("good").groupBy("stratum").agg(
+    steps = chain(rules)
+    # A document is rejected from the first step on that rejects it.
+    first = F.coalesce(*[F.when(above(rules[name], c), F.lit(k)) for k, (name, c) in enumerate(steps)], F.lit(len(steps)))
+    counted = labelled.filter("good").withColumn("first", first).groupBy("stratum").agg(
         F.count("*").alias("n_good"),
-        F.array(*[F.count(F.when(above(rules[name], c), 1)) for name, c in grid]).alias("rejected"))
-    strata = counted.count()
-    each, part = level / max(1, strata * len(grid)), risk / len(rules)
+        F.array(*[F.count(F.when(F.col("first") <= k, 1)) for k in range(len(steps))]).alias("rejected"))
+    each = level / max(1, counted.count())
 
     @F.pandas_udf("boolean")
     def within(rejected, total):
         import pandas as pd
-        return pd.Series([upper_tail_ok(int(k), int(n), part, each) for k, n in zip(rejected, total)], dtype="bool")
+        # Counts never fall along the chain, so no step after a failure passes.
+        return pd.Series([upper_tail_ok(int(k), int(n), risk, each) for k, n in zip(rejected, total)], dtype="bool")
 
-    numbered = F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(c).alias("cutoff")) for name, c in grid])
+    numbered = F.array(*[F.struct(F.lit(name).alias("rule"), F.lit(c).alias("cutoff")) for name, c in steps])
     return counted.select("stratum", "n_good", F.explode(F.arrays_zip(numbered.alias("g"), F.col("rejected"))).alias("x")) \
         .select("stratum", "x.g.rule", "x.g.cutoff", "n_good", F.col("x.rejected").alias("n_rejected")) \
         .withColumn("certified", within("n_rejected", "n_good"))

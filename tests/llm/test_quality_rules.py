@@ -57,3 +57,23 @@ def test_without_labels_or_rows(documents, prose, spark):
     rows = quality_rules.apply_rules(documents([(1, prose(80, 1) + " #" * 80), (1, "")]), none).collect()
     assert sorted(r["kept"] for r in rows) == [False, True]
     assert quality_rules.apply_rules(documents([]), none).count() == 0
+
+
+def test_a_few_hundred_labels_certify(documents, prose, spark):
+    langs = ("en", "de", "fr", "it")
+    clean = [(i, prose(100, i, 3000), langs[i % 4]) for i in range(4 * 240)]  # 217 suffice for 2 % in four strata
+    junk = [(10_000 + i, prose(100, i, 3000) + " #%" * 60, langs[i % 4]) for i in range(40)]
+    labels = spark.createDataFrame([(i, 1) for i in range(4 * 240)], "doc_id long, quality int")
+    judged = {r["row"]["doc_id"]: r for r in quality_rules.apply_rules(documents(clean + junk), labels).collect()}
+    assert not any(judged[10_000 + i]["kept"] for i in range(40))
+    assert all(sum(judged[i]["kept"] for i in range(k, 960, 4)) >= 0.98 * 240 for k in range(4))
+
+
+def test_chain_counts_what_all_rules_reject(documents, prose, spark):
+    rules = {"symbols": ("n_symbols", "n_words", (0.1, 0.5)), "long_words": ("word_chars", "n_words", (5.0, 20.0))}
+    assert quality_rules.chain(rules) == [("symbols", 0.5), ("long_words", 20.0), ("symbols", 0.1), ("long_words", 5.0)]
+    rows = [("s", n_symbols, chars, 100, good) for n_symbols, chars, good in
+            ((0, 400, True), (60, 400, True), (60, 2500, True), (20, 2500, True), (20, 400, True), (0, 600, True), (90, 9000, False))]
+    stats = spark.createDataFrame(rows, "stratum string, n_symbols long, word_chars long, n_words long, good boolean")
+    got = {(r["rule"], r["cutoff"]): (r["n_good"], r["n_rejected"]) for r in quality_rules.certify(stats, rules).collect()}
+    assert [got[step] for step in quality_rules.chain(rules)] == [(6, 2), (6, 3), (6, 4), (6, 5)]
