@@ -9,6 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
+
+from panelcast.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,3 +45,31 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 
 def bytes_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [b"" if t is None else t for t in batch.column(column).cast(pa.binary()).to_pylist()]
+
+
+def numbered(rows: DataFrame, *order: Column) -> DataFrame:
+    """Adds ``place``, the rank from 0 of every row in ``order``, by one exchange by range.
+
+    Rows are numbered inside sorted ranges, and the rows of the ranges before are
+    added.  ``order`` should not leave many rows equal, as these share a range.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, nth = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(batch.num_rows, part, np.int32)), pa.array(np.arange(nth, nth + batch.num_rows))],
+                [*batch.schema.names, "part", "nth"])
+            nth += batch.num_rows
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    held = materialize(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                       .mapInArrow(number, f"{schema}, part int, nth long"), "numbered")
+    firsts, before = [], 0
+    for part, n in sorted(held.groupBy("part").count().collect()):  # one row per range
+        firsts.append((part, before))
+        before += n
+    firsts = spark.createDataFrame(firsts, "part int, first long")
+    return held.join(firsts, "part").withColumn("place", F.col("first") + F.col("nth")).drop("part", "nth", "first")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import importance, line_dedup, mixing, neighbours, packing, quality_rules, sharding, simhash, token_counts, warc
+from panelcast.llm import (
+    importance, line_dedup, mixing, neighbours, packing, prefix_trie, quality_rules, sharding, simhash, substring_dedup,
+    target_resampling, token_counts, warc)
 from panelcast.llm.common import table
 
 
@@ -64,6 +66,25 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.rebuilt(table(spark, folder, "conversations"))
+    return prefix_trie.prefix_trie(turns)
+
+
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(table(spark, folder, "documents"), width=50, carry=["doc_id"])
+    return kept.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = target_resampling.resample_to_target(table(spark, folder, "documents"), table(spark, folder, "benchmark"),
+                                                 longest=1, buckets=10_000, percent=10, least_words=20, seed=2024, carry=["doc_id"])
+    return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc, op3_token_counts, op4_importance, op5_simhash, op6_line_dedup,
-                                  op7_shard, op8_pack, op9_neighbours, op10_quality_rules)}
-ORACLES = {"op1_mix_sources": mixing.SQL, "op2_warc": warc.SQL, "op6_line_dedup": line_dedup.SQL}
+                                  op7_shard, op8_pack, op9_neighbours, op10_quality_rules, op11_prefix_trie,
+                                  op12_substring_dedup, op13_target_resampling)}
+ORACLES = {"op1_mix_sources": mixing.SQL, "op2_warc": warc.SQL, "op6_line_dedup": line_dedup.SQL,
+           "op11_prefix_trie": prefix_trie.SQL, "op12_substring_dedup": substring_dedup.SQL,
+           "op13_target_resampling": target_resampling.SQL}
