@@ -11,8 +11,12 @@ beside those it fills.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +29,32 @@ from panelcast.llm.token_counts import load_tokenizer
 from panelcast.session import materialize
 
 REMEMBERED_WORDS = 800_000
-STOPS = b".,;:!?"
-SINGLE_STOPS = [bytes([s]) for s in STOPS]
+SYMBOLS = b".,;:!?#$%&*"
+PROBES = [w.encode() for w in ("a", "the", "straightforwardly", "naïve", "größenwahn", "ñandú", "привет", "日本語", "ʰªß")]
+# Letters that stand for bytes in byte-level vocabularies: printable bytes for themselves, others from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: b if b in _PRINTED else 256 + sum(x not in _PRINTED for x in range(b)) for b in range(256)}
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
+def _letters(word: bytes) -> bool:
+    """Whether a word is letters alone, also when composed and in lower case."""
+    return word.isalpha() or (text := word.decode()).isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
+
+
+def _settled(text: str) -> bool:
+    """Whether lower case and composition of letters change nothing."""
+    return text == text.lower() and unicodedata.is_normalized("NFC", text)
+
+
 class WordIds:
     """Ids of words as little-endian 32-bit bytes; forgets all at the bound.
 
     For tokenizers that drop blanks before they look at words: what lies between
     ASCII blanks is encoded alike alone and in the text.  Words of letters are one
-    unit to such a tokenizer, whose last token says that it ends a word, so many
-    of them are encoded as one text and told apart by these tokens.
+    unit to such a tokenizer.  Where its model, asked without the steps before it,
+    gives the same ids, lower-case words go to the model; other words of letters
+    are encoded many at a time and told apart by the tokens that end a word.
     """
 
     def __init__(self, tokenizer, word_end: str = "</w>"):
@@ -44,34 +62,50 @@ class WordIds:
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(word_end)]] = True
+        # Whether the model alone gives what the whole tokenizer gives for lower-case words of letters.
+        self.direct = all(self._by_model(w) == ids.tobytes() for w, ids in zip(PROBES, self._encode(PROBES)))
+
+    def _by_model(self, word: bytes) -> bytes:
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(word.decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
 
     def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in encoded]
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        new = words - self.known.keys()
+        new = {w for w in words if w not in self.known}  # a difference of sets would walk over all known words
         if not new:
             return self.known
         if len(self.known) > REMEMBERED_WORDS:
             self.known = {w: self.known[w] for w in words & self.known.keys()}
-        # A stop after a letter is a word of its own to the tokenizer.
-        stopped = [w for w in new if w[-1] in STOPS and w[-2:-1].isalpha()]
-        plain = (new.difference(stopped) | {w[:-1] for w in stopped} | set(SINGLE_STOPS)) - self.known.keys()
-        letters = [w for w in plain if w.isalpha() or w.decode().isalpha()]
+        # Symbols after letters are a unit of their own to the tokenizer.
+        stems = {w: stem for w in new if (stem := w.rstrip(SYMBOLS)) and len(stem) < len(w) and _letters(stem)}
+        parts = chain(new.difference(stems), stems.values(), {w[len(stem):] for w, stem in stems.items()})
+        plain = {w for w in parts if w not in self.known}
+        letters = [w for w in plain if _letters(w)]
         others = list(plain.difference(letters))
+        if self.direct:
+            lower = [w for w in letters if w.isalpha() and w.islower() or _settled(w.decode())]
+            self.known.update(zip(lower, map(self._by_model, lower)))
+            letters = list(set(letters).difference(lower))
         blocks = [letters[i:i + 500] for i in range(0, len(letters), 500)]
         for block, ids in zip(blocks, self._encode([b" ".join(block) for block in blocks])):
             raw, cuts = ids.tobytes(), [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
             if len(cuts) == len(block) + 1:
                 self.known.update(zip(block, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
-            else:  # a letter that is more than letters in lower case
+            else:  # a letter that is more than letters to the tokenizer
                 others += block
         self.known.update(zip(others, (ids.tobytes() for ids in self._encode(others))))
-        self.known.update([(w, self.known[w[:-1]] + self.known[w[-1:]]) for w in stopped])
+        self.known.update([(w, self.known[stem] + self.known[w[len(stem):]]) for w, stem in stems.items()])
         return self.known
 
 
+@lru_cache(maxsize=1)
+def word_ids(tokenizer_path: str) -> WordIds:
+    """The worker's memory of words, which later tasks of the worker go on with."""
+    return WordIds(load_tokenizer(tokenizer_path))
+
+
 def document_ids(texts: list[bytes], words: WordIds, end_id: int) -> list[bytes]:
     # The tokenizer lower-cases, but finds special strings as they are written.
     split = [(text if b"<|" in text else text.lower()).split() for text in texts]
@@ -88,7 +122,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, length: int = 4096, en
     schema = f"row {packed.schema['row'].dataType.simpleString()}, {PIECE}" + ", ids binary" * with_ids
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(load_tokenizer(tokenizer_path))
+        words = word_ids(tokenizer_path)
         for batch in batches:
             for part in by_bytes(batch, "text", 1 << 20):
                 owner, piece, start, size, crc, held = [], [], [], [], [], []

@@ -95,3 +95,12 @@ def test_best_fit_takes_the_fullest_bin():
         for at in range(0, 400, 37):
             parts += packing.best_fit(lengths[at:at + 37], 100, open_bins, state)[0]
         assert parts == where
+
+
+def test_words_of_any_letters_pack_as_in_the_library():
+    """Letters that compose, fall apart or change with case, beside symbols."""
+    words = packing.WordIds(token_counts.load_tokenizer(tokenizer_path("word_bpe_49k.json")))
+    letters = [c for c in map(chr, [*range(0x80, 0x1400, 3), *range(0x958, 0x960), *range(0xFB00, 0xFB50)]) if c.isprintable()]
+    texts = [f"ab{c}cd. {c}{c}** x{c} {c}!$ A{c}%" for c in letters]
+    wanted = [e.ids + [1] for e in words.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [list(memoryview(ids).cast("I")) for ids in packing.document_ids([t.encode() for t in texts], words, 1)] == wanted
