@@ -8,7 +8,7 @@ Consecutive windows that share their minimizer (the least hash of four words in
 the window) travel together to the shard of that minimizer, some 24 at a time:
 equal windows have equal minimizers, positions follow from the first one, and a
 shard's answer is again an interval.  Before anything is sent, a task compares
-the windows of about eight megabytes of text: those that also start in a smaller
+the windows of about four megabytes of text: those that also start in a smaller
 document of the same slice are repeated whatever others hold, so only the
 smallest document's go on.  A passage that a third of all documents share thus
 sends one hash per window and slice.
@@ -39,7 +39,7 @@ from panelcast.llm.common import by_bytes, bytes_of
 NO_ID = (1 << 63) - 1  # stands for a NULL id, after all others
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that they have inverses modulo 2**64
 GRAM = 4
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 SEGMENT_WORDS = 1 << 20  # longer documents are hashed in overlapping parts
 REMEMBERED_WORDS = 500_000
 RUN = np.dtype([("owner", "<i8"), ("check", "<i8"), ("start", "<i8"), ("count", "<i4")])
