@@ -28,6 +28,7 @@ class Family:
     search: Callable[..., DataFrame]
     predict: Callable[..., DataFrame]
     has_bands: bool
+    version: str = ""  # part of a stored fit's key, such as the text of the grid
 
 
 def _with_bands(rows: DataFrame, alpha: float) -> DataFrame:
@@ -46,7 +47,7 @@ def _smoothing(model: str, grid) -> Family:
             best = pick_best_candidate(fit_candidates(_again(best, arrays), smoothing.fit_smoothing))
         kept = best.select("series_id", "model", "params", "coef")
         return smoothing.predict(kept, arrays, steps, alpha).withColumn("offset", F.lit(0))
-    return Family(search, predict, True)
+    return Family(search, predict, True, repr(grid("W-MON")))
 
 
 def _again(best: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def _array_model(model: str, grid, fit_one, apply_one, draw=draw_grid, bands=Tru
             best = pick_best_candidate(fit_candidates(_again(best, arrays), fit_one))
         rows = best.select("series_id", "model", "params", "coef").join(arrays, "series_id")
         return _with_bands(apply_rows(rows, apply_one, steps, freq), alpha)
-    return Family(search, predict, bands)
+    return Family(search, predict, bands, repr(grid("W-MON")))
 
 
 def _validated_model(model: str, grid, parts, folds: int, draw, bands: bool) -> Family:
@@ -80,7 +81,7 @@ def _validated_model(model: str, grid, parts, folds: int, draw, bands: bool) ->
         _, fit, apply_one = parts(freq)
         rows = refit(best, arrays, fit)
         return _with_bands(apply_rows(rows, apply_one, steps, freq), alpha)
-    return Family(search, predict, bands)
+    return Family(search, predict, bands, repr(grid))
 
 
 def _grid_only(rows, model, grid, n_iter, seed):
@@ -93,19 +94,22 @@ def _rows(arrays: DataFrame) -> DataFrame:
             .select("series_id", "center", "scale", "r.ds", "r.z"))
 
 
-def _ar() -> Family:
-    """Autoregression: every candidate comes from one set of grouped sums."""
+def _ar(fixed: bool = False) -> Family:
+    """Autoregression: every candidate comes from one set of grouped sums.  ``fixed``: one lag and a constant, no search."""
     model = autoregression
 
     def search(arrays, freq, n_iter=50, seed=0):
         sums = model.moments(_rows(arrays), freq)
+        if fixed:
+            return pick_best_candidate(model.fit_ar(model.with_fixed(sums), freq))
         chosen = sampled_numbers("ar", model.GRID, n_iter, seed)
         return pick_best_candidate(model.fit_ar(model.with_candidates(sums, chosen), freq))
 
     def predict(best, arrays, steps, freq, alpha=0.05, refit_rows=False):
         if refit_rows:
             again = best.select("series_id", F.array(F.lit(0)).alias("ids"), F.array("params").alias("params"))
-            best = pick_best_candidate(model.fit_ar(model.moments(_rows(arrays), freq).join(again, "series_id"), freq))
+            anew = pick_best_candidate(model.fit_ar(model.moments(_rows(arrays), freq).join(again, "series_id"), freq))
+            best = anew.drop("model").join(best.select("series_id", "model"), "series_id")
         kept = best.select("series_id", "model", "params", "coef", "score")
         fits = (model.ar_fitted(_rows(arrays), kept, freq).groupBy("series_id")
                 .agg(F.sort_array(F.collect_list(F.struct("ds", "zhat"))).alias("f"))
@@ -115,6 +119,26 @@ def _ar() -> Family:
     return Family(search, predict, True)
 
 
+def _fixed_smoothing(trend: str, alpha: float, beta: float) -> Family:
+    """Level or level-and-trend smoothing with given weights: the recursion, its forecasts and bands as expressions."""
+    def smoothed(arrays):
+        weights = {"trend": F.lit(trend), "alpha": F.lit(alpha), "beta": F.lit(beta), "gamma": F.lit(0.0), "phi": F.lit(1.0)}
+        return smoothing.smooth(smoothing.start_values(arrays.withColumns(weights)))
+
+    def search(arrays, freq, n_iter=50, seed=0):
+        del freq, n_iter, seed
+        params = F.create_map(*[F.lit(x) for x in ("trend", trend, "alpha", repr(alpha), "beta", repr(beta))])
+        return smoothed(arrays).select("series_id", F.lit(0).alias("candidate_id"), params.alias("params"), F.size("z").alias("n"),
+                                       F.sqrt(smoothing.residual_variance()).alias("score"), F.lit("ok").alias("status"))
+
+    def predict(best, arrays, steps, freq, alpha=0.05, refit_rows=False):
+        rows = smoothed(best.select("series_id", "model").join(arrays, "series_id")).withColumns(
+            {"ahead": smoothing.forecast_array(steps), "offset": F.lit(0)})
+        lower, upper = smoothing.bands(F.col("ahead"), smoothing.residual_variance(), smoothing.variance_factors(steps), alpha)
+        return rows.withColumns({"lower": lower, "upper": upper})
+    return Family(search, predict, True, repr((trend, alpha, beta)))
+
+
 def _bayes() -> Family:
     """Bayesian regression: nothing to search, scales are learned in the fit."""
     def search(arrays, freq, n_iter=50, seed=0):
@@ -138,6 +162,9 @@ def _bayes() -> Family:
 
 FAMILIES: dict[str, Family] = {
     "ar": _ar(),
+    "ar1": _ar(fixed=True),
+    "hw_simple": _fixed_smoothing("none", 1 / 3, 0.0),
+    "hw_trend": _fixed_smoothing("add", 1 / 3, 1 / 30),
     "bayes": _bayes(),
     "ets": _smoothing("ets", smoothing.ets_grid),
     "hw": _smoothing("hw", smoothing.hw_grid),
@@ -154,9 +181,13 @@ FAMILIES: dict[str, Family] = {
 }
 
 
-def register_forecaster(name: str, search, predict, has_bands: bool = False) -> None:
-    """Add a family; ``run_experiment(families=[name])`` can then use it."""
-    FAMILIES[name] = Family(search, predict, has_bands)
+def register_forecaster(name: str, search, predict, has_bands: bool = False, version: str = "") -> None:
+    """Add a family; ``run_experiment(families=[name])`` can then use it.
+
+    Fits are stored under the family's name and ``version``: change the version
+    when the search changes.
+    """
+    FAMILIES[name] = Family(search, predict, has_bands, version)
 
 
 def register_simple_forecaster(name: str, fit_one, apply_one, grid: dict[str, list[str]]) -> None:

@@ -6,17 +6,21 @@ and applied to all series at once, also for the step-by-step forecast.
 
 from __future__ import annotations
 
+import hashlib
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from panelcast.functions.calendar import future_array, lags_of
 from panelcast.operators.features import calendar_features, feature_names, lag_features, lag_from_end
 from panelcast.operators.search import grid_size, kfold
 from panelcast.session import materialize
+from panelcast.sources.param_store import committed, default_store
 
 # Search grids.  num_leaves, reg_alpha and reg_lambda have no
 # counterpart in Spark ML and stay in the candidate table without effect.
@@ -28,7 +32,9 @@ RF_GRID = {
     "n_estimators": ["50", "100"], "max_depth": ["5", "10"], "min_samples_split": ["5", "10"],
     "min_samples_leaf": ["4", "8"], "max_features": ["sqrt"], "bootstrap": ["true"], "max_samples": ["0.8"]}
 STEPS_PER_PLAN = 8
+ROWS_PER_TASK = 20_000
 GRIDS = {"gb": GB_GRID, "rf": RF_GRID}
+TREES = {"gb": "maxIter", "rf": "numTrees"}
 
 
 def default_params(family: str) -> dict[str, str]:
@@ -83,23 +89,82 @@ def fit_trees(features: DataFrame, family: str, params: dict[str, str] | None =
 
 
 def search_trees(features: DataFrame, family: str, n_iter: int, folds: int = 3, seed: int = 0,
-                 parallelism: int = 4):
+                 parallelism: int = 8):
     """Best model and ``(params, score)`` pairs by contiguous folds.
 
     The fold of a row is its block of time within its series.  Scores are
-    negative mean squared errors.
+    negative mean squared errors.  Combinations that differ only in what Spark ML
+    does not know are trained once.  Boosting is searched in stages: fewer trees
+    are the first of more, so combinations that differ in the number of trees
+    share one training per fold, which is scored after each tree.
     """
-    estimator = _estimator(family, seed=seed)
     tried = sampled_params(family, n_iter, seed)
-    # Combinations that differ only in what Spark ML does not know are trained once.
     settings = [tuple(sorted(_settings(family, params).items())) for params in tried]
-    distinct = list(dict.fromkeys(settings))
-    maps = [{estimator.getParam(k): v for k, v in chosen} for chosen in distinct]
-    tuner = CrossValidator(estimator=estimator, estimatorParamMaps=maps, numFolds=folds, foldCol="fold",
-                           evaluator=RegressionEvaluator(labelCol="z", metricName="mse"), parallelism=parallelism)
-    tuned = tuner.fit(features)
-    scores = dict(zip(distinct, tuned.avgMetrics))
-    return tuned.bestModel, [(p, -scores[s]) for p, s in zip(tried, settings)]
+    # A task per core and enough rows to be worth it: small tables train in few tasks.
+    spark = features.sparkSession
+    tasks = max(1, min(features.rdd.getNumPartitions(), features.count() // ROWS_PER_TASK))
+    features = features.coalesce(tasks).persist()
+    stages = _stages(family, settings)
+    work = [(shared, fold) for shared in stages for fold in range(folds)]
+
+    def errors(job) -> dict[int, float]:
+        shared, fold = job
+        model = _trained(features.where(F.col("fold") != fold), family, {**dict(shared), TREES[family]: max(stages[shared])}, seed)
+        held_out = features.where(F.col("fold") == fold)
+        if family == "gb":
+            after = model.evaluateEachIteration(held_out, "squared")
+            return {n: after[n - 1] for n in stages[shared]}
+        mse = RegressionEvaluator(labelCol="z", metricName="mse").evaluate(model.transform(held_out))
+        return {n: mse for n in stages[shared]}
+
+    with ThreadPool(min(parallelism, len(work))) as pool:
+        found = pool.map(inheritable_thread_target(spark)(errors), work)
+    sums: dict[tuple, float] = {}
+    for (shared, _), after in zip(work, found):
+        for n, error in after.items():
+            sums[shared, n] = sums.get((shared, n), 0.0) + error / folds
+    scores = {s: sums[_shared(family, s), dict(s)[TREES[family]]] for s in settings}
+    best = _trained(features, family, dict(min(settings, key=scores.__getitem__)), seed)
+    features.unpersist()
+    return best, [(p, -scores[s]) for p, s in zip(tried, settings)]
+
+
+def _shared(family: str, setting: tuple) -> tuple:
+    """What trainings have in common; a forest is trained once per number of trees."""
+    return tuple(x for x in setting if x[0] != TREES[family]) if family == "gb" else setting
+
+
+def _stages(family: str, settings: list[tuple]) -> dict[tuple, list[int]]:
+    """Numbers of trees asked for, by what trainings have in common."""
+    out: dict[tuple, list[int]] = {}
+    for setting in dict.fromkeys(settings):
+        out.setdefault(_shared(family, setting), []).append(dict(setting)[TREES[family]])
+    return out
+
+
+def _trained(features: DataFrame, family: str, setting: dict, seed: int):
+    estimator = _estimator(family, seed=seed)
+    return estimator.fit(features, {estimator.getParam(k): v for k, v in setting.items()})
+
+
+def searched_trees(features: DataFrame, family: str, n_iter: int, folds: int = 3, seed: int = 0, store: str | None = None):
+    """As ``search_trees``, kept in the store under a digest of the rows and the search.
+
+    The digest does not depend on the order of rows.  The model is written
+    first, the scores last; an entry without scores is no entry.
+    """
+    spark = features.sparkSession
+    rows = features.agg(F.count("*"), F.sum(F.xxhash64("series_id", "ds", "z", "fold").cast("decimal(38,0)"))).first()
+    key = hashlib.sha256(repr((tuple(rows), family, GRIDS[family], n_iter, folds, seed)).encode()).hexdigest()
+    path = f"{store or default_store(spark)}-trees/{key}"
+    kind = GBTRegressionModel if family == "gb" else RandomForestRegressionModel
+    if not committed(spark, f"{path}/scores"):
+        model, tried = search_trees(features, family, n_iter, folds, seed)
+        model.write().overwrite().save(f"{path}/model")
+        spark.createDataFrame([(i, p, s) for i, (p, s) in enumerate(tried)], "i int, params map<string,string>, score double") \
+            .coalesce(1).write.mode("overwrite").parquet(f"{path}/scores")
+    tried = spark.read.parquet(f"{path}/scores").orderBy("i").collect()  # one row per draw
+    return kind.load(f"{path}/model"), [(dict(r["params"]), r["score"]) for r in tried]
 
 
 def trees_forecast(arrays: DataFrame, model, family: str, steps: int, freq: str = "W-MON") -> DataFrame:

@@ -169,19 +169,6 @@ def _(spark, d):
                        F.array_join(F.array_sort(entries), ";").alias("best_params"))
 
 
-@query("model_store_load_or_fit", with_("supplier") + """SELECT series_id, 'scaler' AS model,
-  CASE WHEN series_id < '5' THEN -1.0 ELSE round(center, 6) END AS center FROM stats""")
-def _(spark, d):
-    # Stored parameters exist for the series below '5'; the others are fitted.
-    panel = regular_panel(spark, d)
-    stored = (panel.where("series_id < '5'").select("series_id").distinct()
-              .select("series_id", F.lit("scaler").alias("model"), F.lit(-1.0).alias("center")))
-    return stores.model_store_load_or_fit(
-        panel, stored, "scaler",
-        lambda todo: scaling.robust_scale_fit(todo).select(
-            "series_id", F.lit("scaler").alias("model"), F.round("center", 6).alias("center")))
-
-
 BACK_SQL = """back AS (SELECT a.series_id, a.ds, a.y, a.yhat FROM aligned a WHERE a.model = 'hw_trend' AND a.kind = 'forecast'),
 fut AS (SELECT e.series_id, CAST(b.hi + INTERVAL (7 * k) DAY AS DATE) AS ds, (e.l + (k + 52) * e.g) * s.scale + s.center AS yhat,
   CASE WHEN k <= 13 THEN 'high' WHEN k <= 30 THEN 'medium' ELSE 'low' END AS confidence
@@ -201,15 +188,6 @@ def _back_and_future(spark, d):
     return back, future
 
 
-@query("export_best_model", BACK_FUTURE_SQL + f"""
-SELECT series_id, ds AS date, round(y, 2) AS actual, {r("yhat", 4)} AS model_fit, CAST(NULL AS DOUBLE) AS forecast,
-  CAST(NULL AS VARCHAR) AS confidence FROM back
-UNION ALL SELECT series_id, ds, NULL, NULL, {r("yhat", 4)}, confidence FROM fut""")
-def _(spark, d):
-    out = stores.export_best_model(*_back_and_future(spark, d))
-    return rounded(rounded(out, 4, "model_fit", "forecast"), 2, "actual")
-
-
 @query("union_backtest_future", BACK_FUTURE_SQL + f"""
 SELECT series_id, ds, round(y, 2) AS y, {r("yhat", 4)} AS yhat, CAST(NULL AS VARCHAR) AS confidence FROM back
 UNION ALL SELECT series_id, ds, NULL, {r("yhat", 4)}, confidence FROM fut""")
@@ -220,16 +198,6 @@ def _(spark, d):
     return rounded(rounded(both, 4, "yhat"), 2, "y")
 
 
-@query("default_view_window", BACK_FUTURE_SQL + """
-SELECT b.series_id, b.view_start, f.view_end, FALSE AS limited_confidence FROM
- (SELECT series_id, max(CASE WHEN i = 26 THEN ds END) AS view_start FROM
-   (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ds) - 1 AS i FROM back) GROUP BY 1) b
- JOIN (SELECT series_id, max(CASE WHEN confidence <> 'low' THEN ds END) AS view_end FROM fut GROUP BY 1) f
- ON f.series_id = b.series_id""")
-def _(spark, d):
-    return evaluate.default_view_window(*_back_and_future(spark, d))
-
-
 # --- 2.2 projections, filters, scalar functions -------------------------------
 
 @query("normalize_names", """SELECT replace(lower(c_mktsegment), ' ', '_') AS project, count(*) AS marketsegment_n

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,6 +14,7 @@ from panelcast.operators.grid import assign_frequency, regularize
 from panelcast.plans.prepare import all_arrays, prepare, to_predictions, train_arrays
 from panelcast.schemas import HORIZON
 from panelcast.session import materialize
+from panelcast.sources.param_store import load_or_fit
 from panelcast.sources.stores import union_results
 
 # Candidates tried per family unless the caller says otherwise.
@@ -35,11 +37,11 @@ class Experiment:
     failed: DataFrame        # series_id, model of families that no candidate could be fitted for
 
 
-def _tree_run(prepared, arrays, family, steps, freq, n_iter, seed, params=None, kind="forecast", fits=True):
+def _tree_run(prepared, arrays, family, steps, freq, n_iter, seed, params=None, kind="forecast", fits=True, store=None):
     """Train on the given rows and forecast; best params are the same for all series."""
     features = trees.feature_table(prepared, freq)
     if params is None and n_iter > 1:
-        model, tried = trees.search_trees(features, family, n_iter, seed=seed)
+        model, tried = trees.searched_trees(features, family, n_iter, seed=seed, store=store)
         params, score = max(tried, key=lambda p: p[1])
     else:
         params, score = params or trees.default_params(family), None
@@ -58,11 +60,14 @@ def _tree_run(prepared, arrays, family, steps, freq, n_iter, seed, params=None,
 
 
 def run_experiment(panel: DataFrame, families: tuple[str, ...] = DEFAULT_FAMILIES, freq: str = "W-MON",
-                   horizon: int = HORIZON, n_iter: int | None = None, seed: int = 0) -> Experiment:
+                   horizon: int = HORIZON, n_iter: int | None = None, seed: int = 0, store: str | None = None) -> Experiment:
     """Search, fit, forecast and score every family on every series.
 
     Families run one after another, each as jobs over the whole panel.  What
-    more than one family reads is written once.
+    more than one family reads is written once.  Searches go through the
+    parameter store at ``store`` (by default the session's own): a run that is
+    repeated, or that goes on after its driver was lost, fits only what no
+    earlier run has fitted from the same values.
     """
     prepared = materialize(prepare(panel, horizon), "prepared")
     arrays = materialize(train_arrays(prepared), "train-arrays")
@@ -70,10 +75,11 @@ def run_experiment(panel: DataFrame, families: tuple[str, ...] = DEFAULT_FAMILIE
     for name in families:
         draws = n_iter or DEFAULT_DRAWS.get(name, OTHER_DRAWS)
         if name in TREE_FAMILIES:
-            best, rows = _tree_run(prepared.where("split = 'train'"), arrays, name, horizon, freq, draws, seed)
+            best, rows = _tree_run(prepared.where("split = 'train'"), arrays, name, horizon, freq, draws, seed, store=store)
         else:
             family = FAMILIES[name]
-            best = materialize(family.search(arrays, freq, draws, seed), f"best-{name}")
+            best = materialize(load_or_fit(arrays, name, (freq, draws, seed, family.version), partial(
+                family.search, freq=freq, n_iter=draws, seed=seed), store), f"best-{name}")
             rows = to_predictions(family.predict(best, arrays, horizon, freq), freq)
         failed.append(arrays.select("series_id", F.lit(name).alias("model"))
                       .join(best.select("series_id"), "series_id", "left_anti"))

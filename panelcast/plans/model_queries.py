@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F
 
 from panelcast.functions.recursions import normal_quantile
 from panelcast.models import arima, autoregression, bayes, decomposable, learners, registry, smoothing, trees
-from panelcast.operators import features, scaling, search
+from panelcast.operators import evaluate, features, scaling, search
 from panelcast.plans import experiment
 from panelcast.plans.catalog import query
 from panelcast.plans.core_queries import rounded
-from panelcast.plans.oracle import SMOOTHED, r, with_
+from panelcast.plans.oracle import ALIGNED, SCORES, SMOOTHED, r, with_
 from panelcast.plans.prepare import (prepared_panel, regular_panel, simple_smoothers, smoothed_predictions,
                                      to_predictions, train_arrays)
-from panelcast.session import materialize
+from panelcast.session import materialize, scratch_path
+from panelcast.sources import param_store, stores
 
 STEPS = 52
 
@@ -414,8 +417,8 @@ def _tree_features(spark, d):
 
 
 def _searched_trees(features, family):
-    """The best of the default draws, refitted on all rows."""
-    return trees.search_trees(features, family, experiment.DEFAULT_DRAWS[family])[0]
+    """The best of the default draws, refitted on all rows; searched once for all queries of the session's store."""
+    return trees.searched_trees(features, family, experiment.DEFAULT_DRAWS[family])[0]
 
 
 def _register_trees(family):
@@ -449,19 +452,90 @@ _register_trees("rf")
 
 # --- compositions ----------------------------------------------------------------------------------
 
-def _experiment(spark, d):
-    """All default families with full draws; the trees' search is hundreds of Spark ML fits for any panel."""
-    return experiment.run_experiment(regular_panel(spark, d, "priority"))
+# Families whose fits have exact SQL: AR(1), and smoothing of level or level and trend with fixed weights.
+EXACT_FAMILIES = ("ar1", "hw_simple", "hw_trend")
+AR_PREDS = """arp AS (SELECT p.series_id, 'ar1' AS model, s.ds, 'fitted' AS kind, (f.c + f.phi * p.x) * s.scale + s.center AS yhat
+  FROM pairs p JOIN res f USING (series_id) JOIN split s ON s.series_id = p.series_id AND s.t = p.t WHERE p.x IS NOT NULL
+  UNION ALL SELECT a.series_id, 'ar1', CAST(last_ds + INTERVAL (7 * h) DAY AS DATE), 'forecast', m * scale + center
+  FROM ahead a JOIN edge e USING (series_id) WHERE h > 0)"""
+RUN_SQL = (SMOOTHED, AR_SQL, AR_AHEAD, AR_PREDS, ALIGNED.replace("FROM preds p", "FROM (SELECT * FROM preds UNION ALL SELECT * FROM arp) p"),
+           SCORES)
+
+
+def _on_all_rows(*ctes: str) -> list[str]:
+    """The same tables over all rows of a series instead of the training rows; their names end in ``_f``."""
+    names = "train|first2|run|ends|preds|pairs|fit|res|edge|ahead|sig|fac|hs|spec"
+    whole = [re.sub(r"(FROM split(?: s)?) WHERE split = 'train'", r"\1", c) for c in ctes]
+    return [re.sub(rf"\b((?:FROM|JOIN)\s+)({names})\b", r"\1\2_f", re.sub(rf"\b({names})( AS \()", r"\1_f\2", c)) for c in whole]
+
+
+FUTURE_SQL = (*_on_all_rows(SMOOTHED, HW_BANDS, AR_SQL, AR_AHEAD), """won AS (SELECT series_id, model FROM (SELECT *, row_number() OVER
+  (PARTITION BY series_id ORDER BY weighted_mape, model) AS k FROM scores WHERE phase = 'testing') WHERE k = 1),
+points AS (SELECT e.series_id, e.model, f.h, e.l + f.h * e.g AS z, sqrt(g.s2 * f.f) AS se FROM ends_f e JOIN fac_f f ON f.model = e.model
+    JOIN sig_f g ON g.series_id = e.series_id AND g.model = e.model
+  UNION ALL SELECT a.series_id, 'ar1', a.h, a.m, f.sigma * sqrt(a.v) FROM ahead_f a JOIN res_f f USING (series_id) WHERE a.h > 0),
+""" + f"""future AS (SELECT p.series_id, p.model, p.h, CAST(b.hi + INTERVAL (7 * p.h) DAY AS DATE) AS ds, p.z * s.scale + s.center AS yhat,
+  (p.z - {normal_quantile(.05)!r} * p.se) * s.scale + s.center AS lower, (p.z + {normal_quantile(.05)!r} * p.se) * s.scale + s.center AS upper
+  FROM points p JOIN won USING (series_id, model) JOIN bounds b USING (series_id) JOIN stats s USING (series_id)),
+labelled AS (SELECT *, CASE WHEN (upper - lower) / abs(yhat) < 0.2 THEN 'high' WHEN (upper - lower) / abs(yhat) < 0.4 THEN 'medium'
+  ELSE 'low' END AS confidence FROM future),
+back AS (SELECT a.series_id, a.ds, a.y, a.yhat FROM aligned a JOIN won USING (series_id, model) WHERE a.kind = 'forecast')""")
+
+
+def _exact_run(spark, d):
+    """The whole experiment; its searches are read from the session's store once an earlier query has done them."""
+    return experiment.run_experiment(regular_panel(spark, d), EXACT_FAMILIES)
+
+
+@query("run_experiment", with_("supplier", *RUN_SQL, recursive=True) + "SELECT * FROM scores")
+def _(spark, d):
+    return rounded(_exact_run(spark, d).scores, 4, "error_std")
+
+
+@query("future_forecast_best", with_("supplier", *RUN_SQL, *FUTURE_SQL, recursive=True) + f"""SELECT series_id, model, ds,
+{r('yhat', 3)} AS yhat, {r('lower', 3)} AS lower, {r('upper', 3)} AS upper, confidence FROM labelled""")
+def _(spark, d):
+    out = experiment.future_forecast_best(_exact_run(spark, d))
+    return rounded(out, 3, "yhat", "lower", "upper").select("series_id", "model", "ds", "yhat", "lower", "upper", "confidence")
+
+
+def _back_and_future(spark, d):
+    """Hold-out rows of each series' winner, and its forecast past the end with confidence from its bands."""
+    run = _exact_run(spark, d)
+    won = evaluate.best_model(run.scores).select("series_id", F.col("best_model").alias("model"))
+    rows = run.predictions.where("kind = 'forecast'").join(won, ["series_id", "model"])
+    return evaluate.align_actual_forecast(run.prepared, rows), materialize(experiment.future_forecast_best(run), "future")
+
+
+@query("export_best_model", with_("supplier", *RUN_SQL, *FUTURE_SQL, recursive=True) + f"""
+SELECT series_id, ds AS date, round(y, 2) AS actual, {r("yhat", 3)} AS model_fit, CAST(NULL AS DOUBLE) AS forecast,
+  CAST(NULL AS VARCHAR) AS confidence FROM back
+UNION ALL SELECT series_id, ds, NULL, NULL, {r("yhat", 3)}, confidence FROM labelled""")
+def _(spark, d):
+    out = stores.export_best_model(*_back_and_future(spark, d))
+    return rounded(rounded(out, 3, "model_fit", "forecast"), 2, "actual")
 
 
-@query("run_experiment")
+@query("default_view_window", with_("supplier", *RUN_SQL, *FUTURE_SQL, recursive=True) + """SELECT b.series_id, b.view_start,
+ CASE WHEN f.highs = 0 OR f.mediums = 0 THEN f.quarter ELSE f.labelled END AS view_end, f.highs = 0 OR f.mediums = 0 AS limited_confidence
+ FROM (SELECT series_id, max(CASE WHEN i = n // 2 THEN ds END) AS view_start FROM (SELECT *, count(*) OVER (PARTITION BY series_id) AS n,
+   row_number() OVER (PARTITION BY series_id ORDER BY ds) - 1 AS i FROM back) GROUP BY 1) b
+ JOIN (SELECT series_id, count(*) FILTER (confidence = 'high') AS highs, count(*) FILTER (confidence = 'medium') AS mediums,
+   max(ds) FILTER (confidence <> 'low') AS labelled, max(ds) FILTER (h = 14) AS quarter FROM labelled GROUP BY 1) f USING (series_id)""")
 def _(spark, d):
-    return _experiment(spark, d).scores
+    return evaluate.default_view_window(*_back_and_future(spark, d))
 
 
-@query("future_forecast_best")
+@query("model_store_load_or_fit", with_("supplier", AR_SQL) + """SELECT series_id, 'ar1' AS model, round(c, 6) AS const, round(phi, 6) AS phi,
+round(sigma, 6) AS score, n FROM res""")
 def _(spark, d):
-    return experiment.future_forecast_best(_experiment(spark, d))
+    """A store of its own: half of the series are fitted, then all are asked for, of which the other half is new work."""
+    arrays = materialize(train_arrays(prepared_panel(spark, d)), "arrays")
+    path, family = scratch_path(spark, "param-store"), registry.FAMILIES["ar1"]
+    for rows in (arrays.where(F.pmod(F.xxhash64("series_id"), F.lit(2)) == 0), arrays):
+        found = param_store.load_or_fit(rows, "ar1", ("W-MON",), lambda todo: family.search(todo, "W-MON"), path)
+    return found.select("series_id", "model", F.round(F.col("coef")[0], 6).alias("const"), F.round(F.col("coef")[2], 6).alias("phi"),
+                        F.round("score", 6).alias("score"), "n")
 
 
 @query("register_forecaster")

@@ -28,14 +28,14 @@ def test_facts_are_read_once(spark, name, exchanges):
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
-@pytest.mark.parametrize("name", ["export_fits_wide", "export_metrics", "union_results", "default_view_window",
+@pytest.mark.parametrize("name", ["export_fits_wide", "export_metrics", "union_results",
                                   "ar_forecast", "ar_interval", "ar_fitted"])
 def test_what_is_read_twice_is_written_first(spark, name):
     assert "lineitem.parquet" not in plan_of(spark, name)
 
 
-def test_registered_tree_queries_and_experiments_search(monkeypatch):
-    """Full draws of the tree families, and no family of a default run left out."""
+def test_registered_tree_queries_search(monkeypatch):
+    """Full draws of the tree families."""
     from panelcast.plans import experiment, model_queries
 
     class Reached(Exception):
@@ -44,15 +44,10 @@ def test_registered_tree_queries_and_experiments_search(monkeypatch):
     def reached(*args, **_):
         raise Reached(*args[1:])
 
-    monkeypatch.setattr(model_queries.trees, "search_trees", reached)
+    monkeypatch.setattr(model_queries.trees, "searched_trees", reached)
     monkeypatch.setattr(model_queries, "_tree_features", lambda *_: None)
     for family in experiment.TREE_FAMILIES:
         for kind in ("fit", "fitted", "forecast", "importance"):
             with pytest.raises(Reached) as asked:
                 all_queries()[f"{family}_{kind}"](None, None)
             assert asked.value.args == (family, experiment.DEFAULT_DRAWS[family])
-    runs = []
-    monkeypatch.setattr(model_queries, "regular_panel", lambda *_: None)
-    monkeypatch.setattr(experiment, "run_experiment", lambda panel, families=experiment.DEFAULT_FAMILIES: runs.append(families))
-    model_queries._experiment(None, None)
-    assert runs == [experiment.DEFAULT_FAMILIES]
