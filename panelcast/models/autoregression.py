@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelcast.functions.calendar import base_freq
 from panelcast.functions.recursions import normal_quantile, scan, stepped
 from panelcast.operators.features import lag_from_end
-from panelcast.operators.grid import by_date
-from panelcast.operators.search import SCORED, grid_params, grid_size
+from panelcast.operators.grid import by_date, whole
+from panelcast.operators.search import SCORED, fold_of, grid_params, grid_size
 
 MAX_LAG = 5
 SEASON = {"D": 7, "W": 52, "M": 12, "Q": 4, "Y": 1}
@@ -190,3 +190,59 @@ def predict(best: DataFrame, arrays: DataFrame, steps: int, alpha: float = 0.05)
     return rows.withColumns({
         "lower": F.zip_with("ahead", "_se", lambda f, s: f - reach * s),
         "upper": F.zip_with("ahead", "_se", lambda f, s: f + reach * s)}).drop("_se")
+
+
+def block_sums(train: DataFrame, lags: int = MAX_LAG, blocks: int = 3) -> DataFrame:
+    """One row per series: Gram sums of the rows that have all ``lags``, by contiguous blocks of time."""
+    rows = design(train, 1).where(F.col("head") >= lags)
+    rows = rows.withColumn("block", fold_of(F.row_number().over(by_date()) - 1, F.count("*").over(whole()), blocks))
+    term = {name: F.lit(1.0) if name == "one" else F.col(name).cast("double") for name in TERMS}
+    sums = rows.groupBy("series_id", "block").agg(
+        F.array(*[F.sum(term[TERMS[i]] * term[TERMS[j]]) for i, j in PAIRS]).alias("xx"),
+        F.array(*[F.sum(term[name] * F.col("z")) for name in TERMS]).alias("xz"),
+        F.sum(F.col("z") * F.col("z")).alias("zz"), F.count("*").alias("n"))
+    parts = F.sort_array(F.collect_list(F.struct("block", "xx", "xz", "zz", "n")))  # at most ``blocks``
+    return sums.groupBy("series_id").agg(parts.alias("b")).select(
+        "series_id", F.flatten("b.xx").alias("xx"), F.flatten("b.xz").alias("xz"), F.col("b.zz").alias("zz"), F.col("b.n").alias("n"))
+
+
+def score_blocks(sums: DataFrame, candidates: list[dict[str, str]], rolling: bool = False) -> DataFrame:
+    """Mean held-out squared error of every candidate (``lags``, ``trend``) from the sums of ``block_sums``.
+
+    Leaving a block out is a subtraction: the sums of the training rows are the
+    total less the block's, and the error on the block follows from its own sums,
+    so no row is read again.  With ``rolling`` a block is forecast from the blocks
+    before it, whose sums are running totals.  A candidate with a block that
+    cannot be scored fails.
+    """
+    k = len(TERMS)
+
+    def errors(xx, xz, zz, n, keep) -> np.ndarray:
+        train = [np.cumsum(x, 0) - x if rolling else x.sum(0) - x for x in (xx, xz, n)]
+        out = []
+        for f in range(1 if rolling else 0, len(n)):
+            a, b = train[0][f][np.ix_(keep, keep)], train[1][f][keep]
+            if train[2][f] <= len(keep) + 1:
+                return np.array([np.nan])
+            unit = 1 / np.sqrt(np.maximum(np.diag(a), 1e-12))
+            x = unit * np.linalg.lstsq(a * unit[:, None] * unit, b * unit, rcond=1e-12)[0]
+            out.append((zz[f] - 2 * x @ xz[f][keep] + x @ xx[f][np.ix_(keep, keep)] @ x) / n[f])
+        return np.maximum(out, 0.0)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for series, packed, xz, zz, n in batch[["series_id", "xx", "xz", "zz", "n"]].itertuples(index=False):
+                packed, xx = np.reshape(packed, (len(n), len(PAIRS))), np.zeros((len(n), k, k))
+                for place, (i, j) in enumerate(PAIRS):
+                    xx[:, i, j] = xx[:, j, i] = packed[:, place]
+                for number, params in enumerate(candidates):
+                    keep = [i for i, c in enumerate("ct") if c in params["trend"]] + list(range(2, 2 + int(params["lags"])))
+                    found = errors(xx, np.reshape(xz, (len(n), k)), np.asarray(zz, float), np.asarray(n, float), keep)
+                    score = float(found.mean()) if len(found) else np.nan
+                    rows.append((series, "ar", number, params, score, "ok" if np.isfinite(score) else "failed: a block has no score"))
+            out = pd.DataFrame(rows, columns=["series_id", "model", "candidate_id", "params", "score", "status"])
+            out["score"] = out["score"].astype("Float64")
+            yield out
+
+    return sums.mapInPandas(run, "series_id string, model string, candidate_id int, params map<string,string>, score double, status string")

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelcast.functions.calendar import future_array
+from panelcast.functions.recursions import let
 from panelcast.operators.grid import by_date, whole
 from panelcast.session import spread
 
@@ -23,6 +24,9 @@ SCORED = ("series_id string, model string, candidate_id int, params map<string,s
 
 Grid = dict[str, list[str]]
 
+# Rounds, and the numbers that mix a digit with a key: with digits below 2**31, sums stay below 2**63.
+FEISTEL_ROUNDS, MIX_DIGIT, MIX_KEY, MIX_PRIME = 4, 2_654_435_761, 48_271, 4_294_967_291
+
 
 def grid_size(grid: Grid) -> int:
     return math.prod(len(values) for values in grid.values())
@@ -58,12 +62,28 @@ def drawn_numbers(model: str, grid: Grid, n_iter: int, seed: int = 0) -> Column:
 def sampled_numbers(model: str, grid: Grid, n_iter: int, seed: int = 0) -> Column:
     """``n_iter`` different candidates (all, if the grid is smaller).
 
-    For small grids: all numbers of the grid are put in a seeded hash order
-    inside one array, of which the first ``n_iter`` are kept.
+    The first ``n_iter`` places of a permutation of the grid's numbers, keyed by
+    series, model and seed: a Feistel network over the number as two digits in
+    mixed radix.  Its four rounds are integer expressions, and each turns one
+    digit by a function of the other, which can be undone: no number comes twice,
+    and a grid is never built, whatever its size.  A grid of a prime number of
+    candidates has one digit, which is only turned.
     """
-    numbered = F.transform(F.sequence(F.lit(0), F.lit(grid_size(grid) - 1)), lambda i: F.struct(
-        F.xxhash64(F.col("series_id"), F.lit(model), i, F.lit(seed)).alias("h"), i.alias("i")))
-    return F.transform(F.slice(F.sort_array(numbered), 1, n_iter), lambda e: e["i"]).cast("array<int>")
+    size = grid_size(grid)
+    high = max(d for d in range(1, math.isqrt(size) + 1) if size % d == 0)
+    digits = (high, size // high)
+    text = F.sha2(F.concat_ws("|", F.col("series_id"), F.lit(model), F.lit(str(seed))), 256)
+    keys = F.array(*[F.conv(F.substring(text, 8 * k + 1, 8), 16, 10).cast("long") for k in range(FEISTEL_ROUNDS)])
+
+    def permuted(number: Column, key: Column) -> Column:
+        parts = [F.floor(number / digits[1]), F.pmod(number, F.lit(digits[1]))]
+        for k in range(FEISTEL_ROUNDS):
+            mixed = F.floor(F.pmod(parts[1 - k % 2] * MIX_DIGIT + key[k] * MIX_KEY + k, F.lit(MIX_PRIME)) / 65536)
+            parts[k % 2] = F.pmod(parts[k % 2] + mixed, F.lit(digits[k % 2]))
+        return parts[0] * digits[1] + parts[1]
+
+    places = F.sequence(F.lit(0).cast("long"), F.lit(min(n_iter, size) - 1).cast("long"))
+    return let(keys, lambda key: F.transform(places, lambda i: permuted(i, key))).cast("array<int>")
 
 
 def draw_grid(rows: DataFrame, model: str, grid: Grid, n_iter: int, seed: int = 0) -> DataFrame:

@@ -91,10 +91,36 @@ def _(spark, d):
             .select("series_id", F.explode(sizes).alias("model", "candidates")))
 
 
-@query("sample_candidates")
-def _(spark, d):
+def _params_sql(grid: dict[str, list[str]], number: str) -> str:
+    """The text of a candidate's parameters, by names; the last name of the grid varies fastest."""
+    parts, stride = {}, search.grid_size(grid)
+    for name, values in grid.items():
+        stride //= len(values)
+        listed = ", ".join(f"'{v}'" for v in values)
+        parts[name] = f"'{name}=' || ([{listed}])[{number} // {stride} % {len(values)} + 1]"
+    return " || ';' || ".join(parts[name] for name in sorted(parts))
+
+
+def _sampled_sql(model: str, grid: dict[str, list[str]], n_iter: int, seed: int) -> str:
+    size = search.grid_size(grid)
+    high = max(d for d in range(1, int(size ** 0.5) + 1) if size % d == 0)
+    digits, state = (high, size // high), f"SELECT series_id, h, i // {size // high} AS p0, i % {size // high} AS p1 FROM start"
+    for k in range(search.FEISTEL_ROUNDS):
+        mixed = (f"((p{1 - k % 2} * {search.MIX_DIGIT} + ('0x' || substr(h, {8 * k + 1}, 8))::BIGINT * {search.MIX_KEY} + {k})"
+                 f" % {search.MIX_PRIME}) // 65536")
+        turned = f"(p{k % 2} + {mixed}) % {digits[k % 2]} AS p{k % 2}"
+        state = f"SELECT series_id, h, {turned}, p{1 - k % 2} FROM ({state})"
+    return f"""SELECT series_id, '{model}' AS model, CAST(c AS INTEGER) AS candidate_id, {_params_sql(grid, 'c')} AS params FROM (
+ WITH start AS (SELECT series_id, sha256(series_id || '|{model}|{seed}') AS h, unnest(range({min(n_iter, size)})) AS i
+  FROM (SELECT DISTINCT series_id FROM obs)) SELECT series_id, p0 * {digits[1]} + p1 AS c FROM ({state}))"""
+
+
+@query("sample_candidates", with_("supplier") + _sampled_sql("arima", arima.arima_grid("W-MON"), 50, 7) + " UNION ALL "
+       + _sampled_sql("svr", learners.SVR_GRID, 20, 7))
+def _(spark, d):
+    """50 of 20,736 candidates and 20 of 24, without replacement."""
     series = regular_panel(spark, d).select("series_id").distinct()
-    drawn = search.draw_grid(series, "arima", arima.arima_grid("W-MON"), 50, seed=7)
+    drawn = search.sample_candidates(series, "arima", arima.arima_grid("W-MON"), 50, seed=7)
     picked = search.sample_candidates(series, "svr", learners.SVR_GRID, 20, seed=7)
     return drawn.unionByName(picked).withColumn("params", params_text())
 
@@ -142,10 +168,33 @@ def _(spark, d):
     return search.kfold(regular_panel(spark, d)).select("series_id", "ds", "fold")
 
 
-@query("score_kfold_mse")
+BLOCKS_SQL = """pairs AS (SELECT series_id, z, t, lag(z) OVER (PARTITION BY series_id ORDER BY ds) AS x FROM split WHERE split = 'train'),
+placed AS (SELECT series_id, z, x, row_number() OVER (PARTITION BY series_id ORDER BY t) - 1 AS i,
+  count(*) OVER (PARTITION BY series_id) AS n FROM pairs WHERE x IS NOT NULL),
+blocks AS (SELECT series_id, z, x, CASE WHEN i < (n % 3) * (n // 3 + 1) THEN i // (n // 3 + 1)
+  ELSE n % 3 + (i - (n % 3) * (n // 3 + 1)) // (n // 3) END AS block FROM placed),
+fits AS (SELECT b.series_id, f, regr_slope(z, x) AS phi, regr_intercept(z, x) AS c, sum(z * x) / sum(x * x) AS ratio
+  FROM blocks b, range(3) r(f) WHERE {train} GROUP BY 1, 2),
+errors AS (SELECT b.series_id, f, avg((z - c - phi * x) * (z - c - phi * x)) AS with_c, avg((z - ratio * x) * (z - ratio * x)) AS without
+  FROM blocks b JOIN fits ON fits.series_id = b.series_id AND f = block GROUP BY 1, 2)"""
+BLOCKS_OUT = f"""SELECT series_id, 0 AS candidate_id, 'lags=1;trend=c' AS params, {r('avg(with_c)')} AS score FROM errors GROUP BY 1
+UNION ALL SELECT series_id, 1, 'lags=1;trend=n', {r('avg(without)')} FROM errors GROUP BY 1"""
+
+
+def _block_scores(spark, d, rolling):
+    sums = autoregression.block_sums(_train(spark, d), lags=1)
+    scored = autoregression.score_blocks(sums, [{"lags": "1", "trend": "c"}, {"lags": "1", "trend": "n"}], rolling)
+    return scored.select("series_id", "candidate_id", params_text(), F.round("score", 6).alias("score"))
+
+
+@query("score_kfold_mse", with_("supplier", BLOCKS_SQL.format(train="block <> f")) + BLOCKS_OUT)
+def _(spark, d):
+    return _block_scores(spark, d, rolling=False)
+
+
+@query("score_rolling_mse", with_("supplier", BLOCKS_SQL.format(train="block < f")) + BLOCKS_OUT)
 def _(spark, d):
-    rows = search.explode_grid(_arrays(spark, d), "svr", learners.SVR_GRID)
-    return search.kfold_candidates(rows, learners.make("svr", [1, 2, 3, 4, 52])[0]).withColumn("params", params_text())
+    return _block_scores(spark, d, rolling=True)
 
 
 @query("information_criteria", with_("supplier", GRID_RUN, recursive=True) + """, s AS (SELECT series_id, candidate_id,
