@@ -367,45 +367,46 @@ def _(spark, d):
 
 # --- streaming --------------------------------------------------------------------------------
 
-HOURLY = "b AS (SELECT event_type AS series_id, date_trunc('hour', ts) AS ds, round(sum(value), 2) AS y FROM events GROUP BY 1, 2)"
-
-
-def _events_folder(spark, d):
-    """The event table as a stream source: one file per run of the table."""
-    folder = scratch_path(spark, "events")
-    panels.read_table(spark, d, "events").repartitionByRange(4, "ts").write.parquet(folder)
+HOURLY = """b AS (SELECT event_type AS series_id, date_trunc('hour', ts) AS ds, round(sum(value), 2) AS y,
+ count(*) AS n FROM events GROUP BY 1, 2)"""
+
+
+def _events_folder(spark, d, slices=4):
+    """The event table as a source of several files in order of time, of which a micro-batch takes one."""
+    folder, events = scratch_path(spark, "events"), panels.read_table(spark, d, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    for k in range(slices if first else 0):
+        part = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp")))
+                               / F.greatest(F.unix_micros(F.lit(last).cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp")),
+                                            F.lit(1)) * slices), F.lit(slices - 1))
+        events.where(part == k).coalesce(1).write.mode("append").parquet(folder)
     return folder
 
 
 def _bucketed(spark, d):
-    events = online.read_event_stream(spark, _events_folder(spark, d), files_per_trigger=100)
-    # Everything is available at once, so nothing is late; the last window
-    # stays open until a later event moves the watermark past it.
-    return online.run_available(online.stream_bucket(events, lateness="0 seconds"),
-                                scratch_path(spark, "buckets"), scratch_path(spark, "bucket-state"))
-
-
-CLOSED = """, closed AS (SELECT b.* FROM b WHERE ds + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events))"""
+    events = online.read_event_stream(spark, _events_folder(spark, d), files_per_trigger=1)
+    return online.bucket_available(events, scratch_path(spark, "buckets"), scratch_path(spark, "bucket-state"), lateness="2 hours")
 
 
-@query("stream_bucket", f"WITH {HOURLY}{CLOSED} SELECT series_id, ds, y FROM closed")
+@query("stream_bucket", f"WITH {HOURLY} SELECT series_id, ds, y, n FROM b")
 def _(spark, d):
     return _bucketed(spark, d)
 
 
-STREAM_KF = f"""WITH RECURSIVE {HOURLY}{CLOSED},
-zs AS (SELECT series_id, ds, y AS z, row_number() OVER (PARTITION BY series_id ORDER BY ds) - 1 AS t FROM closed),
+STREAM_KF = f"""WITH RECURSIVE {HOURLY},
+zs AS (SELECT series_id, ds, y AS z, row_number() OVER (PARTITION BY series_id ORDER BY ds) - 1 AS t FROM b),
 """ + LEVEL.replace("CAST(NULL AS DATE)", "CAST(NULL AS TIMESTAMP)")
 
 
 def _updated(spark, d):
-    """Second stage: the written buckets are the source of the stateful filter."""
+    """Second stage: the written buckets are the source of the stateful filter, a few files at a time in any order."""
     buckets = _bucketed(spark, d)
     folder = scratch_path(spark, "bucket-table")
-    buckets.repartitionByRange(3, "ds").sortWithinPartitions("ds").write.parquet(folder)
-    stream = spark.readStream.schema(buckets.schema).option("maxFilesPerTrigger", 100).parquet(folder)
-    return online.run_available(online.stream_kf_update(stream, Q, H), scratch_path(spark, "level"),
-                                scratch_path(spark, "level-state"))
+    buckets.repartitionByRange(3, "ds").write.parquet(folder)
+    stream = spark.readStream.schema(buckets.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    updated = online.run_available(online.stream_kf_update(stream, Q, H, kept_steps=1_000), scratch_path(spark, "level"),
+                                   scratch_path(spark, "level-state"))
+    return online.latest_steps(updated)
 
 
 @query("stream_kf_update", STREAM_KF + f"SELECT series_id, ds, {STEP_LIST} FROM kf WHERE t >= 0")
