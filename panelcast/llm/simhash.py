@@ -11,7 +11,6 @@ of thousands of copies do not become pairs, and no connection is lost.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import product, repeat
 
@@ -26,7 +25,6 @@ from panelcast.llm.components import connected
 from panelcast.session import materialize
 
 SEED = 42
-FEW_RUNS = 8  # sets of so many shingles or fewer are also joined exactly
 PART_BITS, PART_BASE = 10, 256  # a part's bit count plus this base in so many bits of the cell
 
 
@@ -174,6 +172,16 @@ def fingerprints(docs: DataFrame, width: int, words: int = 1, parts: int = 1, ca
     return packed.mapInArrow(hash_texts, f"row {schema}, print binary, cell long").select("row.*", "print", "cell")
 
 
+def _grouped(prints: DataFrame, radius: int, parts: int, tile: int) -> DataFrame:
+    """``print, group, component`` of ``print, cell, id``: the group's fingerprint that names it, and its smallest id."""
+    classes = materialize(prints.groupBy("print", "cell").agg(F.min("id").alias("first")), "print-classes")
+    found = connected(fingerprint_links(classes.select("print", "cell"), radius, cell_steps(parts, radius), tile))
+    classes = classes.join(found.withColumnsRenamed({"node": "print", "component": "group"}), "print", "left") \
+        .withColumn("group", F.coalesce("group", "print"))
+    smallest = classes.groupBy("group").agg(F.min("first").alias("component"))
+    return classes.join(smallest, "group").select("print", "group", "component")
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, words: int = 1, parts: int = 4, tile: int = 4096,
                     carry: list[str] | None = None) -> DataFrame:
     """``row``, ``print`` (binary) and ``component``, the smallest id reachable over fingerprints within ``radius``.
@@ -184,159 +192,20 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, words: int
     NULL component.  Repeated rows are alike.  An empty table gives an empty result.
     """
     prints = materialize(fingerprints(docs, width, words, parts, carry), "prints")
-    classes = materialize(prints.groupBy("print", "cell").agg(F.min("id").alias("first")), "print-classes")
-    found = connected(fingerprint_links(classes.select("print", "cell"), radius, cell_steps(parts, radius), tile))
-    classes = classes.join(found.withColumnRenamed("node", "print"), "print", "left") \
-        .withColumn("component", F.coalesce("component", "print"))
-    smallest = classes.groupBy("component").agg(F.min("first").alias("smallest"))
-    named = classes.join(smallest, "component").select("print", F.col("smallest").alias("component"))
-    return prints.join(named, "print").select("row", "print", "component")
+    return prints.join(_grouped(prints, radius, parts, tile), "print").select("row", "print", "component")
 
 
-def _set_of(text: bytes, width: int) -> bytes:
-    runs = shingles(text, width)
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, runs, repeat(SEED)), np.uint64, len(runs))).tobytes()
+def drop_near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, words: int = 1, parts: int = 4, tile: int = 4096) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component of ``near_duplicates`` the row with the smallest id stays.
 
-
-def _similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    if not len(a) and not len(b):
-        return True
-    if min(len(a), len(b)) < least * max(len(a), len(b)):
-        return False
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common >= least * (len(a) + len(b) - common)
-
-
-def verified_links(sets: DataFrame, radius: int, similarity: float, tile: int = 128) -> DataFrame:
-    """Links ``a, b`` among ``group, key, print, runs``, by shingle sets, that connect all similar members of a group.
-
-    Groups are cut into tiles; a pair of tiles is one row.  Inside it, pairs
-    that are connected already are not compared.
+    Texts that differ in case or blanks only are copies, texts without words are
+    copies of each other.  Rows with a NULL id stay only if their component has
+    no other; of rows alike in id one stays.  Columns are those of ``docs``; an
+    empty table gives an empty result.
     """
-    sizes = sets.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1") \
-        .select("group", F.ceil(F.col("n") / tile).alias("chunks"))
-    tiles = materialize(
-        sets.join(sizes, "group").withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")))
-        .groupBy("group", "chunk", "chunks").agg(F.collect_list(F.struct("key", "print", "runs")).alias("members")), "set-tiles")
-    left = tiles.select("group", F.col("chunk").alias("from"), F.col("members").alias("left"),
-                        F.explode(F.sequence(F.col("chunk"), F.col("chunks") - 1)).alias("chunk"))
-    pairs = left.join(tiles.drop("chunks"), ["group", "chunk"]) \
-        .select("left", F.col("members").alias("right"), (F.col("from") == F.col("chunk")).alias("same"))
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                a, b, same = (batch.column(c)[k].as_py() for c in range(3))
-                nodes = a if same else a + b
-                runs = [np.frombuffer(x["runs"], np.uint64) for x in nodes]
-                prints = _as_array(b"".join(x["print"] for x in nodes), len(nodes[0]["print"]))
-                root = list(range(len(nodes)))
-
-                def find(x):
-                    while root[x] != x:
-                        root[x] = x = root[root[x]]
-                    return x
-
-                rows = []
-                for i in range(len(a)):
-                    start = i + 1 if same else len(a)
-                    near = np.bitwise_count(prints[start:] ^ prints[i]).sum(axis=1, dtype=np.int64) <= radius
-                    for j in np.flatnonzero(near) + start:
-                        x, y = find(i), find(int(j))
-                        if x != y and _similar(runs[i], runs[j], similarity):
-                            root[max(x, y)] = min(x, y)
-                            rows.append((nodes[i]["key"], nodes[j]["key"]))
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.binary()) for c in (0, 1)], ["a", "b"])
-
-    parallel = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    return pairs.repartition(parallel).mapInArrow(verify, "a binary, b binary")
-
-
-def sized_cell(print_: bytes, n_runs: int, similarity: float, bits_wide: int) -> int:
-    """Cell by the logarithm of the set's size, one step per factor of the similarity, and by bit count."""
-    size = 1 + int(math.log(n_runs) / -math.log(similarity - 1e-4)) if n_runs else 0
-    return (size + PART_BASE) << PART_BITS | (int.from_bytes(print_, "big").bit_count() // bits_wide + PART_BASE)
-
-
-def sized_steps(radius: int, bits_wide: int) -> list[int]:
-    reach = -(-radius // bits_wide)
-    return [(a << PART_BITS) + b for a in (0, 1) for b in range(-reach, reach + 1) if (a, b) >= (0, 0)]
-
-
-def smaller_sets(runs: list[bytes]) -> list[bytes] | None:
-    """Digest of the set, then of the set without each one of its members; None for more than FEW_RUNS, and for none."""
-    if not 0 < len(runs) <= FEW_RUNS:
-        return None
-    hashes = sorted(map(xxhash.xxh3_128_digest, runs))
-    return [xxhash.xxh3_128_digest(b"".join(hashes[:i] + hashes[i + 1:])) for i in (len(hashes), *range(len(hashes)))]
-
-
-def one_more_links(known: DataFrame, similarity: float) -> DataFrame:
-    """Links ``a, b`` of small sets that differ in one member, of ``key, inner``, whose similarity is enough."""
-    few = known.filter("inner IS NOT NULL").groupBy("key").agg(F.first("inner").alias("inner"))
-    whole = few.groupBy(F.col("inner")[0].alias("digest")).agg(F.min("key").alias("a"))
-    # n - 1 common ones of n
-    close = F.size("inner") - 2 >= similarity * (F.size("inner") - 1)
-    return few.filter(close).select(F.col("key").alias("b"), F.explode(F.slice("inner", 2, FEW_RUNS)).alias("digest")) \
-        .join(whole, "digest").select("a", "b")
-
-
-def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 2, radius: int = 34,
-                         tile: int = 4096, bits_wide: int = 12) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id stays.
-
-    Two texts are linked if the Jaccard similarity of their sets of ``width``
-    words is ``similarity`` or more; groups are what is reachable over links.
-    Candidates are fingerprints of these sets, without repeats, of ``words * 64`` bits within ``radius``: the
-    bits of two such texts of one length differ in 15 % on average, so 34 of 128
-    are 3.6 deviations above it.  Sets of few shingles stray further, so those
-    that differ in one shingle are joined exactly.  Candidates are compared by their shingle sets.
-    Tiles are skipped by bit counts, and by set sizes, whose ratio is at least
-    the similarity for any link.
-
-    Texts that differ in case or blanks only are copies.  Texts without words
-    are copies of each other.  Rows with a NULL id stay only if their group has
-    no other; of rows alike one stays.
-    """
-    row = F.struct(*docs.columns)
-    packed = docs.select(F.struct(row.alias("row"), docs["doc_id"].alias("id")).alias("row"), docs["text"].alias("text"))
-    schema = packed.schema["row"].dataType.simpleString()
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in by_bytes(batch, "text"):
-                texts = bytes_of(part, "text")
-                sets = [list(set(shingles(t, width))) for t in texts]  # repeats do not count, as in the similarity
-                prints = [fingerprint(s, words) for s in sets]
-                cells = [sized_cell(p, len(s), similarity, bits_wide) for p, s in zip(prints, sets)]
-                keys = [xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(keys, pa.binary()), pa.array(prints, pa.binary()),
-                     pa.array(cells, pa.int64()), pa.array(map(smaller_sets, sets), pa.list_(pa.binary()))],
-                    ["row", "key", "print", "cell", "inner"])
-
-    known = materialize(packed.mapInArrow(describe, f"row {schema}, key binary, print binary, cell long, inner array<binary>")
-                        .select("row.*", "key", "print", "cell", "inner").withColumn("uid", F.monotonically_increasing_id()), "described")
-    prints = known.select("print", "cell").distinct()
-    near = materialize(connected(fingerprint_links(prints, radius, sized_steps(radius, bits_wide), tile)), "near")
-    classes = known.select("key", "print").distinct().join(near.withColumnRenamed("node", "print"), "print", "left") \
-        .withColumn("group", F.coalesce("component", "print"))
-    many = classes.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1").select("group")
-    members = materialize(classes.join(many, "group").select("group", "key"), "candidates")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in by_bytes(batch, "text"):
-                runs = pa.array([_set_of(t, width) for t in bytes_of(part, "text")], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("print"), runs], ["key", "print", "runs"])
-
-    shown = known.groupBy("key").agg(F.min("uid").alias("uid"))  # any one row of a class
-    texts = known.select("uid", "key", "print", F.col("row.text").alias("text")) \
-        .join(shown.join(members, "key").select("uid"), "uid", "left_semi").select("key", "print", "text")
-    with_sets = materialize(texts.mapInArrow(sets, "key binary, print binary, runs binary").join(members, "key"), "sets")
-    links = verified_links(with_sets, radius, similarity).unionByName(one_more_links(known, similarity))
-    found = connected(links).withColumnRenamed("node", "key")
-    light = known.select("uid", "id", "key").join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    first = light.groupBy("component").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "uid")).alias("first")).select(F.col("first.uid").alias("uid"))
-    return known.join(first, "uid", "left_semi").select("row.*")
+    own = materialize(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("uid")), "numbered-rows")
+    prints = materialize(fingerprints(own.select("row.doc_id", "row.text", "uid"), width, words, parts, ["uid"]), "prints")
+    # Copies of a fingerprint are brought to one row before groups meet.
+    first = prints.groupBy("print").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row.uid")).alias("first")) \
+        .join(_grouped(prints, radius, parts, tile), "print").groupBy("group").agg(F.min("first").alias("first"))
+    return own.join(first.select(F.col("first.uid").alias("uid")), "uid", "left_semi").select("row.*")
