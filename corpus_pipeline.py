@@ -28,8 +28,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are similar by 0.8 or more."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group whose fingerprints of three-word shingles are linked at two bits or fewer."""
+    return simhash.drop_near_duplicates(docs, width=3, radius=2)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
