@@ -74,7 +74,7 @@ class Features:
 
 
 def head(docs: DataFrame, longest: int = 1, n_words: int = HEAD_WORDS, n_pairs: int = HEAD_PAIRS) -> tuple[list[bytes], list[bytes]]:
-    """The most frequent words and pairs of all documents, by exact counts; ties by their bytes."""
+    """The most frequent words and pairs of all documents, by exact counts: the highest classes of counts that fit whole."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = [Counter(), Counter()]
 
@@ -98,12 +98,22 @@ def head(docs: DataFrame, longest: int = 1, n_words: int = HEAD_WORDS, n_pairs:
                     yield from flush()
         yield from flush()
 
-    counts = docs.select("text").mapInArrow(count, "feature binary, kind int, n long") \
-        .groupBy("kind", "feature").agg(F.sum("n").alias("n"))
-    if longest > 1:  # read twice
-        counts = materialize(counts, "features")
-    top = lambda kind, n: [bytes(r[0]) for r in counts.filter(F.col("kind") == kind).orderBy(F.desc("n"), "feature")
-                           .select("feature").limit(n).collect()]
+    # Words met once are no head; the rest is read twice.
+    counts = materialize(docs.select("text").mapInArrow(count, "feature binary, kind int, n long")
+                         .groupBy("kind", "feature").agg(F.sum("n").alias("n")).filter("n > 1"), "features")
+    order = F.floor(F.log2("n") * 8).cast("int")
+    classes = counts.groupBy("kind", order.alias("class")).count().collect()  # at most 8 * 63 for each kind
+
+    def top(kind: int, limit: int) -> list[bytes]:
+        least, room = None, limit
+        for _, name, n in sorted((c for c in classes if c[0] == kind), key=lambda c: -c[1]):
+            room -= n
+            if room < 0:
+                break
+            least = name
+        fits = counts.filter((F.col("kind") == kind) & (order >= least)) if least is not None else counts.limit(0)
+        return [bytes(r[0]) for r in fits.select("feature").collect()]  # at most ``limit``
+
     return top(0, n_words), top(1, n_pairs) if longest > 1 else []
 
 
