@@ -16,10 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import by_bytes, bytes_of
+from panelcast.llm.common import by_bytes, bytes_of, numbered
 from panelcast.session import materialize
 
 BUCKETS = 1 << 16
@@ -36,7 +36,7 @@ class NgramBuckets:
     def slice_of(self, texts: list[bytes]) -> list[np.ndarray]:
         split = [text.lower().split() for text in texts]
         words = set().union(*split)
-        new = words - self.known.keys()
+        new = [w for w in words if w not in self.known]
         if len(self.known) > REMEMBERED_WORDS:
             self.known = {w: self.known[w] for w in words & self.known.keys()}
         self.known.update((w, xxhash.xxh64_intdigest(w)) for w in new)
@@ -77,7 +77,7 @@ def ngram_models(docs: DataFrame, good_ids: np.ndarray, buckets: int = BUCKETS)
 
 
 def keep_largest(scored: DataFrame, k: int) -> DataFrame:
-    """Adds ``kept``: whether the row's ``key`` is among the k largest (ties: smaller ``id``, then any)."""
+    """Adds ``kept``: whether the row's ``key`` is among the k largest (ties: smaller ``id``, then ``spread``, if there)."""
     low, high = scored.agg(F.min("key"), F.max("key")).first()
     if low is None:
         return scored.withColumn("kept", F.lit(False))
@@ -99,10 +99,11 @@ def keep_largest(scored: DataFrame, k: int) -> DataFrame:
             break
         above, (low, high) = sums, bounds
     inside = F.col("key").between(low, high)
-    # Only the rows of the last interval are numbered: at most 10,000, or rows that share one key.
-    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("key"), "id"))
-    close = scored.filter(inside).withColumn("kept", place <= k - above)
-    return scored.filter(~inside).withColumn("kept", F.col("key") > high).unionByName(close)
+    # Only the rows of the last interval are numbered: at most 10,000, or rows that share one key, dealt by their own numbers.
+    order = [F.desc("key"), F.asc("id"), *([F.asc("spread")] if "spread" in scored.columns else [])]
+    close = numbered(scored.filter(inside), *order)
+    return scored.filter(~inside).withColumn("kept", F.col("key") > high).unionByName(
+        close.withColumn("kept", F.col("place") < k - above).drop("place"))
 
 
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 4, buckets: int = BUCKETS,
@@ -115,8 +116,9 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     draw cover all documents.  ``share`` of the documents are drawn, by default
     the share of good ones among the labels.  NULL and empty texts weigh 1
     (log 0).  NULL labels are left out, an id with several labels is good only
-    if all say so.  Rows that share an id share its noise.  Without good labels
-    the models are equal up to smoothing and the draw is close to uniform.
+    if all say so.  Rows that share an id share its noise.  Without labels the
+    models are equal up to smoothing and all documents are kept; if no label is
+    good, none is.
     """
     carry = docs.columns if carry is None else carry
     judged = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
@@ -124,7 +126,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     good_ids = np.array(sorted(r[0] for r in judged.filter("good").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
                                .limit(sample).select("doc_id").collect()), np.int64)
     if share is None:
-        share = judged.agg(F.avg(F.col("good").cast("double"))).first()[0] or 1.0
+        share = judged.agg(F.avg(F.col("good").cast("double"))).first()[0]
+        share = 1.0 if share is None else share  # no labels at all: nothing speaks against any document
     ratio = ngram_models(docs, good_ids, buckets)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,6 +145,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("gumbel"), F.col("id")), 12) + F.lit(0.5)) / F.lit(2.0 ** 52)
     schema = packed.schema["row"].dataType.simpleString()
     scored = materialize(packed.mapInArrow(weigh, f"row {schema}, n_words long, log_weight double").select("row.*", "n_words", "log_weight")
-                         .withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))), "weighed")
+                         .withColumn("key", F.col("log_weight") - F.log(-F.log(uniform)))
+                         .withColumn("spread", F.monotonically_increasing_id()), "weighed")
     k = round(share * scored.count())
-    return keep_largest(scored, k).drop("id")
+    return keep_largest(scored, k).drop("id", "spread")

@@ -42,3 +42,12 @@ def test_largest_keys_are_kept(spark):
         assert kept == set(sorted((float(i * 7919 % 30_011) for i in range(30_000)), reverse=True)[:k])
     tied = spark.range(20_000).select("id", F.lit(1.0).alias("key"))
     assert [r["id"] for r in importance.keep_largest(tied, 3).filter("kept").orderBy("id").collect()] == [0, 1, 2]
+
+
+def test_bad_labels_keep_nothing_and_no_labels_keep_all(documents, prose, spark):
+    docs = documents([(i, prose(20, i)) for i in range(20)] + [(None, "same text")] * 30)
+    bad = spark.createDataFrame([(i, 0, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    assert importance.resample(docs, bad).filter("kept").count() == 0
+    assert importance.resample(docs, bad.limit(0)).filter("kept").count() == 50
+    # Rows alike in key and id are told apart by their own numbers: the share is met exactly.
+    assert importance.resample(docs, bad, share=0.5).filter("kept").count() == 25
