@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelcast.functions.calendar import future_array
 from panelcast.functions.recursions import normal_quantile
@@ -66,6 +66,12 @@ def regression(columns: int, sigma: float = 0.0) -> dict:
     return {"name": "regression", "kind": "regression", "columns": columns, "sigma": float(sigma), "p0": 10.0}
 
 
+def intercepts(c: list[float] | None = None, d: float = 0.0) -> dict:
+    """Constants of the model: ``c`` enters every next state (one value per
+    state, in the order of the other components), ``d`` every observation."""
+    return {"name": "intercepts", "kind": "intercepts", "c": [float(v) for v in c or []], "d": float(d), "sigma": 0.0}
+
+
 def _rotation(angle, damping=1.0):
     return damping * np.array([[np.cos(angle), np.sin(angle)], [-np.sin(angle), np.cos(angle)]])
 
@@ -105,7 +111,7 @@ def build(text: str) -> dict:
     if len(set(names)) < len(names):
         raise ValueError(f"component names repeat: {names}")
     h = sum(s["sigma"] ** 2 for s in specs if s["kind"] == "noise")
-    states = [s for s in specs if s["kind"] != "noise"]
+    states = [s for s in specs if s["kind"] not in ("noise", "intercepts")]
     parts = [_blocks(s) for s in states]
     m = sum(len(z) for _, z, _ in parts)
     step, q, z, p0, slices, at = np.zeros((m, m)), np.zeros(m), np.zeros(m), np.zeros(m), {}, 0
@@ -117,9 +123,17 @@ def build(text: str) -> dict:
         if spec["kind"] == "regression":
             exog = here
         at += len(row)
-    return {"T": step, "Z": z, "Q": np.diag(q), "H": h, "P0": np.diag(p0), "slices": slices, "exog": exog}
+    c, d = np.zeros(m), 0.0
+    for spec in specs:
+        if spec["kind"] == "intercepts":
+            c, d = (np.array(spec["c"]) if spec["c"] else c), spec["d"]
+            if len(c) != m:
+                raise ValueError(f"{len(c)} state intercepts for {m} states")
+    return {"T": step, "Z": z, "Q": np.diag(q), "H": h, "P0": np.diag(p0), "slices": slices, "exog": exog, "c": c, "d": d}
 
 
+PART_BYTES = 32 << 20
+
 # --- passes -----------------------------------------------------------------------
 
 def _covariances(system, seen, rows=None):
@@ -155,10 +169,10 @@ def _means(system, cov, y, rows=None, start=None):
         z = system["Z"] if rows is None else rows[t]
         out["a_pred"][t] = a
         if seen[t]:
-            v = out["v"][:, t] = y[:, t] - a @ z
+            v = out["v"][:, t] = y[:, t] - a @ z - system["d"]
             a = a + v[:, None] * cov["K"][t]
         out["a_filt"][t] = a
-        a = a @ system["T"].T
+        a = a @ system["T"].T + system["c"]
     out["a_next"] = a
     f = cov["F"]
     out["loglik"] = np.where(seen, -0.5 * (np.log(2 * np.pi) + np.log(f) + out["v"] ** 2 / f), 0.0)
@@ -173,32 +187,83 @@ def _smooth(system, cov, means):
     for t in range(n - 2, -1, -1):
         p_hat = step @ cov["P_filt"][t] @ step.T + system["Q"] + eye
         gain = (np.linalg.pinv(p_hat, hermitian=True) @ step @ cov["P_filt"][t]).T
-        a[t] = means["a_filt"][t] + (a[t + 1] - means["a_filt"][t] @ step.T) @ gain.T
+        a[t] = means["a_filt"][t] + (a[t + 1] - means["a_filt"][t] @ step.T - system["c"]) @ gain.T
         p[t] = cov["P_filt"][t] + gain @ (p[t + 1] - p_hat) @ gain.T
     return a, p
 
 
+def _lower(block):
+    """Lower-triangular factor of ``block @ block.T``."""
+    return np.linalg.qr(block.T, mode="r").T
+
+
+def _root_covariances(system, seen, rows=None):
+    """As ``_covariances``, carrying a triangular root of the covariance: it cannot lose its sign to rounding."""
+    step, h, n = system["T"], system["H"], len(seen)
+    m = len(step)
+    root, q_root, jitter = np.sqrt(system["P0"]), np.sqrt(system["Q"]), np.sqrt(JITTER) * np.eye(m)
+    out = {"P_pred": np.empty((n, m, m)), "P_filt": np.empty((n, m, m)), "K": np.zeros((n, m)), "F": np.empty(n)}
+    for t in range(n):
+        z = system["Z"] if rows is None else rows[t]
+        out["P_pred"][t] = root @ root.T
+        seen_by = z @ root
+        f = out["F"][t] = seen_by @ seen_by + h + JITTER
+        if seen[t]:
+            k = out["K"][t] = root @ seen_by / f
+            root = _lower(np.hstack([root - np.outer(k, seen_by), np.sqrt(h) * k[:, None]]))
+        root = _lower(np.hstack([root, jitter]))
+        out["P_filt"][t] = root @ root.T
+        root = _lower(np.hstack([step @ root, q_root]))
+    out["P_next"] = root @ root.T
+    return out
+
+
+def _steady_covariances(text, seen):
+    """One gain for all dates: the fixed point of the covariance recursion, rows without a value keep their prediction."""
+    system, (cov, gain, f) = build(text), _fixed_point(text)
+    n, m = len(seen), len(cov)
+    filtered = cov - np.outer(gain, gain) * f
+    at = lambda p: np.broadcast_to(p, (n, m, m))
+    return {"P_pred": at(cov), "P_filt": np.where(seen[:, None, None], filtered, cov), "F": np.full(n, f),
+            "K": np.where(seen[:, None], gain, 0.0), "P_next": system["T"] @ filtered @ system["T"].T + system["Q"]}
+
+
+METHODS = ("single", "standard", "cholesky", "steady_state")
+
+
 @functools.lru_cache(maxsize=32)
-def _shared_pass(text, n, mask):
-    return _covariances(build(text), np.frombuffer(mask, bool, n))
+def _shared_pass(text, n, mask, method="standard"):
+    seen = np.frombuffer(mask, bool, n)
+    if method == "steady_state":
+        return _steady_covariances(text, seen)
+    return (_root_covariances if method == "cholesky" else _covariances)(build(text), seen)
+
 
+def run_patterns(text, series, exog=None, method="standard"):
+    """Yield ``(rows, system, covariances, means, observation rows)`` per pattern.
 
-def run_patterns(text, series, exog=None):
-    """Yield ``(rows, system, covariances, means, observation rows)`` per pattern."""
+    The series of a pattern come in parts whose covariances, which are repeated
+    for every series, stay below ``PART_BYTES``; a batch of any size needs no more.
+    """
     system = build(text)
     if system["exog"] is not None:
+        if method == "steady_state":
+            raise ValueError("regressors leave no constant gain")
         for i, y in enumerate(series):
             rows = np.tile(system["Z"], (len(y), 1))
             rows[:, system["exog"]] = exog[i]
-            cov = _covariances(system, ~np.isnan(y), rows)
+            cov = (_root_covariances if method == "cholesky" else _covariances)(system, ~np.isnan(y), rows)
             yield [i], system, cov, _means(system, cov, y[None, :], rows), rows
         return
     groups: dict = {}
     for i, y in enumerate(series):
         groups.setdefault((len(y), (~np.isnan(y)).tobytes()), []).append(i)
     for (n, mask), members in groups.items():
-        cov = _shared_pass(text, n, mask)
-        yield members, system, cov, _means(system, cov, np.stack([series[i] for i in members])), None
+        cov = _shared_pass(text, n, mask, method)
+        part = max(1, PART_BYTES // max(1, 8 * n * len(system["T"]) ** 2))
+        for at in range(0, len(members), part):
+            some = members[at:at + part]
+            yield some, system, cov, _means(system, cov, np.stack([series[i] for i in some])), None
 
 
 def _values(column) -> list[np.ndarray]:
@@ -212,7 +277,8 @@ STATES = ("series_id string, kind string, ds array<date>, state array<array<doub
 
 
 def kf_states(arrays: DataFrame, components: list[dict], value: str = "z",
-              kinds: tuple[str, ...] = ("filtered", "predicted"), exog: str | None = None) -> DataFrame:
+              kinds: tuple[str, ...] = ("filtered", "predicted"), exog: str | None = None,
+              method: str = "standard") -> DataFrame:
     """Latent and observed distributions, one row per series, date and kind.
 
     ``cov`` is the state covariance, row-major.  ``kinds`` may include
@@ -223,7 +289,7 @@ def kf_states(arrays: DataFrame, components: list[dict], value: str = "z",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = None if exog is None else [np.vstack(list(v)) for v in batch[exog]]
-            for members, system, cov, means, rows in run_patterns(text, _values(batch[value]), x):
+            for members, system, cov, means, rows in run_patterns(text, _values(batch[value]), x, method):
                 found = {"filtered": (means["a_filt"], cov["P_filt"]), "predicted": (means["a_pred"], cov["P_pred"])}
                 if "smoothed" in kinds:
                     found["smoothed"] = _smooth(system, cov, means)
@@ -236,7 +302,7 @@ def kf_states(arrays: DataFrame, components: list[dict], value: str = "z",
                         "series_id": batch["series_id"].iloc[members].values, "kind": kind,
                         "ds": batch["ds"].iloc[members].values,
                         "state": [list(a[:, j]) for j in range(len(members))], "cov": [flat] * len(members),
-                        "obs_mean": [np.einsum("ti,ti->t", a[:, j], z) for j in range(len(members))],
+                        "obs_mean": [np.einsum("ti,ti->t", a[:, j], z) + system["d"] for j in range(len(members))],
                         "obs_var": [spread] * len(members),
                         "loglik": [means["loglik"][j] for j in range(len(members))]})
 
@@ -247,11 +313,15 @@ def kf_states(arrays: DataFrame, components: list[dict], value: str = "z",
 
 def kf_filter(arrays: DataFrame, components: list[dict], method: str = "single", value: str = "z",
               exog: str | None = None) -> DataFrame:
-    """Filtered rows.  With one observed column the three methods are one
-    computation; several columns go through ``kf_columns``."""
-    if method not in ("single", "standard", "cholesky"):
+    """Filtered rows of one observed column; several go through ``kf_columns``.
+
+    ``single`` and ``standard`` carry the covariance (one observed column needs
+    no matrix inverse), ``cholesky`` its triangular root, ``steady_state`` uses
+    the one gain the recursion tends to from the first date on.
+    """
+    if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
-    return kf_states(arrays, components, value, ("filtered",), exog).drop("kind")
+    return kf_states(arrays, components, value, ("filtered",), exog, method).drop("kind")
 
 
 def _column_step(a, p, y, z, h, method):
@@ -317,25 +387,31 @@ def kf_columns(arrays: DataFrame, columns: list[str], components: list[dict], h:
             .select("series_id", "r.*"))
 
 
-def steady_gain(components: list[dict], tolerance: float = 1e-12, rounds: int = 10000) -> np.ndarray:
-    """Constant gain: the Riccati recursion run to its fixed point."""
-    system = build(json.dumps(components))
+@functools.lru_cache(maxsize=64)
+def _fixed_point(text, tolerance=1e-13, rounds=100_000):
+    """Predicted covariance, gain and innovation variance the recursion tends to."""
+    system = build(text)
     cov, z = system["P0"], system["Z"]
     for _ in range(rounds):
         pz = cov @ z
         f = z @ pz + system["H"]
         new = system["T"] @ (cov - np.outer(pz, pz) / f) @ system["T"].T + system["Q"]
         if np.abs(new - cov).max() < tolerance:
-            return pz / f
+            return cov, pz / f, f
         cov = new
     raise ValueError("the Riccati recursion has no fixed point for these components")
 
 
+def steady_gain(components: list[dict]) -> np.ndarray:
+    """Constant gain: the Riccati recursion run to its fixed point."""
+    return _fixed_point(json.dumps(components))[1]
+
+
 def decompose(arrays: DataFrame, components: list[dict], value: str = "z", exog: str | None = None) -> DataFrame:
     """Smoothed components: ``series_id, ds, component, mean, var``.
 
-    The noise component is what the others leave of the observations, so all
-    components add up to the series.
+    The noise component is what the others (and an intercept of the
+    observations) leave, so all components add up to the series.
     """
     text = json.dumps(components)
 
@@ -352,7 +428,7 @@ def decompose(arrays: DataFrame, components: list[dict], value: str = "z", exog:
                     var = np.einsum("ti,tij,tj->t", z[:, here], p[:, here, here], z[:, here])
                     made.append((name, mean, var))
                     total += mean
-                rest = np.stack([series[i] for i in members]) - total
+                rest = np.stack([series[i] for i in members]) - total - system["d"]
                 made.append(("noise", rest, np.full(len(cov["F"]), system["H"])))
                 for name, mean, var in made:
                     yield pd.DataFrame({
@@ -381,8 +457,8 @@ def ss_forecast(arrays: DataFrame, components: list[dict], steps: int, freq: str
                     means["a_filt"][-1], cov["P_filt"][-1])
                 mean, var = np.empty((len(members), steps)), np.empty(steps)
                 for h in range(steps):
-                    a, p = a @ system["T"].T, system["T"] @ p @ system["T"].T + system["Q"]
-                    mean[:, h], var[h] = a @ system["Z"], system["Z"] @ p @ system["Z"] + system["H"]
+                    a, p = a @ system["T"].T + system["c"], system["T"] @ p @ system["T"].T + system["Q"]
+                    mean[:, h], var[h] = a @ system["Z"] + system["d"], system["Z"] @ p @ system["Z"] + system["H"]
                 yield pd.DataFrame({"series_id": batch["series_id"].iloc[members].values,
                                     "future": batch["future"].iloc[members].values,
                                     "mean": list(mean), "var": [var] * len(members)})
@@ -452,14 +528,59 @@ def ss_extract_components(states: DataFrame, layout: dict[str, tuple[int, list[f
             .select("series_id", "ds", "c.component", "c.value"))
 
 
-CYCLE_GRID = {"length": ["13", "26", "39", "52", "104"], "damping": ["0.9", "0.97", "1.0"]}
+def periodogram(arrays: DataFrame, value: str = "z", shortest: float = 3.0, longest: float | None = None,
+                finer: int = 1) -> DataFrame:
+    """Power of the straight-line residual by frequency: ``series_id, wave, length, power``.
+
+    ``wave`` counts cycles over the series, in steps of 1 / ``finer`` from 1 (or
+    as many as make ``longest``) up to cycles of ``shortest`` steps.  Missing
+    values take no part.  Each power is two trigonometric sums over the series'
+    own array, so nothing is shuffled; series with fewer than three values, or
+    too short for one cycle, give no rows.
+    """
+    seen = F.filter(F.transform(value, lambda v, i: F.struct(i.cast("double").alias("t"), v.alias("v"))),
+                    lambda p: p["v"].isNotNull() & ~F.isnan(p["v"]))
+    total = lambda of: F.aggregate("seen", F.lit(0.0), lambda acc, p: acc + of(p))
+    rows = arrays.select("series_id", F.size(value).alias("n"), seen.alias("seen")).where(F.size("seen") > 2)
+    rows = rows.withColumns({"count": F.size("seen"), "mt": total(lambda p: p["t"]) / F.size("seen"),
+                             "mv": total(lambda p: p["v"]) / F.size("seen")})
+    rows = rows.withColumn("slope", total(lambda p: (p["t"] - F.col("mt")) * p["v"])
+                           / total(lambda p: (p["t"] - F.col("mt")) * (p["t"] - F.col("mt"))))
+    rest = F.transform("seen", lambda p: F.struct(
+        p["t"].alias("t"), (p["v"] - F.col("mv") - F.col("slope") * (p["t"] - F.col("mt"))).alias("v")))
+    low = F.lit(finer) if longest is None else F.greatest(F.ceil(F.col("n") * finer / longest), F.lit(1))
+    high = F.floor(F.col("n") * finer / shortest)
+    rows = (rows.withColumn("rest", rest).where(high >= low)
+            .select("series_id", "n", "count", "rest", F.explode(F.sequence(low.cast("long"), high.cast("long"))).alias("k")))
+    angle = lambda p: p["t"] * (F.col("k") / finer) * (2 * np.pi) / F.col("n")
+    sums = lambda fn: F.aggregate("rest", F.lit(0.0), lambda acc, p: acc + p["v"] * fn(angle(p)))
+    return rows.withColumns({"c": sums(F.cos), "s": sums(F.sin)}).select(
+        "series_id", (F.col("k") / finer).alias("wave"), (F.col("n") * finer / F.col("k")).alias("length"),
+        ((F.col("c") * F.col("c") + F.col("s") * F.col("s")) / F.col("count")).alias("power"))
+
+
+CYCLE_DAMPING = ("0.9", "0.97", "1.0")
+
+
+def cycle_candidates(arrays: DataFrame, peaks: int = 3, finer: int = 4, **bounds) -> DataFrame:
+    """Candidate rows: the lengths of the highest local peaks of the series' periodogram, with each damping."""
+    along = Window.partitionBy("series_id").orderBy("wave")
+    power = periodogram(arrays, finer=finer, **bounds).withColumns({
+        "before": F.coalesce(F.lag("power").over(along), F.lit(-1.0)), "after": F.coalesce(F.lead("power").over(along), F.lit(-1.0))})
+    tops = (power.where("power >= before AND power > after").groupBy("series_id")
+            .agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("power")).alias("p"), "length"))), 1, peaks).alias("tops")))
+    pairs = F.flatten(F.transform("tops", lambda top: F.transform(
+        F.array(*map(F.lit, CYCLE_DAMPING)), lambda d: F.create_map(F.lit("length"), top["length"].cast("string"), F.lit("damping"), d))))
+    rows = arrays.join(tops, "series_id").select(*arrays.columns, F.lit("cycle").alias("model"), F.posexplode(pairs))
+    return rows.withColumnsRenamed({"pos": "candidate_id", "col": "params"})
 
 
 def best_cycle(arrays: DataFrame, grid: dict[str, list[str]] | None = None) -> DataFrame:
     """Cycle length and damping by likelihood per series, then its smoother.
 
-    Candidates are rows like those of any other search.  Columns as in
-    ``decompose`` plus the chosen ``params``.
+    Lengths come from the peaks of each series' own periodogram, unless a
+    ``grid`` of lengths and dampings is given.  Columns as in ``decompose`` plus
+    the chosen ``length`` and ``damping``.  A series without a peak gives no rows.
     """
     parts = lambda p: [level_trend(1, 0.1), cycle(float(p["length"]), float(p["damping"]), 0.05), noise(0.5)]
 
@@ -467,7 +588,7 @@ def best_cycle(arrays: DataFrame, grid: dict[str, list[str]] | None = None) -> D
         ((_, _, _, means, _),) = run_patterns(json.dumps(parts(params)), [z])
         return np.array([]), -means["loglik"].sum(), "ok"
 
-    rows = explode_grid(arrays, "cycle", grid or CYCLE_GRID)
+    rows = explode_grid(arrays, "cycle", grid) if grid else cycle_candidates(arrays)
     best = pick_best_candidate(fit_candidates(rows, fit)).select("series_id", "params")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from panelcast.functions import statespace_scalar as scalar
-from panelcast.models import arima, statespace as ss
+from panelcast.models import arima, horizon, statespace as ss
 from panelcast.operators import grid, scaling
 from panelcast.plans.catalog import query
 from panelcast.plans.core_queries import rounded
 from panelcast.plans.model_queries import AR_SQL, _ar1
-from panelcast.plans.oracle import r, with_
+from panelcast.plans.oracle import r, two_state, with_
 from panelcast.plans.prepare import regular_panel
-from panelcast.session import scratch_path
+from panelcast.session import materialize, scratch_path
 from panelcast.sources import panels
 from panelcast.streaming import online
 
@@ -150,17 +150,46 @@ TREND = """kf AS (SELECT series_id, CAST(-1 AS BIGINT) AS t, CAST(NULL AS DATE)
 TREND_PARTS = [ss.level_trend(2, (1 / 3, 1 / 7)), ss.noise(H ** 0.5)]
 
 
-@query("kf_filter", with_("nation", ZS, TREND, recursive=True) + f"""SELECT series_id, ds, {r('f1')} AS level, {r('f2')} AS slope,
-{r('v11')} AS var_level, {r('v12')} AS cov_level_slope, {r('v22')} AS var_slope, {r('f1')} AS obs_mean, {r('v11 + 0.5')} AS obs_var,
-{r('loglik')} AS loglik FROM kf WHERE t >= 0""")
-def _(spark, d):
-    rows = ss.kf_filter(_arrays(spark, d), TREND_PARTS)
+def _trend_rows(arrays, parts, method):
+    rows = ss.kf_filter(arrays, parts, method)
     out = rows.select("series_id", "ds", F.col("state")[0].alias("level"), F.col("state")[1].alias("slope"),
                       F.col("cov")[0].alias("var_level"), F.col("cov")[1].alias("cov_level_slope"),
                       F.col("cov")[3].alias("var_slope"), "obs_mean", "obs_var", "loglik")
     return rounded(out, 6, *out.columns[2:])
 
 
+def _trend_list(intercept="0"):
+    return f"""SELECT series_id, ds, {r('f1')} AS level, {r('f2')} AS slope,
+{r('v11')} AS var_level, {r('v12')} AS cov_level_slope, {r('v22')} AS var_slope, {r(f'f1 + {intercept}')} AS obs_mean, {r('v11 + 0.5')} AS obs_var,
+{r('loglik')} AS loglik FROM kf WHERE t >= 0"""
+
+
+@query("kf_filter", with_("nation", ZS, TREND, recursive=True) + _trend_list())
+def _(spark, d):
+    return _trend_rows(_arrays(spark, d), TREND_PARTS, "standard")
+
+
+@query("kf_filter_cholesky", with_("nation", ZS, TREND, recursive=True) + _trend_list())
+def _(spark, d):
+    """The same rows from the triangular root of the covariance."""
+    return _trend_rows(_arrays(spark, d), TREND_PARTS, "cholesky")
+
+
+@query("kf_filter_intercepts", with_("nation", ZS, two_state("kf", [[1.0, 1.0], [0.0, 1.0]], (1.0, 0.0), ("1.0 / 9", "1.0 / 49"), 0.5,
+                                                             c=(0.02, -0.01), d=0.3), recursive=True) + _trend_list("0.3"))
+def _(spark, d):
+    return _trend_rows(_arrays(spark, d), [*TREND_PARTS, ss.intercepts([0.02, -0.01], 0.3)], "standard")
+
+
+@query("kf_filter_steady", with_("nation", ZS, STEADY, recursive=True) + f"""SELECT series_id, ds, {r('a_filt')} AS level,
+{r('p * (1 - p / (p + 0.5))')} AS var, {r('loglik')} AS loglik FROM kf WHERE t >= 0""")
+def _(spark, d):
+    """The constant gain for any components, here those of the local level."""
+    rows = ss.kf_filter(_arrays(spark, d), [ss.level_trend(1, Q ** 0.5), ss.noise(H ** 0.5)], "steady_state")
+    return rounded(rows.select("series_id", "ds", F.col("state")[0].alias("level"), F.col("cov")[0].alias("var"), "loglik"),
+                   6, "level", "var", "loglik")
+
+
 MULTI = """WITH RECURSIVE w AS (SELECT CAST(c_nationkey AS VARCHAR) AS series_id, CAST(date_trunc('week', o_orderdate) AS DATE) AS ds,
   sum(o_totalprice) AS y, CAST(count(*) AS DOUBLE) AS c FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
 st AS (SELECT series_id, median(y) AS my, stddev_samp(y) AS sy, median(c) AS mc, stddev_samp(c) AS sc FROM w GROUP BY 1),
@@ -206,6 +235,27 @@ def _(spark, d):
     return rounded(rows, 6, "mean", "var").select("series_id", "step", "ds", "mean", "var")
 
 
+# Two starts, one between dates of the grid and one after the last date of every series.
+STARTS, END = ("1996-01-03", "2003-06-02"), "2004-01-01"
+
+
+@query("ss_forecast_from", with_("nation", ZS, LEVEL, recursive=True) + f"""SELECT k.series_id, CAST(e.start AS DATE) AS start,
+CAST((x.ds - CAST(date_trunc('week', e.start) AS DATE)) / 7 AS INTEGER) AS step, x.ds, {r('k.a_filt')} AS mean,
+{r('k.p_filt + (x.ds - k.ds) / 7 * CAST(1 AS DOUBLE) / 9 + 0.5', 5)} AS var
+FROM (SELECT series_id, start, max(ds) AS ds FROM kf, (VALUES (DATE '{STARTS[0]}'), (DATE '{STARTS[1]}')) s(start)
+  WHERE t >= 0 AND ds <= start GROUP BY 1, 2) e
+JOIN kf k ON k.series_id = e.series_id AND k.ds = e.ds
+JOIN (SELECT CAST(unnest(generate_series(TIMESTAMP '1992-01-06', TIMESTAMP '{END}', INTERVAL 7 DAY)) AS DATE) AS ds) x ON x.ds > e.start""")
+def _(spark, d):
+    """A table of states serves forecasts from any date up to an end, for several starts at once."""
+    parts, arrays = [ss.level_trend(1, Q ** 0.5), ss.noise(H ** 0.5)], _arrays(spark, d)
+    states = materialize(ss.kf_states(arrays, parts, kinds=("filtered",)).select("series_id", "ds", "state", "cov"), "states")
+    starts = states.select("series_id").distinct().select(
+        "series_id", F.explode(F.array(*[F.lit(s).cast("date") for s in STARTS])).alias("start"))
+    out = horizon.forecast_from(states, parts, starts, end=END).select("series_id", "start", "step", "ds", "mean", "var")
+    return rounded(rounded(out, 6, "mean"), 5, "var")
+
+
 @query("ss_conditional", with_("nation", ZS, LEVEL, SMOOTH, recursive=True) + f"""SELECT series_id, ds, kind, {r('m')} AS state,
 {r('p')} AS var, {r('m')} AS obs_mean, {r('p + 0.5')} AS obs_var FROM (
  SELECT series_id, ds, 'filtered' AS kind, a_filt AS m, p_filt AS p FROM kf WHERE t >= 0
@@ -238,7 +288,7 @@ def _(spark, d):
     return rounded(out, 6, "value")
 
 
-@query("decompose_level_trend", with_("nation") + f"""SELECT s.series_id, s.ds, {r('f.a + f.b * s.t')} AS mean FROM scaled s
+@query("trend_line", with_("nation") + f"""SELECT s.series_id, s.ds, {r('f.a + f.b * s.t')} AS mean FROM scaled s
 JOIN (SELECT series_id, regr_intercept(z, t) AS a, regr_slope(z, t) AS b FROM scaled GROUP BY 1) f ON f.series_id = s.series_id""")
 def _(spark, d):
     return ss.trend_regression(_scaled(spark, d)).select("series_id", "ds", F.round("mean", 6).alias("mean"))
@@ -248,12 +298,57 @@ def _decomposed(spark, d, parts):
     return ss.decompose(_arrays(spark, d), parts)
 
 
+def _part(spark, d, name, parts, digits=6):
+    rows = _decomposed(spark, d, parts).where(F.col("component") == name)
+    return rounded(rows.select("series_id", "ds", "mean", "var"), digits, "mean", "var")
+
+
+SMOOTH_TREND = with_("nation", ZS, two_state("kf", [[1.0, 1.0], [0.0, 1.0]], (1.0, 0.0), ("1.0 / 9", "1.0 / 49"), 0.5), recursive=True)
+
+
+@query("decompose_level_trend", SMOOTH_TREND + f"SELECT series_id, ds, {r('s1')} AS mean, {r('w11')} AS var FROM kf_sm")
+def _(spark, d):
+    """The smoothed level of a model of level and slope."""
+    return _part(spark, d, "trend", TREND_PARTS)
+
+
+@query("decompose_noise", SMOOTH_TREND + f"SELECT series_id, ds, {r('z - s1')} AS mean, 0.5 AS var FROM kf_sm")
+def _(spark, d):
+    return _part(spark, d, "noise", TREND_PARTS)
+
+
+@query("decompose_season_dummy", with_("nation", ZS, two_state("kf", [[-1.0, -1.0], [1.0, 0.0]], (1.0, 0.0), (0.04, 0.0), 0.5),
+                                       recursive=True) + f"SELECT series_id, ds, {r('s1')} AS mean, {r('w11')} AS var FROM kf_sm")
+def _(spark, d):
+    """The smoothed season of three periods whose effects add up to a disturbance."""
+    return _part(spark, d, "season_3", [ss.season_dummy(3, 0.2), ss.noise(H ** 0.5)])
+
+
+def _turn(length, damping="1.0"):
+    cos, sin = (f"{damping} * {f}(2 * pi() / {length})" for f in ("cos", "sin"))
+    return [[cos, sin], [f"-{sin}", cos]]
+
+
+@query("decompose_season_fourier", with_("nation", ZS, two_state("kf", _turn(52), (1.0, 0.0), (0.01, 0.01), 0.5), recursive=True) +
+       f"SELECT series_id, ds, {r('s1')} AS mean, {r('w11')} AS var FROM kf_sm")
+def _(spark, d):
+    """The smoothed yearly wave of one drifting harmonic."""
+    return _part(spark, d, "fourier_52", [ss.season_fourier(52, 1, 0.1), ss.noise(H ** 0.5)])
+
+
+@query("decompose_cycle_given", with_("nation", ZS, two_state("kf", _turn(39, "0.9"), (1.0, 0.0), (0.04, 0.04), 0.5), recursive=True) +
+       f"SELECT series_id, ds, {r('s1')} AS mean, {r('w11')} AS var FROM kf_sm")
+def _(spark, d):
+    """The smoothed damped cycle of a given length."""
+    return _part(spark, d, "cycle", [ss.cycle(39, 0.9, 0.2), ss.noise(H ** 0.5)])
+
+
 @query("decompose_level_trend_noisy")
 def _(spark, d):
     return _decomposed(spark, d, [ss.level_trend(2, (0.1, 0.01)), ss.noise(0.5)])
 
 
-@query("decompose_noise", with_("nation") + f"""SELECT s.series_id, s.ds, {r('s.z - (f.a + f.b * s.t)')} AS noise FROM scaled s
+@query("trend_line_noise", with_("nation") + f"""SELECT s.series_id, s.ds, {r('s.z - (f.a + f.b * s.t)')} AS noise FROM scaled s
 JOIN (SELECT series_id, regr_intercept(z, t) AS a, regr_slope(z, t) AS b FROM scaled GROUP BY 1) f ON f.series_id = s.series_id""")
 def _(spark, d):
     rows = ss.trend_regression(_scaled(spark, d))
@@ -281,7 +376,7 @@ def _(spark, d):
     return rounded(_decomposed(spark, d, [ss.autoregressive([0.6], 0.5), ss.noise(0.5)]), 6, "mean", "var")
 
 
-@query("decompose_season_dummy", with_("nation") + f"""SELECT series_id, CAST(i AS INTEGER) AS season_index,
+@query("season_means", with_("nation") + f"""SELECT series_id, CAST(i AS INTEGER) AS season_index,
 {r('m - avg(m) OVER (PARTITION BY series_id)')} AS effect FROM (SELECT series_id, t % 52 AS i, avg(z) AS m FROM scaled GROUP BY 1, 2)""")
 def _(spark, d):
     return rounded(ss.season_means(_scaled(spark, d), 52), 6, "effect")
@@ -295,7 +390,7 @@ def _(spark, d):
 FOURIER = ", ".join(f"{r(f'{f}(t * 2 * pi() * {j} / 52)')} AS {f}_{j}" for j in (1, 2, 3) for f in ("cos", "sin"))
 
 
-@query("decompose_season_fourier", with_("nation") + f"SELECT series_id, ds, {FOURIER} FROM scaled")
+@query("season_fourier_columns", with_("nation") + f"SELECT series_id, ds, {FOURIER} FROM scaled")
 def _(spark, d):
     """The design columns of three harmonics."""
     rows = grid.time_index(regular_panel(spark, d, "nation"), 52)
@@ -321,10 +416,19 @@ def _(spark, d):
 
 @query("decompose_cycle")
 def _(spark, d):
-    """Length and damping chosen by likelihood from a grid, then the smoother."""
+    """Length and damping chosen by likelihood among the peaks of the series' periodogram, then the smoother."""
     return ss.best_cycle(_arrays(spark, d))
 
 
+@query("cycle_periodogram", with_("nation") + f"""SELECT series_id, CAST(k AS DOUBLE) AS wave, {r('CAST(n AS DOUBLE) / k')} AS length,
+{r('(power(sum(v * cos(2 * pi() * k * t / n)), 2) + power(sum(v * sin(2 * pi() * k * t / n)), 2)) / n')} AS power
+FROM (SELECT s.series_id, s.t, s.n, s.z - f.a - f.b * s.t AS v FROM scaled s
+  JOIN (SELECT series_id, regr_intercept(z, t) AS a, regr_slope(z, t) AS b FROM scaled GROUP BY 1) f ON f.series_id = s.series_id) x,
+ (SELECT unnest(generate_series(1, 2000)) AS k) WHERE k <= n / 3.0 GROUP BY series_id, k, n""")
+def _(spark, d):
+    return rounded(ss.periodogram(_arrays(spark, d)), 6, "length", "power")
+
+
 REG_SQL = """w AS (SELECT o_orderpriority AS series_id, CAST(date_trunc('week', o_orderdate) AS DATE) AS ds,
   round(sum(o_totalprice), 2) AS y, count(*) AS x FROM orders GROUP BY 1, 2)"""
 
@@ -351,10 +455,19 @@ def _(spark, d):
     return ss.kf_filter(arrays, [ss.regression(2, 0.05), ss.noise(0.5)], exog="x").select("series_id", "ds", "state", "loglik")
 
 
-@query("decompose_sum")
+SUM_PARTS = [ss.level_trend(2, (0.1, 0.01)), ss.season_fourier(52, 2, 0.01), ss.autoregressive([0.3], 0.1), ss.noise(0.5)]
+
+
+@query("decompose_sum", with_("nation", ZS) + f"SELECT series_id, ds, {r('z')} AS total, CAST(4 AS BIGINT) AS n_components FROM zs")
+def _(spark, d):
+    """The smoothed components and the noise add up to the series."""
+    rows = _decomposed(spark, d, SUM_PARTS).groupBy("series_id", "ds")
+    return rounded(rows.agg(F.sum("mean").alias("total"), F.count("*").alias("n_components")), 6, "total")
+
+
+@query("decompose_sum_parts")
 def _(spark, d):
-    return _decomposed(spark, d, [ss.level_trend(2, (0.1, 0.01)), ss.season_fourier(52, 2, 0.01),
-                                  ss.autoregressive([0.3], 0.1), ss.noise(0.5)])
+    return _decomposed(spark, d, SUM_PARTS)
 
 
 @query("seasonal_difference", with_("nation") + f"""SELECT series_id, ds, {r('u - lag(u, 52) OVER w')} AS w FROM

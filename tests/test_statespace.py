@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelcast.functions import statespace_scalar as scalar
-from panelcast.models import statespace as ss
+from panelcast.models import horizon, statespace as ss
 from panelcast.operators.grid import as_arrays
 from panelcast.streaming import online
 from conftest import seasonal
@@ -195,3 +195,113 @@ def test_late_events_are_dropped(spark, tmp_path):
     stream = online.read_event_stream(spark, source, schema, files_per_trigger=1)
     got = online.run_available(online.stream_bucket(stream, lateness="1 hour"), str(tmp_path / "out"), str(tmp_path / "state"))
     assert {(r.ds.hour, r.y) for r in got.collect()} == {(10, 1.0), (15, 5.0)}
+
+
+def test_methods_agree_and_the_steady_one_is_their_limit(gappy):
+    parts = [ss.level_trend(2, (.3, .1)), ss.noise(1.0)]
+    found = {m: ss.kf_filter(gappy, parts, m).toPandas().sort_values(["series_id", "ds"]) for m in ss.METHODS}
+    for method in ("single", "cholesky"):
+        assert np.allclose(np.stack(found[method]["state"]), np.stack(found["standard"]["state"]))
+        assert np.allclose(np.stack(found[method]["cov"]), np.stack(found["standard"]["cov"]))
+        assert np.allclose(found[method]["loglik"], found["standard"]["loglik"])
+    full = {m: f[f.series_id == "c"] for m, f in found.items()}
+    apart = np.abs(np.stack(full["steady_state"]["state"]) - np.stack(full["standard"]["state"])).max(1)
+    assert apart[0] > 1e-3 and apart[-1] < 1e-4
+    with pytest.raises(ValueError):
+        ss.kf_filter(gappy, parts, "other")
+
+
+def test_parts_of_a_pattern_do_not_change_the_result(spark, make_arrays, monkeypatch):
+    arrays = make_arrays({f"s{i}": level(60, 0, seed=i) for i in range(7)})
+    whole = ss.kf_states(arrays, PARTS).orderBy("series_id", "kind", "ds").collect()
+    series = [np.array(r.z) for r in arrays.collect()]
+    monkeypatch.setattr(ss, "PART_BYTES", 8 * 60 * 2)
+    assert [len(members) for members, *_ in ss.run_patterns(json.dumps(PARTS), series)] == [2, 2, 2, 1]
+    assert ss.kf_states(arrays, PARTS).orderBy("series_id", "kind", "ds").collect() == whole
+
+
+def test_intercepts_shift_states_and_observations(gappy):
+    """A constant growth and an offset are the plain model on the series without them."""
+    parts = [ss.autoregressive([.5], .3), ss.noise(1.0)]
+    c, d = .4, 2.0
+    plain = ss.kf_states(gappy, parts, kinds=("filtered", "smoothed")).orderBy("series_id", "kind", "ds").toPandas()
+    drift = F.transform("z", lambda v, i: v + d + c * (1 - F.pow(F.lit(.5), i)) / .5)
+    moved = gappy.withColumn("z", drift)
+    got = ss.kf_states(moved, [*parts, ss.intercepts([c], d)], kinds=("filtered", "smoothed")).orderBy("series_id", "kind", "ds").toPandas()
+    at = plain.groupby(["series_id", "kind"]).cumcount().to_numpy()
+    assert np.allclose(np.stack(got.state)[:, 0], np.stack(plain.state)[:, 0] + c * (1 - .5 ** at) / .5)
+    assert np.allclose(got.loglik, plain.loglik) and np.allclose(np.stack(got["cov"]), np.stack(plain["cov"]))
+    with pytest.raises(ValueError):
+        ss.build(json.dumps([*parts, ss.intercepts([1.0, 2.0])]))
+
+
+def _starts(spark, rows):
+    return spark.createDataFrame(rows, "series_id string, start date")
+
+
+def test_forecast_from_any_date_equals_the_recursion(spark, gappy):
+    parts = [ss.level_trend(2, (.3, .1)), ss.season_fourier(12, 2, .05), ss.intercepts([.1, 0, 0, 0, 0, .2], 1.5), ss.noise(1.0)]
+    states = ss.kf_states(gappy, parts, kinds=("filtered",))
+    first = dt.date(2020, 1, 6)
+    rows = [("a", first + dt.timedelta(weeks=100)), ("a", first + dt.timedelta(weeks=120, days=3)), ("b", dt.date(2030, 1, 1)),
+            ("c", first - dt.timedelta(days=1))]
+    got = horizon.forecast_from(states, parts, _starts(spark, rows), periods=30).toPandas()
+    assert sorted({(r.series_id, r.start) for r in got.itertuples()}) == sorted(rows[:3])  # no state of c before its start
+    system = ss.build(json.dumps(parts))
+    for series, start in rows[:3]:
+        mine = states.where((F.col("series_id") == series) & (F.col("ds") <= F.lit(start))).orderBy(F.desc("ds")).first()
+        a, p, ds, wanted = np.array(mine.state), np.array(mine["cov"]).reshape(6, 6), mine.ds, []
+        while len(wanted) < 30:
+            a, p, ds = system["T"] @ a + system["c"], system["T"] @ p @ system["T"].T + system["Q"], ds + dt.timedelta(weeks=1)
+            if ds > start:
+                wanted.append((ds, system["Z"] @ a + 1.5, system["Z"] @ p @ system["Z"] + 1.0))
+        part = got[(got.series_id == series) & (got.start == start)].sort_values("step")
+        assert list(part.step) == list(range(1, 31)) and list(part.ds) == [w[0] for w in wanted]
+        assert np.allclose(part["mean"], [w[1] for w in wanted]) and np.allclose(part["var"], [w[2] for w in wanted])
+        assert (part.lower < part["mean"]).all()
+
+
+def test_forecast_from_reaches_its_end_and_checks_arguments(spark, gappy):
+    states = ss.kf_states(gappy, PARTS, kinds=("filtered",))
+    start = _starts(spark, [("a", dt.date(2020, 3, 2))])
+    got = horizon.forecast_from(states, PARTS, start, end="2020-03-31").orderBy("step").collect()
+    assert [r.ds.day for r in got] == [9, 16, 23, 30]
+    assert horizon.forecast_from(states, PARTS, start, end="2020-03-02").count() == 0
+    assert horizon.forecast_from(states.limit(0), PARTS, start, periods=3).count() == 0
+    for wrong in ({}, {"periods": 3, "end": "2021-01-01"}, {"periods": 3, "exog": start}):
+        with pytest.raises(ValueError):
+            horizon.forecast_from(states, PARTS, start, **wrong)
+
+
+def test_forecast_with_future_regressors(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(90, 2))
+    dates = [dt.date(2020, 1, 6) + dt.timedelta(weeks=i) for i in range(90)]
+    y = x[:80] @ [1.5, -2.0] + rng.normal(size=80).cumsum() * .1
+    rows = spark.createDataFrame([("a", dates[:80], y.tolist(), x[:80].tolist())],
+                                 "series_id string, ds array<date>, z array<double>, x array<array<double>>")
+    parts = [ss.level_trend(1, .1), ss.regression(2, .05), ss.autoregressive([.4], .1), ss.noise(.2)]
+    states = ss.kf_states(rows, parts, kinds=("filtered",), exog="x")
+    future = spark.createDataFrame([("a", d, v.tolist()) for d, v in zip(dates[80:89], x[80:])], "series_id string, ds date, x array<double>")
+    got = horizon.forecast_from(states, parts, _starts(spark, [("a", dates[79])]), periods=10, exog=future).orderBy("step").collect()
+    last, system = states.orderBy(F.desc("ds")).first(), ss.build(json.dumps(parts))
+    a, p = np.array(last.state), np.array(last["cov"]).reshape(4, 4)
+    for i, r in enumerate(got[:9]):
+        a, p = system["T"] @ a, system["T"] @ p @ system["T"].T + system["Q"]
+        z = np.array([1.0, *x[80 + i], 1.0])
+        assert (r["mean"], r["var"]) == pytest.approx((z @ a, z @ p @ z + system["H"]))
+    assert got[9]["mean"] is None and got[9]["var"] is None
+
+
+def test_a_planted_cycle_is_found_at_any_length(make_arrays):
+    t, rng = np.arange(300), np.random.default_rng(0)
+    lengths = {"a": 17.0, "b": 37.3, "c": 71.0, "d": 8.4}
+    series = {s: .01 * t + 2 * np.sin(2 * np.pi * t / n) + .3 * rng.normal(size=300) for s, n in lengths.items()}
+    series |= {"short": np.array([1.0, 2.0]), "flat": np.ones(30)}
+    arrays = make_arrays(series)
+    got = {r.series_id: r.length for r in ss.best_cycle(arrays).select("series_id", "length").distinct().collect()}
+    assert all(abs(got[s] / n - 1) < .06 for s, n in lengths.items()), got
+    gaps = np.where(rng.random(300) < .3, None, series["b"])
+    power = ss.periodogram(arrays.limit(0).unionByName(arrays.where("series_id = 'b'").withColumn(
+        "z", F.array(*[F.lit(None if v is None else float(v)) for v in gaps]))), finer=4).orderBy(F.desc("power")).first()
+    assert abs(power.length / 37.3 - 1) < .06
