@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import partial
 
@@ -15,7 +16,8 @@ from panelcast.plans.prepare import all_arrays, prepare, to_predictions, train_a
 from panelcast.schemas import HORIZON
 from panelcast.session import materialize
 from panelcast.sources.param_store import load_or_fit
-from panelcast.sources.stores import union_results
+from panelcast.sources.stores import (append_search_log, latest_best_params, read_search_log, search_log_rows,
+                                      union_results)
 
 # Candidates tried per family unless the caller says otherwise.
 DEFAULT_DRAWS = {"gb": 20, "rf": 16, "svr": 20, "mlp": 12}
@@ -60,15 +62,18 @@ def _tree_run(prepared, arrays, family, steps, freq, n_iter, seed, params=None,
 
 
 def run_experiment(panel: DataFrame, families: tuple[str, ...] = DEFAULT_FAMILIES, freq: str = "W-MON",
-                   horizon: int = HORIZON, n_iter: int | None = None, seed: int = 0, store: str | None = None) -> Experiment:
+                   horizon: int = HORIZON, n_iter: int | None = None, seed: int = 0, store: str | None = None,
+                   log: str | None = None, stamp: dt.datetime | None = None) -> Experiment:
     """Search, fit, forecast and score every family on every series.
 
     Families run one after another, each as jobs over the whole panel.  What
     more than one family reads is written once.  Searches go through the
     parameter store at ``store`` (by default the session's own): a run that is
     repeated, or that goes on after its driver was lost, fits only what no
-    earlier run has fitted from the same values.
+    earlier run has fitted from the same values.  With ``log``, each family's
+    winners are appended to the search log there under ``stamp`` (default now).
     """
+    stamp = F.lit((stamp or dt.datetime.now()).strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     prepared = materialize(prepare(panel, horizon), "prepared")
     arrays = materialize(train_arrays(prepared), "train-arrays")
     bests, predictions, failed = [], [], []
@@ -81,6 +86,10 @@ def run_experiment(panel: DataFrame, families: tuple[str, ...] = DEFAULT_FAMILIE
             best = materialize(load_or_fit(arrays, name, (freq, draws, seed, family.version), partial(
                 family.search, freq=freq, n_iter=draws, seed=seed), store), f"best-{name}")
             rows = to_predictions(family.predict(best, arrays, horizon, freq), freq)
+        if log is not None:
+            searched = best.select("series_id", "params", "score").join(
+                arrays.select("series_id", F.size("z").alias("n_samples")), "series_id")
+            append_search_log(search_log_rows(searched, stamp, name), log)
         failed.append(arrays.select("series_id", F.lit(name).alias("model"))
                       .join(best.select("series_id"), "series_id", "left_anti"))
         bests.append(best.select("series_id", "model", "params", "score"))
@@ -109,16 +118,27 @@ def run_by_frequency(panel: DataFrame, config: DataFrame, skip_odd: bool = False
     return runs
 
 
+def with_logged_params(winners: DataFrame, log: str) -> DataFrame:
+    """``winners`` with the newest logged parameters and score of their series and model, where there are any."""
+    newest = latest_best_params(read_search_log(winners.sparkSession, log), keep_null=True).select(
+        "dataset", F.col("best_params").alias("logged"), F.col("best_score").alias("logged_score"))
+    rows = winners.withColumn("dataset", F.concat_ws("_", "series_id", "model")).join(newest, "dataset", "left")
+    found = F.col("logged").isNotNull()
+    return rows.select("series_id", "model", F.when(found, F.col("logged")).otherwise(F.col("params")).alias("params"),
+                       F.when(found, F.col("logged_score")).otherwise(F.col("score")).alias("score"))
+
+
 def future_forecast_best(run: Experiment, periods: int = HORIZON, freq: str = "W-MON", alpha: float = 0.05,
-                         seed: int = 0) -> DataFrame:
+                         seed: int = 0, log: str | None = None) -> DataFrame:
     """Refit each series' best model on all its rows and forecast past the end.
 
     Series are routed to the family that won for them; families without bands
-    give points only, with no confidence label.
+    give points only, with no confidence label.  With ``log``, the refit takes
+    the newest logged parameters instead of the run's own.
     """
-    winners = materialize(
-        best_model(run.scores).join(run.best, "series_id").where("model = best_model")
-        .select("series_id", "model", "params", "score"), "winners")
+    won = (best_model(run.scores).join(run.best, "series_id").where("model = best_model")
+           .select("series_id", "model", "params", "score"))
+    winners = materialize(won if log is None else with_logged_params(won, log), "winners")
     arrays = all_arrays(run.prepared)
     parts = []
     for name in [row[0] for row in winners.select("model").distinct().collect()]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, functions as F
@@ -587,7 +588,28 @@ def _(spark, d):
                         F.round("score", 6).alias("score"), "n")
 
 
-@query("register_forecaster")
+RECENT_MEAN = """tails AS (SELECT series_id, w, avg(z) AS m FROM split, (VALUES (4), (12), (52)) v(w)
+  WHERE split = 'train' AND t >= n - 52 - w GROUP BY 1, 2),
+rated AS (SELECT c.series_id, c.w, c.m, sqrt(avg((x.z - c.m) * (x.z - c.m))) AS score FROM tails c
+  JOIN split x ON x.series_id = c.series_id WHERE x.split = 'train' GROUP BY 1, 2, 3),
+won AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY score, w) = 1),
+preds AS (SELECT x.series_id, 'recent_mean' AS model, x.ds, CASE WHEN x.split = 'train' THEN 'fitted' ELSE 'forecast' END AS kind,
+  w.m * x.scale + x.center AS yhat FROM split x JOIN won w ON w.series_id = x.series_id)"""
+
+
+@query("run_search_log", with_("supplier", AR_SQL) + """SELECT series_id || '_ar1' AS dataset, 'ar1' AS model, '2024-05-06_07-08-09' AS date,
+ round(sigma, 6) AS best_score, (SELECT count(*) FROM split s WHERE s.series_id = res.series_id AND s.split = 'train') AS n_samples FROM res""")
+def _(spark, d):
+    """What a run appends to the search log."""
+    path = scratch_path(spark, "run-log")
+    experiment.run_experiment(regular_panel(spark, d), ("ar1",), log=path, stamp=dt.datetime(2024, 5, 6, 7, 8, 9))
+    return stores.read_search_log(spark, path).select(
+        F.col("dataset_info.dataset_name_and_type").alias("dataset"), "model", "date", F.round("best_score", 6).alias("best_score"),
+        F.col("dataset_info.n_samples").alias("n_samples"))
+
+
+@query("register_forecaster", with_("priority", RECENT_MEAN, ALIGNED, SCORES) +
+       "SELECT series_id, model, phase, mape, smape, cumulative_error_percentage, weighted_mape, round(error_std, 2) AS error_std FROM scores")
 def _(spark, d):
     """A user's family: the mean of the last season, with its deviation as band."""
     import numpy as np
@@ -601,4 +623,4 @@ def _(spark, d):
 
     registry.register_simple_forecaster("recent_mean", fit, apply, {"window": ["4", "12", "52"]})
     run = experiment.run_experiment(regular_panel(spark, d, "priority"), ("recent_mean",))
-    return run.scores
+    return rounded(run.scores, 2, "error_std")

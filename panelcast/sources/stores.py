@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelcast.schemas import SEARCH_LOG
+from panelcast.sources.param_store import committed_parts
 
 DEFAULT_FORMAT = "%Y-%m-%d"
 
@@ -49,22 +52,26 @@ def search_log_rows(best: DataFrame, stamp: Column, model: str) -> DataFrame:
 
 
 def append_search_log(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    """One more part of the log.  Writers need no lock; a part is seen once its write has ended."""
+    rows.write.parquet(f"{path}/part-{uuid.uuid4().hex}")
 
 
 def read_search_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SEARCH_LOG).parquet(path)
+    """The rows of all ended appends; a log that was never written is empty."""
+    parts = committed_parts(spark, path)
+    return spark.read.schema(SEARCH_LOG).parquet(*parts) if parts else spark.createDataFrame([], SEARCH_LOG)
 
 
 def latest_best_params(log: DataFrame, keep_null: bool = False) -> DataFrame:
     """Parameters of the most recent log row per dataset and model.
 
-    Parameters that are NULL are dropped unless ``keep_null``.
+    Parameters, score and date are those of one row; of rows with equal dates
+    that with the smallest score is taken.  Parameters that are NULL are
+    dropped unless ``keep_null``.
     """
-    latest = log.groupBy(F.col("dataset_info.dataset_name_and_type").alias("dataset"),
-                         F.lower("model").alias("model")).agg(
-        F.max_by("best_params", "date").alias("best_params"), F.max("date").alias("date"),
-        F.max_by("best_score", "date").alias("best_score"))
+    newest = F.max_by(F.struct("best_params", "date", "best_score"), F.struct("date", -F.col("best_score")))
+    latest = log.groupBy(F.col("dataset_info.dataset_name_and_type").alias("dataset"), F.lower("model").alias("model")).agg(
+        newest.alias("r")).select("dataset", "model", "r.best_params", "r.date", "r.best_score")
     if keep_null:
         return latest
     return latest.withColumn("best_params", F.map_filter("best_params", lambda _, v: v.isNotNull()))

@@ -95,3 +95,36 @@ def test_staged_tree_search(make_panel, store, monkeypatch, family):
     monkeypatch.setattr(trees, "search_trees", None)
     loaded, again = trees.searched_trees(features, family, 2, folds=2, store=store)
     assert again == tried and loaded.toDebugString == model.toDebugString
+
+
+def test_runs_write_the_log_that_a_refit_reads(spark, make_panel, store, tmp_path):
+    import datetime as dt
+
+    from panelcast.sources import stores
+    log, panel = str(tmp_path / "log"), make_panel({n: seasonal(90, seed=i, noise=0.3) for i, n in enumerate("ab")})
+    for day in (1, 2):
+        run = experiment.run_experiment(panel, ("ar1", "hw_simple"), horizon=12, store=store, log=log, stamp=dt.datetime(2024, 1, day))
+    rows = stores.read_search_log(spark, log)
+    assert rows.count() == 8 and {r.dataset_info.n_samples for r in rows.collect()} == {78}
+    newest = stores.latest_best_params(rows).collect()
+    assert {r.date for r in newest} == {"2024-01-02_00-00-00"} and len(newest) == 4
+    own = experiment.future_forecast_best(run, 4).orderBy("series_id", "ds").collect()
+    assert experiment.future_forecast_best(run, 4, log=log).orderBy("series_id", "ds").collect() == own
+    winner = experiment.best_model(run.scores).where("series_id = 'a'").first().best_model
+    changed = spark.createDataFrame([("a", {"k": "v"}, .5, 3)], "series_id string, params map<string,string>, score double, n_samples int")
+    stores.append_search_log(stores.search_log_rows(changed, F.lit(dt.datetime(2024, 2, 1)), winner), log)
+    winners = run.best.where(F.col("model") == winner)
+    found = {r.series_id: r for r in experiment.with_logged_params(winners, log).collect()}
+    assert (found["a"].params, found["a"].score) == ({"k": "v"}, .5) and found["b"].params != {"k": "v"}
+
+
+def test_log_ties_and_half_written_parts(spark, tmp_path):
+    from panelcast.schemas import SEARCH_LOG
+    from panelcast.sources import stores
+    path = str(tmp_path / "log")
+    assert stores.read_search_log(spark, path).count() == 0
+    rows = [("2024-01-01_00-00-00", "AR", {"p": p}, s, (5, "x_ar")) for p, s in (("1", 2.0), ("2", 1.0), ("3", 3.0))]
+    stores.append_search_log(spark.createDataFrame(rows, SEARCH_LOG), path)
+    (tmp_path / "log" / "part-unfinished").mkdir()
+    (got,) = stores.latest_best_params(stores.read_search_log(spark, path)).collect()
+    assert (got.best_params, got.best_score) == ({"p": "2"}, 1.0)
