@@ -8,6 +8,8 @@ every splitter until its bytes are right to within the tolerance or a single row
 is left.  A splitter then moves to an edge between texts if one is within the
 tolerance.  Shards are cut into ranges of bounded rows at probes whose row counts
 are known, so each row's slot is its place in its range plus a known offset.
+Where more rows than a range may hold lie between two probes, such as the copies
+of one text, probes are refined there too, down to the bits of the ids.
 """
 
 from __future__ import annotations
@@ -70,7 +72,7 @@ def splitters(keyed: DataFrame, shards: int, tolerance: float = 0.005, rows_per_
     ranges = max(1, n_rows // rows_per_range)
     even = max(shards * probes_per_splitter, 4 * ranges)
     measure(TOP * i // even for i in range(1, even))
-    first = sorted(known)
+    fair = n_rows / ranges
     at = []
     for _ in range(ROUNDS):
         ordered = sorted(known)
@@ -94,9 +96,16 @@ def splitters(keyed: DataFrame, shards: int, tolerance: float = 0.005, rows_per_
         if abs(known[edge][0] - goal) <= max(allowed, abs(known[at[i]][0] - goal)):
             at[i] = edge
     at = sorted(at)
+    for _ in range(ROUNDS):  # probes inside intervals that would be too large for one range
+        ordered = sorted(known)
+        heavy = [(low, high) for low, high in zip(ordered, ordered[1:])
+                 if high - low > 1 and known[high][1] - known[low][1] > fair]
+        if not heavy:
+            break
+        measure(low + (high - low) * j // probes_per_splitter for low, high in heavy for j in range(1, probes_per_splitter))
     starts, last = {0, *at}, 0
-    for k in first:  # further cuts, at probes whose rows are known
-        if known[k][1] - last >= n_rows / ranges:
+    for k in sorted(known):  # further cuts: no range holds more than twice the fair number
+        if known[k][1] - last >= fair:
             starts.add(k)
             last = known[k][1]
     starts = np.array(sorted(starts - {TOP - 1}), np.int64)
