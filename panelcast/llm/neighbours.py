@@ -67,7 +67,8 @@ class Curves:
         self.lows = [p.min(axis=0) for p in placed]
         self.spans = [np.maximum(np.ptp(p, axis=0), 1e-300) for p in placed]
         cuts = np.arange(1, segments) / segments
-        self.bounds = [np.quantile(self.keys(sample, o), cuts, method="nearest") for o in range(orderings)]
+        # Equal bounds count once: a vector that many rows share would leave empty segments beside its own.
+        self.bounds = [np.unique(np.quantile(self.keys(sample, o), cuts, method="nearest")) for o in range(orderings)]
 
     def keys(self, vectors: np.ndarray, ordering: int) -> np.ndarray:
         unit = (vectors @ self.projections[ordering] - self.lows[ordering]) / self.spans[ordering] / 2
@@ -117,14 +118,17 @@ def best_of_tile(query_ids, queries, ids, vectors, k: int):
 
     A matrix product finds who can be among them; the scores are then summed
     component by component, so equal vectors have equal scores everywhere.
+    Rows of one id share a tile; the id's best score counts.
     """
-    ids, first = np.unique(ids, return_index=True)  # repeated rows share a tile
-    vectors = vectors[first]
+    order = np.argsort(ids, kind="stable")
+    ids, vectors = ids[order], vectors[order]
     rough = queries @ vectors.T
     own = query_ids[:, None] == ids[None, :]
     rough[own] = -np.inf
-    if len(ids) > k:
-        least = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k]
+    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    by_id = rough if len(starts) == len(ids) else np.maximum.reduceat(rough, starts, axis=1)
+    if len(starts) > k:
+        least = np.partition(by_id, len(starts) - k, axis=1)[:, len(starts) - k]
     else:
         least = np.full(len(queries), -np.inf)
     slack = 1e-9 * (np.abs(queries).max(axis=1) * np.abs(vectors).max() * queries.shape[1] + 1e-300)
@@ -132,6 +136,11 @@ def best_of_tile(query_ids, queries, ids, vectors, k: int):
     score = np.zeros(len(q))
     for i in range(queries.shape[1]):
         score += queries[q, i] * vectors[c, i]
+    if len(starts) < len(ids):
+        order = np.lexsort((-score, ids[c], q))
+        q, c, score = q[order], c[order], score[order]
+        best = np.r_[True, (q[1:] != q[:-1]) | (ids[c[1:]] != ids[c[:-1]])][:len(q)]
+        q, c, score = q[best], c[best], score[best]
     order = np.lexsort((ids[c], -score, q))
     q, c, score = q[order], c[order], score[order]
     rank = np.arange(len(q)) - np.searchsorted(q, q, side="left")
@@ -146,7 +155,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     Vectors that are NULL, zero, of another length than most of the sample, or hold NULL
     or non-finite components take no part, nor do rows without an id.  Ids name
     vectors: a candidate with the query's id is its own, repeated rows count
-    once.  Ties go to the smaller id.  A segment never holds fewer than 4 k rows on
+    once, and rows that share an id with different vectors are one candidate (and
+    one query) whose score is the largest of its vectors'.  Ties go to the smaller id.  A segment never holds fewer than 4 k rows on
     average, so with k candidates or fewer all are found.  An empty table gives an empty result.
     """
     spark = vectors.sparkSession
@@ -187,8 +197,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
 
     def merge(group: pa.Table) -> pa.Table:
         flat = [np.concatenate([c.flatten().to_numpy() for c in group.column(name).chunks]) for name in ("ids", "scores")]
-        ids, first = np.unique(flat[0], return_index=True)
-        score = flat[1][first]
+        order = np.lexsort((-flat[1], flat[0]))
+        ids, first = np.unique(flat[0][order], return_index=True)
+        score = flat[1][order][first]
         top = np.lexsort((ids, -score))[:k]
         return pa.table({"query_id": pa.array(np.full(len(top), group.column("query_id")[0].as_py())),
                          "rank": pa.array(np.arange(1, len(top) + 1, dtype=np.int32)),

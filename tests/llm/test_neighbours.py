@@ -63,3 +63,34 @@ def test_hilbert_curve_visits_every_cell_by_unit_steps():
         assert sorted(keys) == list(range(len(grid)))
         path = grid[np.argsort(keys)]
         assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_rows_that_share_an_id_give_the_best_of_their_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i % 50, rng.normal(size=4).astype(np.float32).tolist()) for i in range(150)]  # three vectors an id
+    best = {}
+    for q, u in rows:
+        for i, v in rows:
+            if q % 20 == 0 and i != q:
+                score = 0.0
+                for a, b in zip(u, v):
+                    score += a * b
+                best[q, i] = max(score, best.get((q, i), -np.inf))
+    want = {q: [i for _, i in sorted((-s, i) for (p, i), s in best.items() if p == q)[:20]] for q in (0, 20, 40)}
+    for parts in (1, 5):  # in any order of the rows
+        got = neighbours.nearest(frame(spark, rows[::-1] if parts == 5 else rows).repartition(parts), F.col("vec_id") % 20 == 0).collect()
+        found = {}
+        for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+            found.setdefault(r["query_id"], []).append(r["vec_id"])
+            assert r["score"] == best[r["query_id"], r["vec_id"]]
+        assert found == want
+
+
+def test_a_vector_that_a_third_shares_leaves_no_empty_segments():
+    rng = np.random.default_rng(4)
+    sample = np.vstack([np.tile(rng.normal(size=8), (400, 1)), rng.normal(size=(800, 8))])
+    curves = neighbours.Curves(sample, 3, 20, 4, 8, 1)
+    for o, cells in enumerate(curves.cells(sample).T):
+        used = np.unique(cells) - o * 20
+        assert len(used) == len(curves.bounds[o]) + 1 or used.tolist() == list(range(used[0], used[0] + len(used)))
+        assert len(used) < 20
