@@ -111,7 +111,9 @@ def head(docs: DataFrame, longest: int = 1, n_words: int = HEAD_WORDS, n_pairs:
             if room < 0:
                 break
             least = name
-        fits = counts.filter((F.col("kind") == kind) & (order >= least)) if least is not None else counts.limit(0)
+        if least is None:
+            return []
+        fits = counts.filter((F.col("kind") == kind) & (order >= least))
         return [bytes(r[0]) for r in fits.select("feature").collect()]  # at most ``limit``
 
     return top(0, n_words), top(1, n_pairs) if longest > 1 else []
