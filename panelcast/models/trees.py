@@ -102,7 +102,8 @@ def search_trees(features: DataFrame, family: str, n_iter: int, folds: int = 3,
     settings = [tuple(sorted(_settings(family, params).items())) for params in tried]
     # A task per core and enough rows to be worth it: small tables train in few tasks.
     spark = features.sparkSession
-    tasks = max(1, min(features.rdd.getNumPartitions(), features.count() // ROWS_PER_TASK))
+    held, rows = features.select(F.spark_partition_id().alias("part")).agg(F.countDistinct("part"), F.count("*")).first()
+    tasks = max(1, min(held, rows // ROWS_PER_TASK))
     features = features.coalesce(tasks).persist()
     stages = _stages(family, settings)
     work = [(shared, fold) for shared in stages for fold in range(folds)]
