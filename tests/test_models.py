@@ -294,3 +294,20 @@ def test_very_short_series_do_not_stop_a_job(make_arrays):
         assert "long" in {r.series_id for r in best.collect()}, name
     best = registry.FAMILIES["ar"].search(arrays, "W-MON", 40, 0)
     assert registry.FAMILIES["ar"].predict(best, arrays, 3, "W-MON").count() >= 1
+
+
+def test_fit_ar_works_through_a_batch_in_small_pieces(make_panel, monkeypatch):
+    """What a task returns at once is bounded, however many series Spark puts in a batch."""
+    panel = make_panel({str(k): seasonal(80, 12) + k for k in range(7)}).withColumn("z", F.col("y"))
+    sums = autoregression.with_candidates(autoregression.moments(panel)).coalesce(1)
+    whole = {(r.series_id, r.candidate_id): r.score for r in autoregression.fit_ar(sums).collect()}
+    (batch,), sizes = sums.toArrow().combine_chunks().to_batches(), []
+    monkeypatch.setattr(autoregression, "SERIES_AT_ONCE", 2)
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return list(run(iter([batch])))
+
+    parts = autoregression.fit_ar(Rows())
+    assert [p.num_rows for p in parts] == [80, 80, 80, 40]
+    assert {(r["series_id"], r["candidate_id"]): r["score"] for p in parts for r in p.to_pylist()} == pytest.approx(whole, nan_ok=True)
