@@ -166,3 +166,10 @@ def test_unreadable_dates_and_values_are_not_lost(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("date,v\n2024-01-01,oops\n")
     with pytest.raises(Exception, match="no number"):
         panels.read_series_csv(spark, str(tmp_path), config=config).collect()
+
+
+def test_a_panel_is_not_merged_into_few_tasks(make_panel):
+    """Shuffled rows are small, and merged by bytes they would all be the work of one task."""
+    panel = make_panel({str(k): np.arange(20.0) for k in range(40)})
+    tasks = grid.regularize(panel).select("series_id").distinct().select(F.spark_partition_id()).distinct().count()
+    assert tasks > 4

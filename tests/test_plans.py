@@ -51,3 +51,8 @@ def test_registered_tree_queries_search(monkeypatch):
             with pytest.raises(Reached) as asked:
                 all_queries()[f"{family}_{kind}"](None, None)
             assert asked.value.args == (family, experiment.DEFAULT_DRAWS[family])
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
+def test_sample_candidates_computes_its_panel_once(spark):
+    assert "lineitem.parquet" not in plan_of(spark, "sample_candidates")
