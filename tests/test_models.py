@@ -311,3 +311,18 @@ def test_fit_ar_works_through_a_batch_in_small_pieces(make_panel, monkeypatch):
     parts = autoregression.fit_ar(Rows())
     assert [p.num_rows for p in parts] == [80, 80, 80, 40]
     assert {(r["series_id"], r["candidate_id"]): r["score"] for p in parts for r in p.to_pylist()} == pytest.approx(whole, nan_ok=True)
+
+
+def test_bands_evaluate_the_variance_once_a_row(spark):
+    """One variance for all steps; inside the lambda it was evaluated for every step."""
+    zeros, ones = (F.array(*[F.lit(v)] * 20) for v in (0.0, 1.0))
+    lower, _ = smoothing.bands(zeros, F.rand(1), ones)
+    assert len(set(spark.range(1).select(lower.alias("lower")).first().lower)) == 1
+
+
+def test_sums_without_season_have_a_part_per_head_position(make_panel):
+    train = make_panel({"a": seasonal(220, 52, noise=.3, seed=4)}).withColumn("z", F.col("y"))
+    plain, seasons = autoregression.moments(train, seasonal=False), autoregression.moments(train)
+    assert len(plain.first().head) == 6 < len(seasons.first().head)
+    a, b = (autoregression.fit_ar(autoregression.with_fixed(s)).first() for s in (plain, seasons))
+    assert a.coef == pytest.approx(b.coef) and a.score == pytest.approx(b.score) and a.n == b.n

@@ -128,3 +128,17 @@ def test_log_ties_and_half_written_parts(spark, tmp_path):
     (tmp_path / "log" / "part-unfinished").mkdir()
     (got,) = stores.latest_best_params(stores.read_search_log(spark, path)).collect()
     assert (got.best_params, got.best_score) == ({"p": "2"}, 1.0)
+
+
+def test_keys_are_digested_once(make_arrays, tmp_path):
+    """What is fitted comes from a written table of keys, not from another pass of digests."""
+    seen = []
+
+    def fit(todo):
+        seen.append(todo._jdf.queryExecution().executedPlan().toString())
+        return todo.select("series_id", F.lit(0).alias("candidate_id"), F.create_map(F.lit("a"), F.lit("b")).alias("params"),
+                           F.array(F.lit(1.0)).alias("coef"), F.lit(9).cast("long").alias("n"), F.lit(0.5).alias("score"))
+
+    found = param_store.load_or_fit(make_arrays({"a": [1.0, 2.0], "b": [3.0, 4.0]}), "m", ("s",), fit, str(tmp_path / "store"))
+    assert {r.series_id for r in found.collect()} == {"a", "b"}
+    assert "sha2(" not in seen[0] + found._jdf.queryExecution().executedPlan().toString()
