@@ -56,3 +56,15 @@ def test_registered_tree_queries_search(monkeypatch):
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
 def test_sample_candidates_computes_its_panel_once(spark):
     assert "lineitem.parquet" not in plan_of(spark, "sample_candidates")
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
+def test_scores_are_computed_once_for_both_parts(spark, monkeypatch):
+    from panelcast.plans import experiment, model_queries
+
+    plans, run = [], model_queries._exact_run(spark, FOLDER)
+    monkeypatch.setattr(model_queries, "_exact_run", lambda *_: run)
+    monkeypatch.setattr(model_queries.experiment, "future_forecast_best", lambda given: plans.append(
+        given.scores._jdf.queryExecution().executedPlan().toString()) or given.best)
+    model_queries._back_and_future(spark, FOLDER)
+    assert "Join" not in plans[0] and "Aggregate" not in plans[0]
