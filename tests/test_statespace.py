@@ -305,3 +305,17 @@ def test_a_planted_cycle_is_found_at_any_length(make_arrays):
     power = ss.periodogram(arrays.limit(0).unionByName(arrays.where("series_id = 'b'").withColumn(
         "z", F.array(*[F.lit(None if v is None else float(v)) for v in gaps]))), finer=4).orderBy(F.desc("power")).first()
     assert abs(power.length / 37.3 - 1) < .06
+
+
+def test_a_worker_keeps_passes_by_bytes_and_fits_without_covariances(monkeypatch):
+    monkeypatch.setattr(ss, "_passes", {})
+    monkeypatch.setattr(ss, "CACHE_BYTES", 1 << 20)
+    z = np.sin(np.arange(200.0) / 8)
+    for k in range(12):
+        params = {"sigma_level": str(0.01 * (k + 1)), "sigma_season": "0.001"}
+        before = list(ss._passes)
+        _, score, _ = ss.fit_structural(z, params, 12)
+        assert list(ss._passes) == before
+        ((_, _, _, means, _),) = ss.run_patterns(json.dumps(ss.structural(params, 12)), [z])
+        assert score == -(means["loglik"].sum() + sum(-0.5 * (float(v) / ss.PRIOR_SIGMA) ** 2 for v in params.values()))
+        assert 0 < sum(v.nbytes for kept in ss._passes.values() for v in kept.values()) <= 1 << 20
