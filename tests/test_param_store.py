@@ -97,6 +97,35 @@ def test_staged_tree_search(make_panel, store, monkeypatch, family):
     assert again == tried and loaded.toDebugString == model.toDebugString
 
 
+def test_boosting_of_a_small_table_is_one_job_with_spark_ml_errors(make_panel, monkeypatch):
+    """Only the winner is trained by Spark ML, a job per level of each tree; scores are those of its trainings."""
+    few = {"n_estimators": ["3", "6"], "max_depth": ["2", "5"], "learning_rate": ["0.1"], "min_child_samples": ["1", "10"]}
+    monkeypatch.setitem(trees.GRIDS, "gb", {k: few.get(k, v[:1]) for k, v in trees.GRIDS["gb"].items()})
+    rounded = np.round(seasonal(150, seed=5, noise=0.3), 0)   # few values: equal gains
+    prepared = experiment.prepare(make_panel({"a": seasonal(200, noise=0.2), "b": rounded, "c": np.full(120, 3.0)}), 10)
+    features = trees.feature_table(prepared.where("split = 'train'"))
+    trained, kept = [], trees._trained
+    monkeypatch.setattr(trees, "_trained", lambda *a: trained.append(a) or kept(*a))
+    best, together = trees.search_trees(features, "gb", 8, seed=3)
+    assert len(trained) == 1
+    monkeypatch.setattr(trees.boosting, "MOST_ROWS", 0)
+    one_by_one, alone = trees.search_trees(features, "gb", 8, seed=3)
+    assert len(trained) == 2 + 4 * 3 and best.toDebugString.split("\n", 1)[1] == one_by_one.toDebugString.split("\n", 1)[1]
+    assert [p for p, _ in together] == [p for p, _ in alone]
+    assert [s for _, s in together] == pytest.approx([s for _, s in alone], rel=1e-9)
+
+
+def test_draws_are_those_of_spark(spark):
+    """Draws of features agree with ``rand`` and with the JVM's generator, also for negative seeds."""
+    seeds = trees.boosting._longs(np.array([7, -3], np.int64).view(np.uint64), 4)
+    for seed, found in zip((7, -3), seeds):
+        generator = spark._jvm.java.util.Random(seed)
+        assert [generator.nextLong() for _ in range(4)] == found.tolist()
+    flat = seeds.ravel()
+    rows = spark.range(0, 3, 1, 1).select(*[F.rand(int(s)).alias(f"c{i}") for i, s in enumerate(flat)]).collect()
+    assert trees.boosting._uniforms(flat, 3).T.tolist() == [list(r) for r in rows]
+
+
 def test_runs_write_the_log_that_a_refit_reads(spark, make_panel, store, tmp_path):
     import datetime as dt
 
