@@ -68,3 +68,19 @@ def test_scores_are_computed_once_for_both_parts(spark, monkeypatch):
         given.scores._jdf.queryExecution().executedPlan().toString()) or given.best)
     model_queries._back_and_future(spark, FOLDER)
     assert "Join" not in plans[0] and "Aggregate" not in plans[0]
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
+def test_tree_forecast_derives_its_panel_once(spark, monkeypatch):
+    from panelcast.plans import model_queries, prepare
+
+    trees, derived, tables, panel = model_queries.trees, [], [], prepare.SOURCES["priority"]
+    alone = trees.feature_table(model_queries._train(spark, FOLDER, "priority"))
+    model = trees.fit_trees(alone, "gb", {**trees.default_params("gb"), "n_estimators": "3", "max_depth": "3"})
+    other = prepare.to_predictions(trees.trees_forecast(model_queries._arrays(spark, FOLDER), model, "gb", model_queries.STEPS), fits=False)
+    monkeypatch.setattr(trees, "searched_trees", lambda table, *_: tables.append(table) or (model, []))
+    monkeypatch.setitem(prepare.SOURCES, "priority", lambda *a: derived.append(a) or panel(*a))
+    made = all_queries()["gb_forecast"](spark, FOLDER).collect()
+    assert len(derived) == 1
+    assert tables[0].coalesce(1).collect() == alone.coalesce(1).collect()  # draws go by the order of rows
+    assert made and sorted(made) == sorted(other.select(*made[0].asDict()).collect())
