@@ -70,17 +70,23 @@ def test_scores_are_computed_once_for_both_parts(spark, monkeypatch):
     assert "Join" not in plans[0] and "Aggregate" not in plans[0]
 
 
-@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
-def test_tree_forecast_derives_its_panel_once(spark, monkeypatch):
+def test_tree_forecast_derives_its_panel_once(spark, monkeypatch, tmp_path):
+    from pyspark.sql import functions as F
+
     from panelcast.plans import model_queries, prepare
 
-    trees, derived, tables, panel = model_queries.trees, [], [], prepare.SOURCES["priority"]
-    alone = trees.feature_table(model_queries._train(spark, FOLDER, "priority"))
+    folder, trees, derived, tables, panel = str(tmp_path), model_queries.trees, [], [], prepare.SOURCES["priority"]
+    # Two orders a week and priority, one priority unknown.
+    spark.range(2 * 3 * 220).select(
+        F.element_at(F.array(F.lit("1-URGENT"), F.lit("5-LOW"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("o_orderpriority"),
+        F.expr("timestamp_ntz'1995-01-02' + make_interval(0, 0, 0, cast(id div 6 as int) * 7)").alias("o_orderdate"),
+        (100 + F.col("id") % 97 + F.rand(1)).alias("o_totalprice")).write.parquet(f"{folder}/orders.parquet")
+    alone = trees.feature_table(model_queries._train(spark, folder, "priority"))
     model = trees.fit_trees(alone, "gb", {**trees.default_params("gb"), "n_estimators": "3", "max_depth": "3"})
-    other = prepare.to_predictions(trees.trees_forecast(model_queries._arrays(spark, FOLDER), model, "gb", model_queries.STEPS), fits=False)
+    other = prepare.to_predictions(trees.trees_forecast(model_queries._arrays(spark, folder), model, "gb", model_queries.STEPS), fits=False)
     monkeypatch.setattr(trees, "searched_trees", lambda table, *_: tables.append(table) or (model, []))
     monkeypatch.setitem(prepare.SOURCES, "priority", lambda *a: derived.append(a) or panel(*a))
-    made = all_queries()["gb_forecast"](spark, FOLDER).collect()
+    made = all_queries()["gb_forecast"](spark, folder).collect()
     assert len(derived) == 1
     assert tables[0].coalesce(1).collect() == alone.coalesce(1).collect()  # draws go by the order of rows
-    assert made and sorted(made) == sorted(other.select(*made[0].asDict()).collect())
+    assert len(made) == 2 * model_queries.STEPS and sorted(made) == sorted(other.select(*made[0].asDict()).collect())
